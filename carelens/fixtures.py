@@ -12,14 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.sources.scan import balanced
+from carelens.utils import q
 from carelens.schemas import (
     CCN, CERTIFIED_BEDS, MIME_CSV, MIME_FOLDER, MIME_SHEET, OVERALL_RATING, PERM_PARTS, PROV_STATE,
     PROVIDER_INFO_COLS, ST_AVG_NURSE_HRS, ST_AVG_RESIDENTS, STATE_AVG_COLS, STATE_KEY, TEMP_PARTS,
 )
 
 
+# Tables whose rows the pipeline works through one by one (the fact side).
+FACT_TABLES = ("lineitem", "events")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df) if name in FACT_TABLES else df
 
 
 def _s(c: Column) -> Column:
@@ -50,6 +57,16 @@ def staffing_landing(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*cols)
 
 
+def _fill(df: DataFrame, known: dict, order, extra: dict) -> DataFrame:
+    """Project ``known`` columns, then every name of ``order`` (NULL text when
+    not known) plus ``extra``, in one ``selectExpr``."""
+    names = {c: f"_k{i}" for i, c in enumerate(list(known) + list(extra))}
+    base = df.select(*[e.alias(names[c]) for c, e in {**known, **extra}.items()])
+    out = [f"{names[c]} AS {q(c)}" if c in known else f"CAST(NULL AS STRING) AS {q(c)}" for c in order]
+    out += [f"{names[c]} AS {q(c)}" for c in extra]
+    return base.selectExpr(*out)
+
+
 def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
     """Provider info, 63 text columns (unused ones NULL).  Suppliers with key
     % 7 = 0 are absent, so their facts find no provider; beds are '0' or
@@ -64,10 +81,8 @@ def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
                          .otherwise(_s(F.lit(20) + sk)),
         OVERALL_RATING: F.when(sk % 9 != 0, _s(F.lit(1) + sk % 5)),
     }
-    cols = [known.get(c, F.lit(None).cast("string")).alias(c) for c in PROVIDER_INFO_COLS]
-    if extra:
-        cols += [_s(F.col("s_acctbal")).alias("Account Balance"), _s(sk).alias("Source Row")]
-    return supplier.filter(sk % 7 != 0).select(*cols)
+    extra_cols = {"Account Balance": _s(F.col("s_acctbal")), "Source Row": _s(sk)} if extra else {}
+    return _fill(supplier.filter(sk % 7 != 0), known, PROVIDER_INFO_COLS, extra_cols)
 
 
 def state_landing(nation: DataFrame, extra: bool = False) -> DataFrame:
@@ -80,15 +95,11 @@ def state_landing(nation: DataFrame, extra: bool = False) -> DataFrame:
         ST_AVG_NURSE_HRS: _s(F.lit(3) + nk % 4),
     }
     national = {STATE_KEY: F.lit("Nation"), ST_AVG_RESIDENTS: F.lit("60"), ST_AVG_NURSE_HRS: F.lit("4")}
-    extra_cols = ["Region Key"] if extra else []
-
-    def row(m, extra_val):
-        out = [m.get(c, F.lit(None).cast("string")).alias(c) for c in STATE_AVG_COLS]
-        return out + [extra_val.alias(c) for c in extra_cols]
-
-    states = nation.filter(nk != 24).select(*row(known, _s(F.col("n_regionkey"))))
+    states = _fill(nation.filter(nk != 24), known, STATE_AVG_COLS,
+                   {"Region Key": _s(F.col("n_regionkey"))} if extra else {})
     # The national row: one global aggregate over nation yields exactly one row.
-    nation_row = nation.agg(F.count(F.lit(1)).alias("_n")).select(*row(national, F.lit(None).cast("string")))
+    nation_row = _fill(nation.agg(F.count(F.lit(1)).alias("_n")), national, STATE_AVG_COLS,
+                       {"Region Key": F.lit(None).cast("string")} if extra else {})
     return states.unionByName(nation_row)
 
 

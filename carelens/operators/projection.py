@@ -15,7 +15,7 @@ def retain(df: DataFrame, cols) -> DataFrame:
     if missing:
         # Same failure class as Spark's own resolution error, but listing all.
         raise ValueError(f"columns not found: {missing}")
-    return df.select(*[qcol(c) for c in cols])
+    return df.selectExpr(*[q(c) for c in cols])
 
 
 def retain_all(df: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     # Names in the source data differ only by case ("Number of Certified
     # Beds" vs "number of certified beds"); keep resolution case-insensitive.
     "spark.sql.caseSensitive": "false",
+    # Whole-stage codegen fuses the many per-column expressions of a staffing
+    # row into one method; HotSpot refuses to JIT methods over 8000 bytes and
+    # would interpret it.  Let it compile them.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.schemas import NA_TOKENS
-from carelens.utils import qcol
+from carelens.utils import q, qcol
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -77,11 +77,21 @@ def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"
     return good, bad
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None) -> DataFrame:
-    """Text equal to one of ``tokens`` becomes NULL (S3), text columns only."""
-    toks = list(tokens)
+    """Text equal to one of ``tokens`` becomes NULL (S3), text columns only.
+
+    Built as one ``selectExpr`` (SQL text, one round trip to the JVM for any
+    number of columns); Catalyst turns each ``IN`` list into a hash-set probe.
+    """
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    targets = [c for c in (cols or text_cols) if c in text_cols]
+    targets = set(c for c in (cols or text_cols) if c in text_cols)
     if not targets:
         return df
-    return df.withColumns({c: F.when(~qcol(c).isin(toks), qcol(c)) for c in targets})
+    toks = ", ".join(_sql_str(t) for t in tokens)
+    exprs = [f"CASE WHEN {q(c)} IN ({toks}) THEN NULL ELSE {q(c)} END AS {q(c)}" if c in targets else q(c)
+             for c in df.columns]
+    return df.selectExpr(*exprs)
