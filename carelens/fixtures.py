@@ -20,13 +20,14 @@ from carelens.schemas import (
 )
 
 
-# Tables whose rows the pipeline works through one by one (the fact side).
-FACT_TABLES = ("lineitem", "events")
+# Tables whose rows the pipeline works through one by one (the fact side),
+# with their row keys.
+FACT_TABLES = {"lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df) if name in FACT_TABLES else df
+    return balanced(df, FACT_TABLES[name]) if name in FACT_TABLES else df
 
 
 def _s(c: Column) -> Column:

@@ -55,18 +55,20 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def bounded_broadcast(dim: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> DataFrame:
-    """``broadcast(dim)`` when proven small, else ``dim`` unchanged.
+    """``broadcast(dim)`` when proven small, else a sort-merge join hint.
 
     strategy: 'auto' (measure), 'broadcast' (caller vouches for the bound),
-    'shuffle' (never broadcast).
+    'shuffle' (never broadcast).  The shuffle path carries a ``merge`` hint so
+    that Spark's own estimate-based broadcast cannot override a failed check;
+    AQE's skew-join splitting then handles a hot facility key.
     """
     if strategy == "shuffle":
-        return dim
+        return dim.hint("merge")
     if strategy == "broadcast":
         return F.broadcast(dim)
     limit = max_bytes if max_bytes is not None else broadcast_limit(dim)
     size = measured_bytes(dim)
-    return F.broadcast(dim) if size * _HASH_OVERHEAD <= limit else dim
+    return F.broadcast(dim) if size * _HASH_OVERHEAD <= limit else dim.hint("merge")
 
 
 # Private names for dimension columns, so nothing collides with s.* (e.g. the

@@ -62,7 +62,8 @@ def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"
 
     Unreadable files are skipped (``ignoreCorruptFiles``); rows whose fields do
     not parse to the declared types land in a quarantine frame.  Returns
-    ``(good, bad)``; ``bad`` holds the raw text of each rejected row.
+    ``(good, bad)``; ``bad`` keeps the parsed fields plus the raw text of
+    each rejected row in ``_corrupt_record``.
     """
     st = _as_struct(schema)
     with_corrupt = T.StructType(list(st.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
@@ -73,7 +74,7 @@ def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"
            .option("ignoreMissingFiles", "true")
            .schema(with_corrupt).csv(path))
     good = raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = raw.filter(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
+    bad = raw.filter(F.col(CORRUPT_COL).isNotNull())
     return good, bad
 
 
