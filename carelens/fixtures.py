@@ -129,9 +129,15 @@ def file_manifest(pages: DataFrame) -> DataFrame:
                         shortcut.alias("shortcutDetails"))
 
 
+ROLE_SOURCES = {"staffing": ("lineitem", staffing_landing), "provider": ("supplier", provider_landing),
+                "state": ("nation", state_landing)}
+
+
+def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One landing role ('staffing', 'provider' or 'state')."""
+    src, build = ROLE_SOURCES[name]
+    return build(table(spark, sf_dir, src))
+
+
 def roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "staffing": staffing_landing(table(spark, sf_dir, "lineitem")),
-        "provider": provider_landing(table(spark, sf_dir, "supplier")),
-        "state": state_landing(table(spark, sf_dir, "nation")),
-    }
+    return {name: role(spark, sf_dir, name) for name in ROLE_SOURCES}

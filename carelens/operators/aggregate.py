@@ -7,7 +7,7 @@ the fact rows costs one partial row per task, not a hot shuffle partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelens.schemas import ROLLUP_KEYS, ROLLUP_MEASURES, TOPK_DEFAULT, TOPK_MAX, TOPK_MIN
@@ -46,18 +46,28 @@ def topk(df: DataFrame, k: int = TOPK_DEFAULT, by: str = "Tot_Nurse_hrs", keys=R
     return sort_rollup(df, by, keys).limit(check_k(k))
 
 
-def minmax_scale(df: DataFrame, cols, suffix: str = "_scaled") -> DataFrame:
+def minmax_scale(df: DataFrame, cols, suffix: str = "_scaled", bounded: bool = False) -> DataFrame:
     """(x - min) / (max - min) per column over ``df`` (A5).
 
-    Missing stays missing; a flat column scales to 0.  The extremes come from
-    one aggregate used as a scalar subquery, so no join is needed.
+    Missing stays missing; a flat column scales to 0.
+
+    * general input: all extremes come from one aggregate, used as a single
+      struct-valued scalar subquery (one extra distributed pass, no join,
+      nothing collected);
+    * ``bounded=True`` -- only for inputs with a proven small size, such as a
+      top-k view (k <= 100, already one partition after the top-k): the
+      extremes are a window over the whole frame, so the input is computed once.
     """
-    ext = df.agg(*[F.min(c).alias(f"_min_{i}") for i, c in enumerate(cols)],
-                 *[F.max(c).alias(f"_max_{i}") for i, c in enumerate(cols)])
+    if bounded:
+        whole = Window.partitionBy()
+        los = [F.min(c).over(whole).cast("double") for c in cols]
+        his = [F.max(c).over(whole).cast("double") for c in cols]
+    else:
+        e = _extremes(df, cols)
+        los = [e.getField(f"lo{i}") for i in range(len(cols))]
+        his = [e.getField(f"hi{i}") for i in range(len(cols))]
     out = {}
-    for i, c in enumerate(cols):
-        lo = ext.select(f"_min_{i}").scalar()
-        hi = ext.select(f"_max_{i}").scalar()
+    for c, lo, hi in zip(cols, los, his):
         x = F.col(c).cast("double")
         span = hi - lo
         scaled: Column = F.when(x.isNull(), F.lit(None).cast("double")) \
@@ -65,3 +75,9 @@ def minmax_scale(df: DataFrame, cols, suffix: str = "_scaled") -> DataFrame:
             .otherwise((x - lo) / span)
         out[c + suffix] = scaled
     return df.withColumns(out)
+
+
+def _extremes(df: DataFrame, cols) -> Column:
+    ext = df.agg(F.struct(*[F.min(c).cast("double").alias(f"lo{i}") for i, c in enumerate(cols)],
+                          *[F.max(c).cast("double").alias(f"hi{i}") for i, c in enumerate(cols)]).alias("e"))
+    return ext.scalar()

@@ -40,13 +40,24 @@ def _field_bytes(f: T.StructField) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
 
+def _size_agg(df: DataFrame, tag: int) -> DataFrame:
+    row_bytes = reduce(add, [_field_bytes(f) for f in df.schema.fields], F.lit(0)) + F.lit(16)
+    return df.agg(F.lit(tag).alias("i"), F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("b"))
+
+
+def measured_sizes(*dfs: DataFrame) -> list[int]:
+    """Exact payload sizes of several frames in one job (one row back each)."""
+    if not dfs:
+        return []
+    parts = [_size_agg(df, i) for i, df in enumerate(dfs)]
+    q = reduce(lambda a, b: a.unionByName(b), parts)
+    got = {r["i"]: int(r["b"]) for r in q.collect()}
+    return [got.get(i, 0) for i in range(len(dfs))]
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Exact payload size of ``df`` (one aggregate pass, one row back)."""
-    if not df.schema.fields:
-        return 0
-    row_bytes = reduce(add, [_field_bytes(f) for f in df.schema.fields]) + F.lit(16)
-    v = df.agg(F.sum(row_bytes.cast("long")).alias("b")).first()["b"]
-    return int(v or 0)
+    return measured_sizes(df)[0]
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -62,13 +73,20 @@ def bounded_broadcast(dim: DataFrame, strategy: str = "auto", max_bytes: int | N
     that Spark's own estimate-based broadcast cannot override a failed check;
     AQE's skew-join splitting then handles a hot facility key.
     """
+    return bounded_broadcasts([dim], strategy, max_bytes)[0]
+
+
+def bounded_broadcasts(dims, strategy: str = "auto", max_bytes: int | None = None) -> list[DataFrame]:
+    """:func:`bounded_broadcast` for several dimensions, measured in one job."""
     if strategy == "shuffle":
-        return dim.hint("merge")
+        return [d.hint("merge") for d in dims]
     if strategy == "broadcast":
-        return F.broadcast(dim)
-    limit = max_bytes if max_bytes is not None else broadcast_limit(dim)
-    size = measured_bytes(dim)
-    return F.broadcast(dim) if size * _HASH_OVERHEAD <= limit else dim.hint("merge")
+        return [F.broadcast(d) for d in dims]
+    if not dims:
+        return []
+    limit = max_bytes if max_bytes is not None else broadcast_limit(dims[0])
+    sizes = measured_sizes(*dims)
+    return [F.broadcast(d) if n * _HASH_OVERHEAD <= limit else d.hint("merge") for d, n in zip(dims, sizes)]
 
 
 # Private names for dimension columns, so nothing collides with s.* (e.g. the
@@ -89,20 +107,25 @@ def state_side(state_avg: DataFrame) -> DataFrame:
 
 
 def join_provider(fact: DataFrame, provider: DataFrame, normalize_fact_key: bool = False,
-                  strategy: str = "auto") -> DataFrame:
+                  strategy: str = "auto", decided: bool = False) -> DataFrame:
     """staffing LEFT JOIN provider ON PROVNUM = CCN.
 
     By default the keys are compared as cleaned at bronze: the fact key is
     only stripped, the provider key also lost its leading zeros, so padded
     fact keys find no provider.  ``normalize_fact_key`` strips zeros on the
-    fact side too, in the join condition only.
+    fact side too, in the join condition only.  ``decided=True``: ``provider``
+    is already :func:`provider_side` with its broadcast decision applied.
     """
-    p = bounded_broadcast(provider_side(provider), strategy)
+    p = provider if decided else bounded_broadcast(provider_side(provider), strategy)
     fk = strip_zeros(F.col(PROVNUM)) if normalize_fact_key else F.col(PROVNUM)
     return fact.join(p, fk == F.col(P_KEY), "left")
 
 
-def join_state(df: DataFrame, state_avg: DataFrame, strategy: str = "auto") -> DataFrame:
-    """... LEFT JOIN state_avg ON provider.State = state_avg."State or Nation" (J2)."""
-    s = bounded_broadcast(state_side(state_avg), strategy)
+def join_state(df: DataFrame, state_avg: DataFrame, strategy: str = "auto", decided: bool = False) -> DataFrame:
+    """... LEFT JOIN state_avg ON provider.State = state_avg."State or Nation" (J2).
+
+    ``decided=True``: ``state_avg`` is already :func:`state_side` with its
+    broadcast decision applied (see :func:`carelens.plans.gold.gold`).
+    """
+    s = state_avg if decided else bounded_broadcast(state_side(state_avg), strategy)
     return df.join(s, F.col(P_STATE) == F.col(S_KEY), "left")

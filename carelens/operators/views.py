@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from carelens.schemas import VIEW_HOURS_CENSUS, VIEW_OCCUPANCY, VIEW_RATING, VIEW_STAFF_MIX, VIEW_TABLE
+from carelens.operators.aggregate import minmax_scale
+from carelens.schemas import GRADIENT_COLS, VIEW_HOURS_CENSUS, VIEW_OCCUPANCY, VIEW_RATING, VIEW_STAFF_MIX, VIEW_TABLE
 
 
 def view_hours_census(top: DataFrame) -> DataFrame:
@@ -30,3 +31,9 @@ def view_staff_mix(top: DataFrame) -> DataFrame:
 def view_table(top: DataFrame) -> DataFrame:
     """State, provider, name, census, hours, occupancy, rating."""
     return top.select(*VIEW_TABLE)
+
+
+def view_table_scaled(top: DataFrame) -> DataFrame:
+    """P12 with census and occupancy scaled to [0, 1] over the shown rows (A5),
+    the numbers behind the table's colour gradient."""
+    return minmax_scale(view_table(top), GRADIENT_COLS, bounded=True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelens.operators.joins import bounded_broadcast, join_provider, join_state
+from carelens.operators.joins import bounded_broadcasts, join_provider, join_state, provider_side, state_side
 from carelens.operators.metrics import add_metrics
 from carelens.operators.sqlover import sql_over
 from carelens.schemas import (
@@ -25,7 +25,9 @@ def gold(staffing: DataFrame, provider: DataFrame, state_avg: DataFrame, normali
     Avg_residents_per_day, Avg_tot_nurse_hrs_per_resident_per_day, occup_rate,
     overall_rating (all double)."""
     fact_cols = staffing.columns
-    joined = join_state(join_provider(staffing, provider, normalize_fact_key, strategy), state_avg, strategy)
+    # Both dimensions are measured in one job, then each is broadcast or not.
+    prov, st = bounded_broadcasts([provider_side(provider), state_side(state_avg)], strategy)
+    joined = join_state(join_provider(staffing, prov, normalize_fact_key, decided=True), st, decided=True)
     return add_metrics(joined, fact_cols, strict)
 
 
@@ -63,7 +65,7 @@ def gold_via_sql(spark: SparkSession, staffing: DataFrame, provider: DataFrame,
 
     The dimension views carry the measured broadcast decision as a hint.
     """
-    prov = bounded_broadcast(provider.select(q(CCN), q(PROV_STATE), q(CERTIFIED_BEDS), q(OVERALL_RATING)),
-                             strategy)
-    st = bounded_broadcast(state_avg.select(q(STATE_KEY), q(ST_AVG_RESIDENTS), q(ST_AVG_NURSE_HRS)), strategy)
+    prov, st = bounded_broadcasts([provider.select(q(CCN), q(PROV_STATE), q(CERTIFIED_BEDS), q(OVERALL_RATING)),
+                                   state_avg.select(q(STATE_KEY), q(ST_AVG_RESIDENTS), q(ST_AVG_NURSE_HRS))],
+                                  strategy)
     return sql_over(spark, gold_sql_text(), {"Staffing": staffing, "Provider_Info": prov, "State_Averages": st})

@@ -50,14 +50,29 @@ STAFFING_COLS = fs.STAFFING_COLS
 # ---------------------------------------------------------------- building blocks
 
 
+class _Roles:
+    """Landing roles built on first use, so a query pays only for what it reads."""
+
+    def __init__(self, spark, d):
+        self.spark, self.d = spark, d
+
+    def __getitem__(self, name):
+        return fx.role(self.spark, self.d, name)
+
+
 def _roles(spark, d):
-    return fx.roles(spark, d)
+    return _Roles(spark, d)
+
+
+_BRONZE = {"staffing": bronze_staffing, "provider": bronze_provider, "state": bronze_state}
+
+
+def _b(spark, d, name):
+    return _BRONZE[name](fx.role(spark, d, name), stamped=False)
 
 
 def _bronze(spark, d):
-    r = _roles(spark, d)
-    return (bronze_staffing(r["staffing"], stamped=False), bronze_provider(r["provider"], stamped=False),
-            bronze_state(r["state"], stamped=False))
+    return tuple(_b(spark, d, n) for n in ("staffing", "provider", "state"))
 
 
 def _gold(spark, d, **kw):
@@ -158,7 +173,7 @@ def q_tolerant_scan(spark, d):
 
 
 def q_bronze_roundtrip(spark, d):
-    bs = _bronze(spark, d)[0]
+    bs = _b(spark, d, "staffing")
     path = scratch_path(spark, "bronze_roundtrip")
     write_bronze(bs, path, fmt="csv")
     return read_csv(spark, path)
@@ -195,7 +210,7 @@ def q_retain_all(spark, d):
 
 
 def q_star_plus(spark, d):
-    bs = _bronze(spark, d)[0]
+    bs = _b(spark, d, "staffing")
     return bs.select("*", tot_nurse_hrs().alias("Tot_Nurse_hrs"), perm_staff().alias("perm_staff"),
                      temp_staff().alias("temp_staff"))
 
@@ -210,7 +225,7 @@ def q_alias_dims(spark, d):
 
 
 def q_apply_mapping(spark, d):
-    bp = _bronze(spark, d)[1]
+    bp = _b(spark, d, "provider")
     return apply_mapping(bp, identity_mapping(PROVIDER_INFO_COLS + (INGESTED_AT,)))
 
 
@@ -266,7 +281,7 @@ def q_empty_check(spark, d):
 
 
 def q_left_join_provider(spark, d):
-    bs, bp, _ = _bronze(spark, d)
+    bs, bp = _b(spark, d, "staffing"), _b(spark, d, "provider")
     return join_provider(bs, bp)
 
 
@@ -279,31 +294,31 @@ def q_left_join_state(spark, d):
 
 
 def q_tot_nurse_hrs(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "Tot_Nurse_hrs", tot_nurse_hrs())
+    return _with_fact(_b(spark, d, "staffing"), "Tot_Nurse_hrs", tot_nurse_hrs())
 
 
 def q_perm_staff(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "perm_staff", perm_staff())
+    return _with_fact(_b(spark, d, "staffing"), "perm_staff", perm_staff())
 
 
 def q_temp_staff(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "temp_staff", temp_staff())
+    return _with_fact(_b(spark, d, "staffing"), "temp_staff", temp_staff())
 
 
 def q_tot_nurse_hrs_strict(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "Tot_Nurse_hrs", tot_nurse_hrs(strict=True))
+    return _with_fact(_b(spark, d, "staffing"), "Tot_Nurse_hrs", tot_nurse_hrs(strict=True))
 
 
 def q_perm_staff_strict(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "perm_staff", perm_staff(strict=True))
+    return _with_fact(_b(spark, d, "staffing"), "perm_staff", perm_staff(strict=True))
 
 
 def q_temp_staff_strict(spark, d):
-    return _with_fact(_bronze(spark, d)[0], "temp_staff", temp_staff(strict=True))
+    return _with_fact(_b(spark, d, "staffing"), "temp_staff", temp_staff(strict=True))
 
 
 def q_occup_rate(spark, d):
-    bs, bp, _ = _bronze(spark, d)
+    bs, bp = _b(spark, d, "staffing"), _b(spark, d, "provider")
     return join_provider(bs, bp).select("PROVNUM", CENSUS, F.col(P_BEDS).alias("beds"),
                                         occup_rate().alias("occup_rate"))
 
@@ -333,7 +348,7 @@ def q_options_provname(spark, d):
 
 
 def q_minmax_scale(spark, d):
-    return minmax_scale(_top20(spark, d), ["MDScensus", "occup_rate"])
+    return minmax_scale(_top20(spark, d), ["MDScensus", "occup_rate"], bounded=True)
 
 
 def q_sorted_rollup(spark, d):
@@ -397,15 +412,15 @@ def q_dq_outcomes(spark, d):
 
 
 def q_bronze_provider(spark, d):
-    return _bronze(spark, d)[1]
+    return _b(spark, d, "provider")
 
 
 def q_bronze_state(spark, d):
-    return _bronze(spark, d)[2]
+    return _b(spark, d, "state")
 
 
 def q_bronze_staffing(spark, d):
-    return _bronze(spark, d)[0]
+    return _b(spark, d, "staffing")
 
 
 def q_gold(spark, d):

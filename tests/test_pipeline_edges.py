@@ -144,3 +144,14 @@ def test_dashboard_cascade_equals_conjunction(bronze):
     assert a == b and len(a) == 1
     assert dashboard(g, state="AL", provnum="15010", k=5).isEmpty() is False
     assert dashboard(g, state="TX", k=5).isEmpty()
+
+
+def test_minmax_scale_paths_agree(spark):
+    from carelens.operators.aggregate import minmax_scale
+    df = _ties(spark).withColumn("flat", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(3.0))
+    cols = ["Tot_Nurse_hrs", "flat"]
+    a = sorted(map(tuple, minmax_scale(df, cols).collect()), key=str)
+    b = sorted(map(tuple, minmax_scale(df, cols, bounded=True).collect()), key=str)
+    assert a == b
+    got = {r["PROVNUM"]: (r["Tot_Nurse_hrs_scaled"], r["flat_scaled"]) for r in minmax_scale(df, cols).collect()}
+    assert got["P05"] == (1.0, 0.0) and got["P06"] == (0.0, 0.0) and got["P09"] == (None, 0.0)
