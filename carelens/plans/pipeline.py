@@ -82,7 +82,25 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
     return {"snapshot": folder, "metrics": obs.get}
 
 
-def ask(spark: SparkSession, gold_root: str, state: str | None = None, provnum: str | None = None,
-        provname: str | None = None, k: int = 20) -> DataFrame:
-    """B5 over the newest gold snapshot (all of its files)."""
+def load_gold(spark: SparkSession, gold_root: str, cache: bool = True) -> DataFrame:
+    """The newest gold snapshot, kept for repeated questions.
+
+    Only the nine dashboard columns are cached (memory, spilling to disk);
+    a lost cached block is recomputed from the snapshot files.
+    """
+    from pyspark import StorageLevel
+
+    from carelens.plans.dashboard import load_for_dashboard
+    g = load_for_dashboard(read_latest(spark, gold_root))
+    return g.persist(StorageLevel.MEMORY_AND_DISK) if cache else g
+
+
+def ask(spark: SparkSession, gold_root: str | None = None, state: str | None = None, provnum: str | None = None,
+        provname: str | None = None, k: int = 20, loaded: DataFrame | None = None) -> DataFrame:
+    """B5 over the newest gold snapshot (all of its files), or over ``loaded``
+    (the frame :func:`load_gold` returned) to reuse its cache."""
+    if loaded is not None:
+        from carelens.operators.aggregate import rollup, topk
+        from carelens.operators.filters import cascade
+        return topk(rollup(cascade(loaded, state, provnum, provname)), k)
     return dashboard(read_latest(spark, gold_root), state, provnum, provname, k)
