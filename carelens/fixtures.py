@@ -37,25 +37,22 @@ def _s(c: Column) -> Column:
 def staffing_landing(lineitem: DataFrame) -> DataFrame:
     """Daily staffing facts, all text: padded keys (every 5th supplier also
     zero-padded), a malformed RN value, missing parts."""
-    sk = F.col("l_suppkey")
-    qty = F.col("l_quantity").cast("int")
-    ln = F.col("l_linenumber")
-    key = F.when(sk % 5 == 0, F.lpad(_s(sk), 6, "0")).otherwise(_s(sk))
+    qty = "CAST(l_quantity AS INT)"
+    sk = "CAST(l_suppkey AS STRING)"
     cols = [
-        F.concat(F.lit(" "), key, F.lit(" ")).alias("PROVNUM"),
-        F.concat(F.lit("Provider "), _s(sk)).alias("PROVNAME"),
-        F.concat(F.lit(" st"), _s(sk % 25), F.lit(" ")).alias("STATE"),
-        F.when(ln != 2, _s(qty)).alias("MDScensus"),
-        F.when(ln == 3, F.lit(None).cast("string"))
-         .when(F.col("l_orderkey") % 97 == 0, F.lit("x?"))
-         .otherwise(_s(qty)).alias("Hrs_RN"),
-        F.when(ln != 4, _s(F.col("l_tax"))).alias("Hrs_LPN"),
-        _s(F.col("l_discount")).alias("Hrs_CNA"),
+        f"concat(' ', CASE WHEN l_suppkey % 5 = 0 THEN lpad({sk}, 6, '0') ELSE {sk} END, ' ') AS PROVNUM",
+        f"concat('Provider ', {sk}) AS PROVNAME",
+        "concat(' st', CAST(l_suppkey % 25 AS STRING), ' ') AS STATE",
+        f"CASE WHEN l_linenumber <> 2 THEN CAST({qty} AS STRING) END AS MDScensus",
+        f"CASE WHEN l_linenumber = 3 THEN NULL WHEN l_orderkey % 97 = 0 THEN 'x?' "
+        f"ELSE CAST({qty} AS STRING) END AS Hrs_RN",
+        "CASE WHEN l_linenumber <> 4 THEN CAST(l_tax AS STRING) END AS Hrs_LPN",
+        "CAST(l_discount AS STRING) AS Hrs_CNA",
     ]
-    cols += [_s(qty % m).alias(n) for m, n in zip(range(2, 9), PERM_PARTS)]
-    cols += [_s(ln % m).alias(n) for m, n in zip(range(2, 8), TEMP_PARTS[:-1])]
-    cols.append(F.when(F.col("l_returnflag") != "R", _s(ln % 8)).alias(TEMP_PARTS[-1]))
-    return lineitem.select(*cols)
+    cols += [f"CAST({qty} % {m} AS STRING) AS {n}" for m, n in zip(range(2, 9), PERM_PARTS)]
+    cols += [f"CAST(l_linenumber % {m} AS STRING) AS {n}" for m, n in zip(range(2, 8), TEMP_PARTS[:-1])]
+    cols.append(f"CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber % 8 AS STRING) END AS {TEMP_PARTS[-1]}")
+    return lineitem.selectExpr(*cols)
 
 
 def _fill(df: DataFrame, known: dict, order, extra: dict) -> DataFrame:

@@ -1,11 +1,18 @@
-"""Text clean-up functions."""
+"""Text clean-up functions.
+
+Each function exists as SQL text (``*_sql``, composable inside one
+``selectExpr``) and as a Column function.  Given a column *name* the Column
+function is a single ``expr`` over that text; given a Column it composes the
+same expression with the Column API.  Both compile to the same Catalyst
+expression; the text form just costs the driver one call instead of many.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carelens.utils import as_col
+from carelens.utils import q, sql_str
 
 # Python's str.strip() removes every Unicode white-space character, Spark's
 # trim() only U+0020; (?U) makes \s Unicode-aware in Java regex.
@@ -13,9 +20,28 @@ _LEAD_WS = r"(?U)^\s+"
 _TRAIL_WS = r"(?U)\s+$"
 
 
+def strip_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, {sql_str(_LEAD_WS)}, ''), {sql_str(_TRAIL_WS)}, '')"
+
+
+def strip_zeros_sql(x: str) -> str:
+    return f"nullif(TRIM(LEADING '0' FROM {x}), '')"
+
+
+def upper_sql(x: str) -> str:
+    return f"upper({x})"
+
+
+def to_text_sql(x: str, missing: str | None = None) -> str:
+    out = f"CAST({x} AS STRING)"
+    return out if missing is None else f"coalesce({out}, {sql_str(missing)})"
+
+
 def strip(c: Column | str) -> Column:
     """Remove Unicode white space at both ends (C1); NULL stays NULL."""
-    return F.regexp_replace(F.regexp_replace(as_col(c), _LEAD_WS, ""), _TRAIL_WS, "")
+    if isinstance(c, str):
+        return F.expr(strip_sql(q(c)))
+    return F.regexp_replace(F.regexp_replace(c, _LEAD_WS, ""), _TRAIL_WS, "")
 
 
 def strip_zeros(c: Column | str) -> Column:
@@ -24,12 +50,14 @@ def strip_zeros(c: Column | str) -> Column:
     A value of zeros only would strip to '' and come back as missing after a
     CSV round trip, so it is NULL in memory too.
     """
-    return F.nullif(F.ltrim(as_col(c), F.lit("0")), F.lit(""))
+    if isinstance(c, str):
+        return F.expr(strip_zeros_sql(q(c)))
+    return F.nullif(F.ltrim(c, F.lit("0")), F.lit(""))
 
 
 def upper(c: Column | str) -> Column:
     """Upper case."""
-    return F.upper(as_col(c))
+    return F.upper(F.col(c) if isinstance(c, str) else c)
 
 
 def to_text(c: Column | str, missing: str | None = None) -> Column:
@@ -38,5 +66,7 @@ def to_text(c: Column | str, missing: str | None = None) -> Column:
     ``missing=None`` keeps NULL; ``missing='nan'`` renders it the way a
     pandas ``astype(str)`` does.
     """
-    out = as_col(c).cast("string")
+    if isinstance(c, str):
+        return F.expr(to_text_sql(q(c), missing))
+    out = c.cast("string")
     return out if missing is None else F.coalesce(out, F.lit(missing))

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carelens.utils import q
 from carelens.schemas import ROLLUP_KEYS, ROLLUP_MEASURES, TOPK_DEFAULT, TOPK_MAX, TOPK_MIN
 
-_AGG = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum}
+_AGG = {"mean": "avg", "max": "max", "min": "min", "sum": "sum"}
 
 
 def rollup(gold: DataFrame, keys=ROLLUP_KEYS, measures=ROLLUP_MEASURES) -> DataFrame:
@@ -21,7 +22,7 @@ def rollup(gold: DataFrame, keys=ROLLUP_KEYS, measures=ROLLUP_MEASURES) -> DataF
     NULLs are skipped by every aggregate (NaN was turned into NULL when the
     gold table was loaded for the dashboard).
     """
-    return gold.groupBy(*keys).agg(*[_AGG[how](F.col(m)).alias(m) for m, how in measures])
+    return gold.groupBy(*keys).agg(*[F.expr(f"{_AGG[how]}({q(m)}) AS {q(m)}") for m, how in measures])
 
 
 def options(df: DataFrame, col: str) -> DataFrame:

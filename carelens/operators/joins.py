@@ -10,7 +10,6 @@ the fact rows.  Broadcasting keeps the fact side unshuffled until the roll-up.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from carelens.functions.text import strip_zeros
 from carelens.schemas import (
     CCN, CERTIFIED_BEDS, OVERALL_RATING, PROV_STATE, PROVNUM, ST_AVG_NURSE_HRS, ST_AVG_RESIDENTS, STATE_KEY,
 )
-from carelens.utils import qcol
+from carelens.utils import q, qcol
 
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 BROADCAST_CONF = "carelens.broadcast.maxBytes"
@@ -30,19 +29,20 @@ _FIXED = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.Floa
           T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8}
 
 
-def _field_bytes(f: T.StructField) -> Column:
-    c = qcol(f.name)
+def _field_bytes_sql(f: T.StructField) -> str:
+    c = q(f.name)
     for t, n in _FIXED.items():
         if isinstance(f.dataType, t):
-            return F.lit(n)
+            return str(n)
     if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
-    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        return f"(coalesce(octet_length({c}), 0) + 8)"
+    return f"coalesce(octet_length(to_json(struct({c}))), 0)"
 
 
 def _size_agg(df: DataFrame, tag: int) -> DataFrame:
-    row_bytes = reduce(add, [_field_bytes(f) for f in df.schema.fields], F.lit(0)) + F.lit(16)
-    return df.agg(F.lit(tag).alias("i"), F.coalesce(F.sum(row_bytes.cast("long")), F.lit(0)).alias("b"))
+    row = " + ".join([_field_bytes_sql(f) for f in df.schema.fields] + ["16"])
+    return df.selectExpr(f"CAST({row} AS BIGINT) AS _b").agg(
+        F.lit(tag).alias("i"), F.coalesce(F.sum("_b"), F.lit(0)).alias("b"))
 
 
 def measured_sizes(*dfs: DataFrame) -> list[int]:
@@ -50,8 +50,8 @@ def measured_sizes(*dfs: DataFrame) -> list[int]:
     if not dfs:
         return []
     parts = [_size_agg(df, i) for i, df in enumerate(dfs)]
-    q = reduce(lambda a, b: a.unionByName(b), parts)
-    got = {r["i"]: int(r["b"]) for r in q.collect()}
+    both = reduce(lambda a, b: a.unionByName(b), parts)
+    got = {r["i"]: int(r["b"]) for r in both.collect()}
     return [got.get(i, 0) for i in range(len(dfs))]
 
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.text import strip, strip_zeros, to_text, upper
+from carelens.functions.text import strip_sql, strip_zeros_sql, to_text_sql, upper_sql
 from carelens.operators.projection import retain, retain_all, stamp
 from carelens.schemas import CCN, PROVIDER_INFO_COLS, PROVNUM, STATE_AVG_COLS, STATE_KEY
 from carelens.sources.csv import normalize_missing
-from carelens.utils import qcol
+from carelens.utils import q
 
 
 def _finish(df: DataFrame, ts, stamped: bool) -> DataFrame:
@@ -24,19 +24,19 @@ def _finish(df: DataFrame, ts, stamped: bool) -> DataFrame:
 def bronze_provider(landing: DataFrame, ts=None, stamped: bool = True) -> DataFrame:
     """B1: retain 63 columns, key stripped of blanks and leading zeros."""
     df = normalize_missing(retain(landing, PROVIDER_INFO_COLS))
-    df = df.withColumn(CCN, strip_zeros(strip(qcol(CCN))))
+    df = df.withColumn(CCN, F.expr(strip_zeros_sql(strip_sql(q(CCN)))))
     return _finish(df, ts, stamped)
 
 
 def bronze_state(landing: DataFrame, ts=None, stamped: bool = True) -> DataFrame:
     """B2: retain 42 columns, join key as stripped upper-case text."""
     df = normalize_missing(retain(landing, STATE_AVG_COLS))
-    df = df.withColumn(STATE_KEY, upper(strip(to_text(qcol(STATE_KEY)))))
+    df = df.withColumn(STATE_KEY, F.expr(upper_sql(strip_sql(to_text_sql(q(STATE_KEY))))))
     return _finish(df, ts, stamped)
 
 
 def bronze_staffing(landing: DataFrame, ts=None, stamped: bool = True) -> DataFrame:
     """Keep every column, key stripped of blanks (zeros stay)."""
     df = normalize_missing(retain_all(landing))
-    df = df.withColumn(PROVNUM, strip(to_text(F.col(PROVNUM))))
+    df = df.withColumn(PROVNUM, F.expr(strip_sql(to_text_sql(q(PROVNUM)))))
     return _finish(df, ts, stamped)

@@ -8,13 +8,13 @@ the top-k is a bounded per-task heap; at most k rows reach the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from carelens.functions.numeric import coerce_numeric
-from carelens.functions.text import strip, to_text, upper
+from carelens.functions.text import strip_sql, to_text_sql, upper_sql
 from carelens.operators.aggregate import options, rollup, topk
 from carelens.operators.filters import by_provnum, by_state, cascade
 from carelens.schemas import PROVNAME, PROVNUM, ROLLUP_MEASURES, STATE, TOPK_DEFAULT
+from carelens.utils import q
 
 
 def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
@@ -22,21 +22,21 @@ def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
 
     ``missing_key='nan'`` renders a missing key as 'nan' ('NAN' for state), as
     the pandas text conversion does, so such rows stay in the roll-up;
-    ``'drop'`` removes rows with a missing key instead.
+    ``'drop'`` removes rows with a missing key instead.  One projection.
     """
+    if missing_key not in ("nan", "drop"):
+        raise ValueError("missing_key must be 'nan' or 'drop'")
     render = "nan" if missing_key == "nan" else None
-    keys = {
-        PROVNUM: strip(to_text(F.col(PROVNUM), render)),
-        PROVNAME: strip(to_text(F.col(PROVNAME), render)),
-        STATE: strip(upper(to_text(F.col(STATE), render))),
-    }
+    keys = [
+        f"{strip_sql(to_text_sql(q(PROVNUM), render))} AS {PROVNUM}",
+        f"{strip_sql(to_text_sql(q(PROVNAME), render))} AS {PROVNAME}",
+        f"{strip_sql(upper_sql(to_text_sql(q(STATE), render)))} AS {STATE}",
+    ]
     measures = [m for m, _ in ROLLUP_MEASURES]
-    df = gold.select(*keys.keys(), *measures).withColumns(keys)
+    df = coerce_numeric(gold.selectExpr(*keys, *[q(m) for m in measures]), measures)
     if missing_key == "drop":
-        df = df.dropna(subset=list(keys))
-    elif missing_key != "nan":
-        raise ValueError("missing_key must be 'nan' or 'drop'")
-    return coerce_numeric(df, measures)
+        df = df.dropna(subset=[PROVNUM, PROVNAME, STATE])
+    return df
 
 
 def dashboard(gold: DataFrame, state: str | None = None, provnum: str | None = None,

@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carelens.operators.joins import bounded_broadcasts, join_provider, join_state, provider_side, state_side
-from carelens.operators.metrics import add_metrics
+from carelens.operators.metrics import add_metrics, metric_sql
 from carelens.operators.sqlover import sql_over
 from carelens.schemas import (
-    CCN, CENSUS, CERTIFIED_BEDS, OVERALL_RATING, PERM_PARTS, PROV_STATE, PROVNUM, ST_AVG_NURSE_HRS,
-    ST_AVG_RESIDENTS, STATE_KEY, TEMP_PARTS, TOTAL_PARTS,
+    CCN, CERTIFIED_BEDS, OVERALL_RATING, PROV_STATE, PROVNUM, ST_AVG_NURSE_HRS, ST_AVG_RESIDENTS, STATE_KEY,
 )
 from carelens.utils import q
 
@@ -31,28 +30,21 @@ def gold(staffing: DataFrame, provider: DataFrame, state_avg: DataFrame, normali
     return add_metrics(joined, fact_cols, strict)
 
 
-def _sum_sql(parts, alias: str) -> str:
-    return " + ".join(f"try_cast(coalesce(s.{q(p)}, '0') AS DOUBLE)" for p in parts) + f" AS {alias}"
-
-
 def gold_sql_text() -> str:
     """The gold query as SQL over views Staffing, Provider_Info, State_Averages.
 
     Written for ANSI mode: ``try_cast(coalesce(x, '0'))`` instead of
     ``CAST(COALESCE(x, 0))`` (which would coerce text to BIGINT and fail on
-    '1.5'), and ``try_divide`` for zero beds.
+    '1.5'), and ``try_divide`` for zero beds.  The metric expressions are the
+    ones the DataFrame plan uses.
     """
-    beds = f"try_cast(p.{q(CERTIFIED_BEDS)} AS DOUBLE)"
+    m = metric_sql(fact="s.", prov="p.", state="st.", beds=CERTIFIED_BEDS, rating=OVERALL_RATING,
+                   residents=ST_AVG_RESIDENTS, nurse_hrs=ST_AVG_NURSE_HRS)
+    cols = [f"  {text} AS {name}" for name, text in m.items()]
+    select = ",\n".join(cols)
     return f"""
 SELECT s.*,
-  {_sum_sql(TOTAL_PARTS, 'Tot_Nurse_hrs')},
-  {_sum_sql(PERM_PARTS, 'perm_staff')},
-  {_sum_sql(TEMP_PARTS, 'temp_staff')},
-  {beds} AS occup_limit,
-  try_cast(st.{q(ST_AVG_RESIDENTS)} AS DOUBLE) AS Avg_residents_per_day,
-  try_cast(st.{q(ST_AVG_NURSE_HRS)} AS DOUBLE) AS Avg_tot_nurse_hrs_per_resident_per_day,
-  100 * try_divide(try_cast(coalesce(s.{q(CENSUS)}, '0') AS DOUBLE), {beds}) AS occup_rate,
-  try_cast(p.{q(OVERALL_RATING)} AS DOUBLE) AS overall_rating
+{select}
 FROM Staffing s
 LEFT JOIN Provider_Info p ON s.{q(PROVNUM)} = p.{q(CCN)}
 LEFT JOIN State_Averages st ON p.{q(PROV_STATE)} = st.{q(STATE_KEY)}

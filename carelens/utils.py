@@ -17,3 +17,8 @@ def q(name: str) -> str:
 
 def qcol(name: str) -> Column:
     return F.col(q(name))
+
+
+def sql_str(s: str) -> str:
+    """A Spark SQL string literal for ``s`` (backslashes and quotes escaped)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -90,3 +90,23 @@ def test_functions_stay_in_jvm(spark):
     df = _one_col(spark, NUMBERS).select(to_number("v"), strip("v"), strip_zeros("v"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_text_and_column_forms_agree(spark):
+    from carelens.functions.numeric import add_parts_columns
+    vals = KEYS + NUMBERS
+    df = spark.createDataFrame([(v, v, v) for v in vals], "v string, a string, b string")
+    pairs = [
+        (strip("v"), strip(F.col("v"))),
+        (strip_zeros("v"), strip_zeros(F.col("v"))),
+        (to_text("v", "nan"), to_text(F.col("v"), "nan")),
+        (num("v", "0"), num(F.col("v"), "0")),
+        (to_number("v"), to_number(F.col("v"))),
+        (add_parts(["a", "b"]), add_parts_columns(["a", "b"])),
+        (add_parts(["a", "b"], strict=True), add_parts_columns(["a", "b"], strict=True)),
+    ]
+    for i, (x, y) in enumerate(pairs):
+        got = df.select(x.alias("x"), y.alias("y")).collect()
+        for r in got:
+            same = (r["x"] == r["y"]) or (r["x"] != r["x"] and r["y"] != r["y"])  # NaN == NaN
+            assert same, (i, r)
