@@ -30,6 +30,37 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~100 TB of staffing facts, ~1000 executors).
+# Scan splits of 512 MB keep the task count near 200k; the only wide shuffle
+# on the default path is the roll-up's partial aggregates, so AQE may start
+# from many shuffle partitions and coalesce towards 256 MB each.  Skew-join
+# splitting and rebalance splitting cover the sort-merge fallback and
+# partitioned writes.  Applied only where the session has no value.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> SparkSession:
+    """Set :data:`CLUSTER_CONF` entries the session does not set itself."""
+    explicit = _explicit_conf(spark)
+    for k, v in CLUSTER_CONF.items():
+        if k not in explicit:
+            spark.conf.set(k, v)
+    return spark
+
+
+def _explicit_conf(spark: SparkSession) -> set[str]:
+    return {k for k, _ in spark.sparkContext.getConf().getAll()}
+
+
 def get_spark(master: str | None = None, app: str = "carelens", shuffle_partitions: int | None = None,
               conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)

@@ -45,13 +45,21 @@ def write_bronze(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_gold(df: DataFrame, path: str, partition_by=(), mode: str = "append", fmt: str = "parquet",
-               max_records_per_file: int | None = 5_000_000) -> None:
+               max_records_per_file: int | None = 5_000_000, rebalance: bool = True) -> None:
     """Gold sink (K2): many files, appended, optionally partitioned.
 
-    With ``partition_by`` each task writes a file per key it holds; rows are
-    sorted within partitions on the keys so one writer is open at a time.
+    Unpartitioned (the default, as in the source job): no shuffle, one file
+    per task (split at ``max_records_per_file``).
+
+    With ``partition_by`` and ``rebalance=True``: rows are rebalanced on the
+    keys first (one shuffle), so each key's rows land in few, well-sized
+    files; AQE splits a hot key (a state with a third of all rows) over many
+    tasks and merges small ones.  Without it every scan task would write one
+    file per key it holds (tasks x keys small files).  ``rebalance=False``
+    skips the shuffle and only sorts within tasks.
     """
     if partition_by:
+        df = df.hint("rebalance", *partition_by) if rebalance else df
         df = df.sortWithinPartitions(*partition_by)
     if fmt == "csv":
         write_csv(df, path, mode=mode, partition_by=partition_by, max_records_per_file=max_records_per_file)

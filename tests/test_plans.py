@@ -1,6 +1,5 @@
 """Plan shape and the broadcast size check."""
 
-import pytest
 
 from carelens.operators.joins import BROADCAST_CONF, bounded_broadcast, measured_bytes
 from carelens.queries import QUERIES
