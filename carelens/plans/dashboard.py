@@ -17,6 +17,14 @@ from carelens.schemas import PROVNAME, PROVNUM, ROLLUP_MEASURES, STATE, TOPK_DEF
 from carelens.utils import q
 
 
+DASH_STATE = "dash_state"
+
+
+def state_key_sql(render: str | None = "nan") -> str:
+    """The dashboard's state key: text, upper-cased, stripped."""
+    return strip_sql(upper_sql(to_text_sql(q(STATE), render)))
+
+
 def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
     """Keys as stripped text (state upper-cased), six measures as numbers.
 
@@ -27,10 +35,16 @@ def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
     if missing_key not in ("nan", "drop"):
         raise ValueError("missing_key must be 'nan' or 'drop'")
     render = "nan" if missing_key == "nan" else None
+    # A gold table written with partition_by_state carries the cleaned state
+    # key as its partition column; using it lets a state filter prune files.
+    if DASH_STATE in gold.columns and missing_key == "nan":
+        state_key = f"{q(DASH_STATE)} AS {STATE}"
+    else:
+        state_key = f"{state_key_sql(render)} AS {STATE}"
     keys = [
         f"{strip_sql(to_text_sql(q(PROVNUM), render))} AS {PROVNUM}",
         f"{strip_sql(to_text_sql(q(PROVNAME), render))} AS {PROVNAME}",
-        f"{strip_sql(upper_sql(to_text_sql(q(STATE), render)))} AS {STATE}",
+        state_key,
     ]
     measures = [m for m, _ in ROLLUP_MEASURES]
     df = coerce_numeric(gold.selectExpr(*keys, *[q(m) for m in measures]), measures)

@@ -15,10 +15,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelens.operators.quality import check, observed, publish
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
-from carelens.plans.dashboard import dashboard
+from carelens.plans.dashboard import DASH_STATE, dashboard, state_key_sql
 from carelens.plans.gold import gold
 from carelens.schemas import CCN, PROVNUM
 from carelens.sources.csv import read_csv
@@ -65,17 +66,24 @@ def _read_bronze(spark: SparkSession, path: str, fmt: str) -> DataFrame:
 
 def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTables = BronzeTables(),
              fmt: str = "parquet", rules=(("ColumnCount", ">", 0),), normalize_fact_key: bool = False,
-             partition_by=()) -> dict:
+             partition_by=(), partition_by_state: bool = False) -> dict:
     """B4 + D1/D2: write one new gold snapshot and its DQ outcome table.
 
     Row metrics are gathered by an ``Observation`` during the write itself;
     the outcomes never gate the write (best effort, as in the source job).
+
+    ``partition_by_state``: add the dashboard's cleaned state key as column
+    ``dash_state`` and partition the snapshot by it, so that a question for
+    one state reads only that state's files (partition pruning).
     """
     b = bronze.rstrip("/")
     g = gold(_read_bronze(spark, f"{b}/{tables.staffing}", fmt),
              _read_bronze(spark, f"{b}/{tables.provider}", fmt),
              _read_bronze(spark, f"{b}/{tables.state}", fmt),
              normalize_fact_key=normalize_fact_key)
+    if partition_by_state:
+        g = g.withColumn(DASH_STATE, F.expr(state_key_sql()))
+        partition_by = tuple(partition_by) + (DASH_STATE,)
     g_obs, obs = observed(g, cols=("overall_rating", "occup_rate"))
     folder = write_snapshot(g_obs, gold_root, partition_by=partition_by)
     publish(check(spark.read.parquet(folder), rules), f"{gold_root.rstrip('/')}/_dq")
