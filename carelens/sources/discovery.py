@@ -35,15 +35,35 @@ def list_files(spark: SparkSession, path: str, name_contains: str | None = None,
     return files
 
 
+def _committed_latest(spark: SparkSession, path: str) -> str | None:
+    """Newest run recorded in ``<path>/_committed`` (see ``write_snapshot``), if any."""
+    from pyspark.errors import AnalysisException
+
+    from carelens.sources.sinks import COMMITTED
+    try:
+        runs = spark.read.parquet(f"{path.rstrip('/')}/{COMMITTED}")
+    except AnalysisException:
+        return None
+    row = runs.agg(F.max_by("folder", "run_id").alias("folder")).first()
+    return None if row is None else row["folder"]
+
+
 def latest_snapshot_path(spark: SparkSession, path: str, name_contains: str | None = None,
-                         min_size: int = 1) -> str:
+                         min_size: int = 1, committed_only: bool = True) -> str:
     """Folder of the newest snapshot below ``path``.
 
+    Snapshots written by :func:`carelens.sources.sinks.write_snapshot` are
+    chosen from its commit table (newest committed run).  Otherwise:
+
     A snapshot is the ``run_id=...`` folder written by :func:`write_snapshot`
     (or, for other layouts, the folder holding the files); its age is the newest file
     in it, ties broken by folder name.  Raises FileNotFoundError when no file
     qualifies (the reference's missing-partition error).
     """
+    if committed_only:
+        folder = _committed_latest(spark, path)
+        if folder is not None:
+            return folder
     files = list_files(spark, path, name_contains, min_size)
     newest = (files.groupBy("folder").agg(F.max("modificationTime").alias("ts"))
               .agg(F.max_by("folder", F.struct("ts", "folder")).alias("folder")))

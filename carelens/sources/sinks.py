@@ -12,6 +12,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _CSV_WRITE = {
     "header": "true",
@@ -76,10 +77,23 @@ def new_run_id() -> str:
     return time.strftime("%Y%m%dT%H%M%S", time.gmtime()) + f"{time.time() % 1:.6f}"[1:] + "-" + uuid.uuid4().hex[:8]
 
 
+COMMITTED = "_committed"
+
+
 def write_snapshot(df: DataFrame, root: str, run_id: str | None = None, fmt: str = "parquet",
                    partition_by=(), max_records_per_file: int | None = 5_000_000) -> str:
-    """Gold sink, one snapshot per run (K3 re-aimed); returns the folder."""
-    folder = f"{root.rstrip('/')}/run_id={run_id or new_run_id()}"
+    """Gold sink, one snapshot per run (K3 re-aimed); returns the folder.
+
+    Only after the data write has committed is the run appended to the
+    hidden ``_committed`` table under ``root``; readers take the newest
+    committed run, so a run that died half-way is never read.
+    """
+    rid = run_id or new_run_id()
+    folder = f"{root.rstrip('/')}/run_id={rid}"
     write_gold(df, folder, partition_by=partition_by, mode="errorifexists", fmt=fmt,
                max_records_per_file=max_records_per_file)
+    spark = df.sparkSession
+    (spark.createDataFrame([(rid, folder, fmt)], "run_id string, folder string, format string")
+     .withColumn("committed_at", F.localtimestamp())
+     .write.mode("append").parquet(f"{root.rstrip('/')}/{COMMITTED}"))
     return folder

@@ -126,3 +126,14 @@ def test_incremental_csv_with_bronze_transform(spark, scratch):
     out = spark.read.parquet(sink)
     assert "bronze_ingested_at" in out.columns
     assert out.filter("PROVNUM = '15009'").count() == 3
+
+
+def test_uncommitted_snapshot_is_ignored(spark, scratch):
+    root = scratch("commit")
+    good = write_snapshot(spark.range(4), root)
+    # a later run that died after writing some files, before its commit record
+    spark.range(100).write.parquet(f"{root}/run_id=29991231T000000.000000-dead")
+    assert latest_snapshot_path(spark, root).rstrip("/").split("/")[-1] == good.split("/")[-1]
+    assert read_latest(spark, root).count() == 4
+    # without the commit table the file-time rule applies (foreign layouts)
+    assert latest_snapshot_path(spark, root, committed_only=False).endswith("-dead")
