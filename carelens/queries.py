@@ -37,7 +37,7 @@ from carelens.sources.csv import normalize_missing, read_csv, read_csv_tolerant
 from carelens.sources.discovery import read_discovered, read_latest
 from carelens.sources.intake import intake, resolve_shortcuts
 from carelens.sources.sinks import write_bronze, write_csv, write_gold, write_snapshot
-from carelens.streaming.incremental import ingest_incremental
+from carelens.streaming.incremental import gold_incremental, ingest_incremental
 from carelens.utils import qcol
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,24 @@ def q_incremental_ingest(spark, d):
     return spark.read.parquet(sink)
 
 
+def q_incremental_gold(spark, d):
+    """Bronze staffing lands in two batches of files; each run turns only the
+    new files into gold rows; a third run finds nothing new."""
+    staffing = _b(spark, d, "staffing")
+    prov, st = _b(spark, d, "provider"), _b(spark, d, "state")
+    base = scratch_path(spark, "incremental_gold")
+    landing, sink, ckpt = f"{base}/landing", f"{base}/gold", f"{base}/_checkpoint"
+    first = F.col("MDScensus").isNull() | (F.col("MDScensus").try_cast("int") % 2 == 0)
+    staffing.filter(first).write.mode("append").parquet(landing)
+    n1 = gold_incremental(spark, landing, prov, st, sink, ckpt, staffing.schema)
+    staffing.filter(~first).write.mode("append").parquet(landing)
+    n2 = gold_incremental(spark, landing, prov, st, sink, ckpt, staffing.schema)
+    n3 = gold_incremental(spark, landing, prov, st, sink, ckpt, staffing.schema)
+    if n3 != 0 or n1 == 0:
+        raise RuntimeError(f"incremental gold runs ingested {n1}, {n2}, {n3} rows")
+    return spark.read.parquet(sink)
+
+
 def q_intake_filter(spark, d):
     return intake(fx.file_manifest(fx.table(spark, d, "pages")))
 
@@ -443,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "file_discovery": q_file_discovery,
     "latest_snapshot": q_latest_snapshot,
     "incremental_ingest": q_incremental_ingest,
+    "incremental_gold": q_incremental_gold,
     "intake_filter": q_intake_filter,
     "resolve_shortcuts": q_resolve_shortcuts,
     "tolerant_scan": q_tolerant_scan,
@@ -610,6 +629,7 @@ ORACLE: dict[str, str] = {
     "file_discovery": _sql("SELECT * FROM staffing", "staffing"),
     "latest_snapshot": _sql("SELECT * FROM staffing", "staffing"),
     "incremental_ingest": "SELECT * FROM events",
+    "incremental_gold": _sql("SELECT * FROM gold", "gold"),
     "intake_filter": _sql(_intake_sql(), "manifest"),
     "resolve_shortcuts": _sql(_resolve_sql(), "manifest"),
     "tolerant_scan": _sql(_tolerant_sql(), "staffing"),

@@ -42,3 +42,22 @@ def ingest_incremental(spark: SparkSession, source: str, sink: str, checkpoint:
     if query.exception() is not None:
         raise query.exception()
     return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+
+
+def gold_incremental(spark: SparkSession, staffing_source: str, provider: DataFrame, state_avg: DataFrame,
+                     sink: str, checkpoint: str, staffing_schema, fmt: str = "parquet",
+                     normalize_fact_key: bool = False, max_files_per_trigger: int = 1000) -> int:
+    """Gold for new staffing files only (S6 applied to the gold job's sources).
+
+    Each micro-batch of newly landed bronze staffing files goes through the
+    same plan as the batch gold job: a stream-static LEFT join with the
+    provider and state tables (measured, and broadcast when small), then the
+    metric projection, appended to ``sink``.  Returns the new fact rows.
+    """
+    from carelens.plans.gold import gold
+
+    def to_gold(stream: DataFrame) -> DataFrame:
+        return gold(stream, provider, state_avg, normalize_fact_key=normalize_fact_key)
+
+    return ingest_incremental(spark, staffing_source, sink, checkpoint, staffing_schema, fmt=fmt,
+                              transform=to_gold, max_files_per_trigger=max_files_per_trigger)
