@@ -30,9 +30,9 @@ from carelens.sources.sinks import write_bronze, write_snapshot
 @dataclass(frozen=True)
 class LandingFiles:
     """Names of the three landing files (or folders) under the landing root."""
-    provider: str = "NH_ProviderInfo.csv"
-    state: str = "NH_StateUSAverages.csv"
-    staffing: str = "PBJ_Daily_Nurse_Staffing.csv"
+    provider: str = "provider_info.csv"
+    state: str = "state_averages.csv"
+    staffing: str = "daily_staffing.csv"
 
 
 @dataclass(frozen=True)
