@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from carelens.utils import q, sql_str
 
-# Python's str.strip() removes every Unicode white-space character, Spark's
-# trim() only U+0020; (?U) makes \s Unicode-aware in Java regex.
-_LEAD_WS = r"(?U)^\s+"
-_TRAIL_WS = r"(?U)\s+$"
+# Python's str.strip() removes every character for which str.isspace() holds
+# (29 code points: ASCII blanks, the \x1c-\x1f separators, NBSP, the
+# U+2000 block, ideographic space, ...); Spark's trim() only U+0020 and Java's
+# (?U)\s misses \x1c-\x1f.  btrim over exactly that set matches Python.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, {sql_str(_LEAD_WS)}, ''), {sql_str(_TRAIL_WS)}, '')"
+    return f"btrim({x}, {sql_str(PY_WHITESPACE)})"
 
 
 def strip_zeros_sql(x: str) -> str:
@@ -41,7 +42,7 @@ def strip(c: Column | str) -> Column:
     """Remove Unicode white space at both ends (C1); NULL stays NULL."""
     if isinstance(c, str):
         return F.expr(strip_sql(q(c)))
-    return F.regexp_replace(F.regexp_replace(c, _LEAD_WS, ""), _TRAIL_WS, "")
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def strip_zeros(c: Column | str) -> Column:

@@ -22,6 +22,13 @@ def test_strip_is_unicode_aware(spark):
     assert got[:-1] == [k.strip() for k in KEYS[:-1]]
 
 
+def test_strip_equals_python_strip_on_every_space(spark):
+    from carelens.functions.text import PY_WHITESPACE
+    vals = [f"{c}k{c}" for c in PY_WHITESPACE] + ["\u200bk", "k\u00ad"]  # zero-width / soft hyphen are not space
+    got = [r[0] for r in _one_col(spark, vals).select(strip("v")).collect()]
+    assert got == [v.strip() for v in vals]
+
+
 def test_strip_zeros_and_all_zero_key(spark):
     got = [r[0] for r in _one_col(spark, KEYS).select(strip_zeros(strip("v"))).collect()]
     assert got == ["15009", "15009", "15009", "15E009", "1A193", None, "15009", None]
