@@ -46,3 +46,13 @@ def test_measured_bytes(spark):
     # (2+8) + 8 + 16  and  (0+8) + 8 + 16
     assert measured_bytes(df) == 34 + 32
     assert "Broadcast" not in _plan(bounded_broadcast(df, max_bytes=10).join(df, "n"))
+
+
+def test_sql_text_gold_keeps_broadcast_decision(spark):
+    p = _plan(QUERIES["sql_over_frames"](spark, SF))
+    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+
+
+def test_rollup_is_partial_then_final(spark):
+    p = _plan(QUERIES["provider_rollup"](spark, SF))
+    assert "partial_avg" in p and p.count("HashAggregate") >= 2
