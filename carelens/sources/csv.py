@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.schemas import NA_TOKENS
-from carelens.utils import q, qcol
+from carelens.utils import q, qcol, sql_str
 
 CORRUPT_COL = "_corrupt_record"
 
@@ -78,10 +78,6 @@ def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"
     return good, bad
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None) -> DataFrame:
     """Text equal to one of ``tokens`` becomes NULL (S3), text columns only.
 
@@ -92,7 +88,7 @@ def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None) -> DataFrame:
     targets = set(c for c in (cols or text_cols) if c in text_cols)
     if not targets:
         return df
-    toks = ", ".join(_sql_str(t) for t in tokens)
+    toks = ", ".join(sql_str(t) for t in tokens)
     exprs = [f"CASE WHEN {q(c)} IN ({toks}) THEN NULL ELSE {q(c)} END AS {q(c)}" if c in targets else q(c)
              for c in df.columns]
     return df.selectExpr(*exprs)
