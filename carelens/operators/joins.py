@@ -72,6 +72,10 @@ def bounded_broadcast(dim: DataFrame, strategy: str = "auto", max_bytes: int | N
     'shuffle' (never broadcast).  The shuffle path carries a ``merge`` hint so
     that Spark's own estimate-based broadcast cannot override a failed check;
     AQE's skew-join splitting then handles a hot facility key.
+
+    The measuring pass reads the pruned dimension once (facilities and states
+    are small, so this is a few thousand rows); for a dimension known to be
+    large, 'shuffle' skips that pass.
     """
     return bounded_broadcasts([dim], strategy, max_bytes)[0]
 
