@@ -8,6 +8,7 @@ the top-k is a bounded per-task heap; at most k rows reach the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from carelens.functions.numeric import coerce_numeric
 from carelens.functions.text import strip_sql, to_text_sql, upper_sql
@@ -54,12 +55,61 @@ def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
 
 
 def dashboard(gold: DataFrame, state: str | None = None, provnum: str | None = None,
-              provname: str | None = None, k: int = TOPK_DEFAULT, missing_key: str = "nan") -> DataFrame:
-    """Top-k facilities by mean total nurse hours under the cascaded filters."""
+              provname: str | None = None, k: int = TOPK_DEFAULT, missing_key: str = "nan",
+              prereduce: bool = False) -> DataFrame:
+    """Top-k facilities by mean total nurse hours under the cascaded filters.
+
+    ``prereduce=True`` aggregates on the raw keys first and cleans only the
+    distinct keys (see :func:`prereduced_rollup`); same result up to the
+    summation order of the means.
+    """
+    if prereduce:
+        return topk(prereduced_rollup(gold, state, provnum, provname, missing_key), k)
     rows = cascade(load_for_dashboard(gold, missing_key), state, provnum, provname)
     return topk(rollup(rows), k)
 
 
+def prereduced_rollup(gold: DataFrame, state: str | None = None, provnum: str | None = None,
+                      provname: str | None = None, missing_key: str = "nan") -> DataFrame:
+    """The roll-up with key clean-up moved after a first aggregation.
+
+    Phase 1 groups on the *raw* keys and keeps, per measure, sum and count
+    (means) or max; only the measures are coerced per row.  The keys are then
+    cleaned on the phase-1 rows (one per distinct raw key combination, not
+    one per fact), filtered, and phase 2 merges groups whose keys clean to the
+    same value: mean = sum of sums / sum of counts.  Both phases are hash
+    aggregates with map-side combine, so a hot facility stays one partial row
+    per task.
+    """
+    if missing_key not in ("nan", "drop"):
+        raise ValueError("missing_key must be 'nan' or 'drop'")
+    measures = [m for m, _ in ROLLUP_MEASURES]
+    raw = coerce_numeric(gold.select(PROVNUM, PROVNAME, STATE, *measures), measures)
+    phase1 = []
+    for m, how in ROLLUP_MEASURES:
+        if how == "mean":
+            phase1 += [f"sum({q(m)}) AS {q('_s_' + m)}", f"count({q(m)}) AS {q('_n_' + m)}"]
+        else:
+            phase1.append(f"{how}({q(m)}) AS {q('_x_' + m)}")
+    pre = raw.groupBy(PROVNUM, PROVNAME, STATE).agg(*[F.expr(e) for e in phase1])
+    render = "nan" if missing_key == "nan" else None
+    cleaned = pre.selectExpr(
+        f"{strip_sql(to_text_sql(q(PROVNUM), render))} AS {PROVNUM}",
+        f"{strip_sql(to_text_sql(q(PROVNAME), render))} AS {PROVNAME}",
+        f"{state_key_sql(render)} AS {STATE}",
+        *[q(c) for c in pre.columns if c.startswith("_")])
+    if missing_key == "drop":
+        cleaned = cleaned.dropna(subset=[PROVNUM, PROVNAME, STATE])
+    cleaned = cascade(cleaned, state, provnum, provname)
+    phase2 = []
+    for m, how in ROLLUP_MEASURES:
+        if how == "mean":
+            phase2.append(f"try_divide(sum({q('_s_' + m)}), sum({q('_n_' + m)})) AS {q(m)}")
+        else:
+            phase2.append(f"{how}({q('_x_' + m)}) AS {q(m)}")
+    return cleaned.groupBy(PROVNUM, PROVNAME, STATE).agg(*[F.expr(e) for e in phase2])
+
+
 def state_options(dash: DataFrame) -> DataFrame:
     return options(dash, STATE)
 
