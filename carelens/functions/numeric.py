@@ -15,12 +15,14 @@ from pyspark.sql import types as T
 
 from carelens.utils import q, sql_str
 
-# Strings a pandas ``to_numeric(errors='coerce')`` accepts: optional blanks,
-# sign, decimal or scientific notation, inf / infinity / nan in any case.
-# Spark's cast also takes Java suffixes such as '1.0d' or '5f'; the guard
-# rejects those so both paths agree.
+# Strings a pandas ``to_numeric(errors='coerce')`` accepts: a decimal or
+# scientific number with optional sign and surrounding blanks, or inf /
+# infinity / nan in any case with optional sign but *no* blanks (pandas
+# rejects ' inf').  Spark's cast also takes Java suffixes such as '1.0d' or
+# '5f' and hex floats; the guard rejects those so both paths agree.
 NUMERIC_TEXT = (
-    r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+    r"^(\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"
+    r"|[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?|[+-]?[nN][aA][nN])$"
 )
 
 
