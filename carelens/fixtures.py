@@ -55,14 +55,12 @@ def staffing_landing(lineitem: DataFrame) -> DataFrame:
     return lineitem.selectExpr(*cols)
 
 
-def _fill(df: DataFrame, known: dict, order, extra: dict) -> DataFrame:
-    """Project ``known`` columns, then every name of ``order`` (NULL text when
-    not known) plus ``extra``, in one ``selectExpr``."""
-    names = {c: f"_k{i}" for i, c in enumerate(list(known) + list(extra))}
-    base = df.select(*[e.alias(names[c]) for c, e in {**known, **extra}.items()])
-    out = [f"{names[c]} AS {q(c)}" if c in known else f"CAST(NULL AS STRING) AS {q(c)}" for c in order]
-    out += [f"{names[c]} AS {q(c)}" for c in extra]
-    return base.selectExpr(*out)
+def _fill(df: DataFrame, known: dict[str, str], order, extra: dict[str, str]) -> DataFrame:
+    """One ``selectExpr``: every name of ``order`` (its SQL from ``known``, else
+    NULL text), then ``extra``."""
+    out = [f"{known.get(c, 'CAST(NULL AS STRING)')} AS {q(c)}" for c in order]
+    out += [f"{e} AS {q(c)}" for c, e in extra.items()]
+    return df.selectExpr(*out)
 
 
 def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
@@ -70,34 +68,32 @@ def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
     % 7 = 0 are absent, so their facts find no provider; beds are '0' or
     missing for some, rating missing for some.  ``extra`` appends raw
     columns not on the retention list."""
-    sk = F.col("s_suppkey")
     known = {
-        CCN: F.concat(F.lit(" "), F.lpad(_s(sk), 6, "0")),
-        "Provider Name": F.col("s_name"),
-        PROV_STATE: F.concat(F.lit("ST"), _s(F.col("s_nationkey"))),
-        CERTIFIED_BEDS: F.when(sk % 11 == 0, F.lit("0")).when(sk % 13 == 0, F.lit(None).cast("string"))
-                         .otherwise(_s(F.lit(20) + sk)),
-        OVERALL_RATING: F.when(sk % 9 != 0, _s(F.lit(1) + sk % 5)),
+        CCN: "concat(' ', lpad(CAST(s_suppkey AS STRING), 6, '0'))",
+        "Provider Name": "s_name",
+        PROV_STATE: "concat('ST', CAST(s_nationkey AS STRING))",
+        CERTIFIED_BEDS: "CASE WHEN s_suppkey % 11 = 0 THEN '0' WHEN s_suppkey % 13 = 0 THEN NULL "
+                        "ELSE CAST(20 + s_suppkey AS STRING) END",
+        OVERALL_RATING: "CASE WHEN s_suppkey % 9 <> 0 THEN CAST(1 + s_suppkey % 5 AS STRING) END",
     }
-    extra_cols = {"Account Balance": _s(F.col("s_acctbal")), "Source Row": _s(sk)} if extra else {}
-    return _fill(supplier.filter(sk % 7 != 0), known, PROVIDER_INFO_COLS, extra_cols)
+    extra_cols = {"Account Balance": "CAST(s_acctbal AS STRING)", "Source Row": "CAST(s_suppkey AS STRING)"}
+    return _fill(supplier.filter("s_suppkey % 7 <> 0"), known, PROVIDER_INFO_COLS, extra_cols if extra else {})
 
 
 def state_landing(nation: DataFrame, extra: bool = False) -> DataFrame:
     """State averages, 42 text columns: one row per nation except the last,
     plus one national row."""
-    nk = F.col("n_nationkey")
     known = {
-        STATE_KEY: F.concat(F.lit(" st"), _s(nk), F.lit(" ")),
-        ST_AVG_RESIDENTS: _s(F.lit(50) + nk),
-        ST_AVG_NURSE_HRS: _s(F.lit(3) + nk % 4),
+        STATE_KEY: "concat(' st', CAST(n_nationkey AS STRING), ' ')",
+        ST_AVG_RESIDENTS: "CAST(50 + n_nationkey AS STRING)",
+        ST_AVG_NURSE_HRS: "CAST(3 + n_nationkey % 4 AS STRING)",
     }
-    national = {STATE_KEY: F.lit("Nation"), ST_AVG_RESIDENTS: F.lit("60"), ST_AVG_NURSE_HRS: F.lit("4")}
-    states = _fill(nation.filter(nk != 24), known, STATE_AVG_COLS,
-                   {"Region Key": _s(F.col("n_regionkey"))} if extra else {})
+    national = {STATE_KEY: "'Nation'", ST_AVG_RESIDENTS: "'60'", ST_AVG_NURSE_HRS: "'4'"}
+    states = _fill(nation.filter("n_nationkey <> 24"), known, STATE_AVG_COLS,
+                   {"Region Key": "CAST(n_regionkey AS STRING)"} if extra else {})
     # The national row: one global aggregate over nation yields exactly one row.
     nation_row = _fill(nation.agg(F.count(F.lit(1)).alias("_n")), national, STATE_AVG_COLS,
-                       {"Region Key": F.lit(None).cast("string")} if extra else {})
+                       {"Region Key": "CAST(NULL AS STRING)"} if extra else {})
     return states.unionByName(nation_row)
 
 

@@ -9,12 +9,17 @@ from carelens.schemas import INGESTED_AT
 from carelens.utils import q, qcol
 
 
-def retain(df: DataFrame, cols) -> DataFrame:
-    """Keep exactly ``cols`` in list order (P1/P2); a missing name raises."""
-    missing = [c for c in cols if c not in df.columns]
+def require_columns(df: DataFrame, cols) -> None:
+    """Raise when any of ``cols`` is not in ``df`` (listing all missing names)."""
+    have = set(df.columns)
+    missing = [c for c in cols if c not in have]
     if missing:
-        # Same failure class as Spark's own resolution error, but listing all.
         raise ValueError(f"columns not found: {missing}")
+
+
+def retain(df: DataFrame, cols) -> DataFrame:
+    """Keep exactly ``cols`` in list order (P1/P2); a missing name raises."""
+    require_columns(df, cols)
     return df.selectExpr(*[q(c) for c in cols])
 
 

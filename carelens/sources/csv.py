@@ -78,17 +78,20 @@ def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"
     return good, bad
 
 
-def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None) -> DataFrame:
+def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None, keep=None) -> DataFrame:
     """Text equal to one of ``tokens`` becomes NULL (S3), text columns only.
 
-    Built as one ``selectExpr`` (SQL text, one round trip to the JVM for any
-    number of columns); Catalyst turns each ``IN`` list into a hash-set probe.
+    ``keep``: output only these columns, in this order (a retention folded
+    into the same projection).  Built as one ``selectExpr``; Catalyst turns
+    each ``IN`` list into a hash-set probe.
     """
-    text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text_cols = [c for c, t in types.items() if isinstance(t, T.StringType)]
     targets = set(c for c in (cols or text_cols) if c in text_cols)
-    if not targets:
+    out_cols = list(keep) if keep is not None else df.columns
+    if not targets and keep is None:
         return df
     toks = ", ".join(sql_str(t) for t in tokens)
     exprs = [f"CASE WHEN {q(c)} IN ({toks}) THEN NULL ELSE {q(c)} END AS {q(c)}" if c in targets else q(c)
-             for c in df.columns]
+             for c in out_cols]
     return df.selectExpr(*exprs)
