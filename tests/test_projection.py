@@ -49,3 +49,20 @@ def test_failing_rules(spark):
     assert out == {"ColumnCount > 5": "Failed", "RowCount > 0": "Failed"}
     with pytest.raises(ValueError):
         check(df, (("Bogus", "k"),))
+
+
+def test_cluster_conf_respects_explicit_settings(spark):
+    from carelens.session import CLUSTER_CONF, apply_cluster_conf
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    try:
+        apply_cluster_conf(spark)
+        assert spark.conf.get(key) == CLUSTER_CONF[key]
+        # shuffle partitions were set explicitly when the test session was built
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        for k in CLUSTER_CONF:
+            if k != "spark.sql.shuffle.partitions":
+                spark.conf.unset(k)
+        if old is not None:
+            spark.conf.set(key, old)
