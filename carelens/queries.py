@@ -24,7 +24,9 @@ from carelens.operators.joins import P_BEDS, join_provider, join_state
 from carelens.operators.metrics import occup_rate, perm_staff, temp_staff, tot_nurse_hrs
 from carelens.operators.projection import apply_mapping, identity_mapping, retain, retain_all, stamp
 from carelens.operators.quality import check, publish
-from carelens.operators.views import view_hours_census, view_occupancy, view_rating, view_staff_mix, view_table
+from carelens.operators.views import (
+    view_hours_census, view_occupancy, view_rating, view_staff_mix, view_table, view_table_scaled,
+)
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
 from carelens.plans.dashboard import dashboard, load_for_dashboard, provname_options, provnum_options, state_options
 from carelens.plans.gold import gold, gold_via_sql
@@ -453,6 +455,21 @@ def q_dashboard_topk(spark, d):
     return _top20(spark, d)
 
 
+def q_dashboard_state_topk(spark, d):
+    """The flagship under a state filter, k at its minimum (F1 + A1 + O2)."""
+    return dashboard(_gold(spark, d), state=SEL_STATE, k=5)
+
+
+def q_view_table_scaled(spark, d):
+    """The gradient table: P12 with census and occupancy scaled over its rows (A5)."""
+    return view_table_scaled(_top20(spark, d))
+
+
+def q_gold_strict(spark, d):
+    """Gold with the older job's null-propagating sums (M1b-M3b in place)."""
+    return _gold(spark, d, strict=True)
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "csv_scan": q_csv_scan,
@@ -524,6 +541,9 @@ QUERIES: dict[str, Query] = {
     "gold": q_gold,
     "gold_normalized_keys": q_gold_normalized_keys,
     "dashboard_topk": q_dashboard_topk,
+    "dashboard_state_topk": q_dashboard_state_topk,
+    "view_table_scaled": q_view_table_scaled,
+    "gold_strict": q_gold_strict,
 }
 
 # ================================================================= oracle SQL
@@ -583,13 +603,13 @@ def _tolerant_sql() -> str:
     return f"SELECT {', '.join(sel)} FROM staffing WHERE " + " AND ".join(ok)
 
 
-def _minmax_sql() -> str:
+def _minmax_sql(source: str = "SELECT * FROM top20") -> str:
     cols = ["MDScensus", "occup_rate"]
     ext = ", ".join(f"min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in cols)
     scaled = ", ".join(
         f"CASE WHEN t.{c} IS NULL THEN NULL WHEN e.mx_{c} - e.mn_{c} = 0 THEN 0.0 "
         f"ELSE (t.{c} - e.mn_{c}) / (e.mx_{c} - e.mn_{c}) END AS {c}_scaled" for c in cols)
-    return f"SELECT t.*, {scaled} FROM top20 t, (SELECT {ext} FROM top20) e"
+    return f"SELECT t.*, {scaled} FROM ({source}) t, (SELECT {ext} FROM ({source}) s) e"
 
 
 def _gold_norm_sql() -> str:
@@ -700,6 +720,11 @@ ORACLE: dict[str, str] = {
     "gold": _sql("SELECT * FROM gold", "gold"),
     "gold_normalized_keys": _gold_norm_sql(),
     "dashboard_topk": _sql("SELECT * FROM top20", "top20"),
+    "dashboard_state_topk": _sql(f"SELECT * FROM rollup WHERE STATE = '{SEL_STATE}' ORDER BY {fs.ORDER_ROLLUP} LIMIT 5",
+                                 "rollup"),
+    "view_table_scaled": _sql(_minmax_sql("SELECT STATE, PROVNUM, PROVNAME, MDScensus, Tot_Nurse_hrs, occup_rate, "
+                                          "overall_rating FROM top20"), "top20"),
+    "gold_strict": _sql("SELECT * FROM gold_strict", "gold_strict"),
 }
 
 # Queries with no SQL counterpart get only the driver's rows check.
