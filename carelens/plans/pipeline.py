@@ -44,8 +44,11 @@ class BronzeTables:
 
 def run_bronze(spark: SparkSession, landing: str, bronze: str, files: LandingFiles = LandingFiles(),
                tables: BronzeTables = BronzeTables(), encoding: str = "ISO-8859-1", ts=None,
-               fmt: str = "parquet") -> dict[str, str]:
-    """B1-B3 over the landing CSVs; keys are read as text (no inference)."""
+               fmt: str = "parquet", multi_line: bool = False) -> dict[str, str]:
+    """B1-B3 over the landing CSVs; keys are read as text (no inference).
+
+    ``multi_line`` for extracts whose quoted fields contain line breaks.
+    """
     out = {}
     steps = (
         (files.provider, tables.provider, bronze_provider, [CCN]),
@@ -53,7 +56,8 @@ def run_bronze(spark: SparkSession, landing: str, bronze: str, files: LandingFil
         (files.staffing, tables.staffing, bronze_staffing, [PROVNUM]),
     )
     for src, dst, step, keys in steps:
-        raw = read_csv(spark, f"{landing.rstrip('/')}/{src}", encoding=encoding, string_cols=keys)
+        raw = read_csv(spark, f"{landing.rstrip('/')}/{src}", encoding=encoding, string_cols=keys,
+                       multi_line=multi_line)
         path = f"{bronze.rstrip('/')}/{dst}"
         write_bronze(step(raw, ts=ts), path, fmt=fmt)
         out[dst] = path

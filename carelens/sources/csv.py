@@ -35,15 +35,20 @@ def _as_struct(schema) -> T.StructType | None:
 
 
 def read_csv(spark: SparkSession, path, schema=None, encoding: str = "UTF-8",
-             string_cols=None, columns=None) -> DataFrame:
+             string_cols=None, columns=None, multi_line: bool = False) -> DataFrame:
     """CSV scan (S1/S2).
 
     * ``schema`` (StructType or DDL): declared types, never inferred.
     * ``string_cols`` without a schema: every column is text anyway; the
       argument documents intent and is checked against the header.
     * ``columns``: project early so the scan reads only what is needed.
+    * ``multi_line``: quoted fields may hold line breaks (as pandas allows).
+      Such a file cannot be split, so each file is one task; keep it off for
+      extracts without embedded newlines, and land big extracts as many files.
     """
     r = spark.read.options(**_CSV_OPTS).option("encoding", encoding)
+    if multi_line:
+        r = r.option("multiLine", "true")
     st = _as_struct(schema)
     if st is not None:
         r = r.schema(st)

@@ -137,3 +137,14 @@ def test_uncommitted_snapshot_is_ignored(spark, scratch):
     assert read_latest(spark, root).count() == 4
     # without the commit table the file-time rule applies (foreign layouts)
     assert latest_snapshot_path(spark, root, committed_only=False).endswith("-dead")
+
+
+def test_quoted_line_breaks_need_multi_line(spark, scratch):
+    d = _local(scratch("multiline"))
+    os.makedirs(d)
+    with open(f"{d}/p.csv", "wb") as f:
+        f.write('Provider Name,Provider Address\n"Peña Care","12 Main St\nSuite 4"\nOther,"1 Road"\n'.encode("latin-1"))
+    rows = read_csv(spark, f"{d}/p.csv", encoding="ISO-8859-1", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("Peña Care", "12 Main St\nSuite 4"), ("Other", "1 Road")]
+    import pandas as pd
+    assert pd.read_csv(f"{d}/p.csv", encoding="latin-1").shape[0] == len(rows)
