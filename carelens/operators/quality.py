@@ -34,53 +34,46 @@ def _rule_text(rule) -> str:
 def check(df: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
     """Evaluate ``rules`` on ``df`` -> ``rule, outcome, metric`` (one row each).
 
-    ``ColumnCount`` is read from the schema, the rest come from at most one
-    aggregate plus one grouped pass per uniqueness rule.  The outcome rows are
-    built as a Spark aggregate over ``df`` itself, so nothing but the verdicts
-    moves.
+    All row-level metrics come from *one* aggregate over ``df`` (a single
+    pass); each verdict is a struct computed from that one row and the rows
+    are produced by exploding the array of verdicts, so the data is never
+    read once per rule.  ``ColumnCount`` needs no data at all; each
+    ``IsUnique`` adds one grouped pass (embedded as a scalar subquery).
     """
     spark = df.sparkSession
     ncols = len(df.columns)
-    row_aggs = {"__rows": F.count(F.lit(1))}
-    for r in rules:
-        if r[0] == "IsComplete":
-            row_aggs[f"__nn_{r[1]}"] = F.count(qcol(r[1]))
-    parts = []
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    complete = [r[1] for r in rules if r[0] == "IsComplete"]
+    aggs += [F.count(qcol(c)).alias(f"__nn_{i}") for i, c in enumerate(complete)]
     need_rows = any(r[0] in ("RowCount", "IsComplete") for r in rules)
-    stats = df.agg(*[v.alias(k) for k, v in row_aggs.items()]) if need_rows else None
+    base = df.agg(*aggs) if need_rows else spark.range(1)
+
+    def verdict(text, ok, metric):
+        return F.struct(F.lit(text).alias("rule"),
+                        F.when(ok, F.lit("Passed")).otherwise(F.lit("Failed")).alias("outcome"),
+                        metric.cast("double").alias("metric"))
+
+    verdicts = []
     for r in rules:
-        kind = r[0]
-        text = F.lit(_rule_text(r))
+        kind, text = r[0], _rule_text(r)
         if kind == "ColumnCount":
-            ok = _OPS[r[1]](ncols, r[2])
-            parts.append(spark.range(1).select(text.alias("rule"),
-                                               F.lit("Passed" if ok else "Failed").alias("outcome"),
-                                               F.lit(float(ncols)).alias("metric")))
+            verdicts.append(verdict(text, F.lit(bool(_OPS[r[1]](ncols, r[2]))), F.lit(float(ncols))))
         elif kind == "RowCount":
-            m = F.col("__rows").cast("double")
+            m = F.col("__rows")
             cond = {">": m > r[2], ">=": m >= r[2], "<": m < r[2], "<=": m <= r[2], "=": m == r[2],
                     "==": m == r[2], "!=": m != r[2]}[r[1]]
-            parts.append(stats.select(text.alias("rule"),
-                                      F.when(cond, "Passed").otherwise("Failed").alias("outcome"),
-                                      m.alias("metric")))
+            verdicts.append(verdict(text, cond, m))
         elif kind == "IsComplete":
-            m = (F.col(f"__nn_{r[1]}") / F.col("__rows")).cast("double")
-            parts.append(stats.select(text.alias("rule"),
-                                      F.when(F.col(f"__nn_{r[1]}") == F.col("__rows"), "Passed")
-                                      .otherwise("Failed").alias("outcome"),
-                                      F.coalesce(m, F.lit(1.0)).alias("metric")))
+            nn = F.col(f"__nn_{complete.index(r[1])}")
+            ratio = F.coalesce(F.try_divide(nn.cast("double"), F.col("__rows")), F.lit(1.0))
+            verdicts.append(verdict(text, nn == F.col("__rows"), ratio))
         elif kind == "IsUnique":
-            dup = (df.groupBy(qcol(r[1]).alias("_k")).count().filter(F.col("count") > 1)
-                   .agg(F.count(F.lit(1)).alias("_dups")))
-            parts.append(dup.select(text.alias("rule"),
-                                    F.when(F.col("_dups") == 0, "Passed").otherwise("Failed").alias("outcome"),
-                                    F.col("_dups").cast("double").alias("metric")))
+            dups = (df.groupBy(qcol(r[1]).alias("_k")).count().filter(F.col("count") > 1)
+                    .agg(F.count(F.lit(1)).alias("_dups"))).scalar()
+            verdicts.append(verdict(text, dups == 0, dups))
         else:
             raise ValueError(f"unknown rule {r!r}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return base.select(F.explode(F.array(*verdicts)).alias("v")).select("v.rule", "v.outcome", "v.metric")
 
 
 def observed(df: DataFrame, name: str = "gold_metrics", cols=()):

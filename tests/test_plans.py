@@ -56,3 +56,14 @@ def test_sql_text_gold_keeps_broadcast_decision(spark):
 def test_rollup_is_partial_then_final(spark):
     p = _plan(QUERIES["provider_rollup"](spark, SF))
     assert "partial_avg" in p and p.count("HashAggregate") >= 2
+
+
+def test_quality_rules_read_the_data_once(spark):
+    from carelens.operators.quality import check
+    from carelens.queries import _gold
+    df = check(_gold(spark, SF), (("ColumnCount", ">", 0), ("RowCount", ">", 0), ("IsComplete", "occup_rate"),
+                                  ("IsComplete", "PROVNUM")))
+    assert df.count() == 4
+    p = _plan(df)
+    assert len([l for l in p.splitlines() if "FileScan" in l and "lineitem" in l]) == 1
+    assert "Union" not in p
