@@ -17,7 +17,7 @@ __version__ = "0.1.0"
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state  # noqa: E402
 from carelens.plans.dashboard import dashboard, load_for_dashboard  # noqa: E402
 from carelens.plans.gold import gold, gold_via_sql  # noqa: E402
-from carelens.plans.pipeline import ask, load_gold, run_bronze, run_gold  # noqa: E402
+from carelens.plans.runner import ask, load_gold, run_bronze, run_gold  # noqa: E402
 from carelens.session import apply_cluster_conf, get_spark  # noqa: E402
 from carelens.streaming.incremental import gold_incremental, ingest_incremental  # noqa: E402
 

@@ -1,6 +1,6 @@
 """File-to-file runner: landing CSV -> bronze -> gold snapshot -> dashboard.
 
-    from carelens.plans.pipeline import run_bronze, run_gold, ask
+    from carelens.plans.runner import run_bronze, run_gold, ask
     run_bronze(spark, landing, bronze)            # three landing CSVs
     run_gold(spark, bronze, gold_root)            # one new snapshot + DQ table
     ask(spark, gold_root, state="AL", k=20)       # top-k over the newest snapshot

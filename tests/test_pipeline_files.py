@@ -7,7 +7,7 @@ import os
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
 from carelens.plans.dashboard import dashboard
 from carelens.plans.gold import gold
-from carelens.plans.pipeline import LandingFiles, ask, load_gold, run_bronze, run_gold
+from carelens.plans.runner import LandingFiles, ask, load_gold, run_bronze, run_gold
 from carelens.schemas import PROVIDER_INFO_COLS, STATE_AVG_COLS
 from tests import edge_tables as E
 
