@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carelens.llm import bpe
-from carelens.llm.common import table
+from carelens.llm import bpe, quality, toxicity, urls
+from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,37 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_spec(spark), keep=["doc_id"])
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+#: The rules that op6 judges by.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/"))
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.Filter(URL_RULES).fit(pages).judge(pages)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_toxicity": op3_toxicity,
     "op5_bpe": op5_bpe,
+    "op6_urls": op6_urls,
+    "op8_quality": op8_quality,
 }
 
 #: DuckDB text for the queries that SQL can express over whole tables.
