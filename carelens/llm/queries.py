@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, quality, toxicity, urls
+from carelens.llm import bpe, decontaminate, quality, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_spec(spark), keep=["doc_id"])
 
@@ -45,6 +49,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_urls": op6_urls,
     "op8_quality": op8_quality,
