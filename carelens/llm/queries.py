@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, quality, toxicity, urls
+from carelens.llm import bpe, decontaminate, fingerprints, quality, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.Filter(URL_RULES).fit(pages).judge(pages)
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_urls": op6_urls,
+    "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
 }
 
