@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, fingerprints, quality, toxicity, urls
+from carelens.llm import bpe, decontaminate, fingerprints, langid, quality, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_spec(spark), keep=["doc_id"])
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs), keep=["doc_id"])
+    return found.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -52,6 +58,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_langid": op2_langid,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
