@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, fingerprints, langid, quality, toxicity, urls
+from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, quality, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.read_spec(spark), keep=["doc_id"])
 
 
+def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = hmm.score(docs, learn=fold_of("doc_id", 5) != 1)
+    return scored.select("doc_id", (fold_of("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs, langid.train(docs), keep=["doc_id"])
@@ -58,6 +65,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_hmm": op1_hmm,
     "op2_langid": op2_langid,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
