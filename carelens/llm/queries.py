@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, quality, toxicity, urls
+from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, quality, suffixes, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.dedup(table(spark, sf_dir, "documents"), keep=["doc_id"], texts=False)
+    removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_hmm": op1_hmm,
     "op2_langid": op2_langid,
@@ -73,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op6_urls": op6_urls,
     "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
+    "op10_suffixes": op10_suffixes,
 }
 
 #: DuckDB text for the queries that SQL can express over whole tables.
