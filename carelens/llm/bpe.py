@@ -309,14 +309,14 @@ def decode(encoded: DataFrame, spec: str, id_col: str = "doc_id", ids_col: str =
     return encoded.select(F.col(id_col).alias("i"), F.col(ids_col).alias("x")).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, spec: str, keep: list[str], text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, spec: str, keep: list[str], text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass: the columns `keep` and, per text, n_tokens, ids_sha256 (of the decimal ids
-    joined by commas) and decoded_sha256. The ids themselves, several times the size of the text, never leave the
-    task."""
+    joined by commas) and decoded_sha256; and `ids` only if asked for, as they are larger than the text."""
     codec = Codec(spec)
     base = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], blank_null(text_col).alias("t"))
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kinds, "n_tokens long, ids_sha256 string, decoded_sha256 string"])
+    schema = ", ".join([*kinds, "n_tokens long, ids_sha256 string, decoded_sha256 string",
+                        *["ids array<int>"] * with_ids])
 
     def run(batches):
         enc = Encoder(codec)
@@ -334,8 +334,11 @@ def digests(docs: DataFrame, spec: str, keep: list[str], text_col: str = "text")
                 text = b"".join(map(back.__getitem__, words)).decode("utf-8", "replace")
                 of_text.append(sha(text.encode()).hexdigest())
             done = [pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+            if with_ids:
+                flat = np.fromiter((i for words in split for w in words for i in known[w]), np.int32, sum(n))
+                done.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(flat)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f"k{i}") for i in range(len(keep))), *done],
-                                             names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+                                             names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     return base.mapInArrow(run, schema)
 

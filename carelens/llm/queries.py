@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, quality, suffixes, toxicity, urls
+from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, neardup, quality, suffixes, toxicity, urls
 from carelens.llm.common import fold_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffixes.dedup(table(spark, sf_dir, "documents"), keep=["doc_id"], texts=False)
     removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_urls": op6_urls,
     "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
+    "op9_neardup": op9_neardup,
     "op10_suffixes": op10_suffixes,
 }
 
