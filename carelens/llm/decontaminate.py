@@ -118,5 +118,5 @@ def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def without_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """The rows of docs, with all their columns, that no item's window occurs in."""
     hit = matches(docs, benchmark, id_col, text_col, **more).select(F.col("k").alias("hit_k")).distinct()
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), _key(id_col, text_col).alias("k"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _key(id_col, text_col).alias("k"))
     return keyed.join(hit, F.col("k") == F.col("hit_k"), "left_anti").select("row.*")

@@ -146,9 +146,10 @@ class Parameters:
         return self.start, self.move, self.emit, self.anywhere
 
     @classmethod
-    def of_counts(cls, start, move, emit, anywhere) -> Parameters:
-        """Maximum likelihood with a few tokens of the average state, so that no probability is 0."""
-        share = (emit.sum(axis=1) + 0.5) / (emit.sum() + 0.5 * len(emit))
+    def of_counts(cls, start, move, emit, anywhere, floor: float = 0.0) -> Parameters:
+        """Maximum likelihood with a few tokens of the average state, so that no state lacks a class that others have.
+        floor: for classes that only a sample lacks."""
+        share = (emit.sum(axis=1) + floor) / (emit.sum() + floor * len(emit))
         return cls((start + 1) / (start + 1).sum(), (move + 1) / (move + 1).sum(axis=1, keepdims=True),
                    (emit + KAPPA * share[:, None]) / (emit.sum(axis=0) + KAPPA), (anywhere + 1) / (anywhere + 1).sum())
 
@@ -206,7 +207,7 @@ class Expected:
         self.anywhere += gamma.sum(axis=0)
 
     def parameters(self) -> Parameters:
-        return Parameters.of_counts(self.start, self.move, self.emit, self.anywhere)
+        return Parameters.of_counts(self.start, self.move, self.emit, self.anywhere, floor=0.5)
 
 
 def runs(begin: np.ndarray, which: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -306,6 +307,8 @@ class Model:
 
     def forward(self, obs: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """log10 likelihood of each text's classes (CLASSES stands for the unknown outcome, which all states emit alike)."""
+        if not self.tokens:  # one outcome is left
+            return np.zeros(len(begin) - 1)
         emit = np.vstack([self.p.emit, np.ones(STATES)])
         start, size, first, text = runs(begin, np.arange(len(begin) - 1), PART)
         out = np.zeros(len(begin) - 1)

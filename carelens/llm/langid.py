@@ -266,7 +266,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         model = learn(texts, langs, sample_chars)
         yield pd.DataFrame({"model": [model.dump() if model else b""]})
 
-    return bytes(sample.mapInPandas(run, "model binary").first()["model"])
+    row = sample.mapInPandas(run, "model binary").first()
+    return bytes(row["model"]) if row else b""
 
 
 def identify(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -298,7 +298,7 @@ def _across(nodes: DataFrame, hot: set[int], shards: int, labels: DataFrame) ->
     rows = rows.join(F.broadcast(largest), "key")  # at most as many rows as hot keys
     rest = rows.where("root != main")
     stay = rows.join(rest.select("key").distinct(), "key", "left_semi").select("key", "salt", "node", "sketch")
-    spread = rest.select("key", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("salt"), "node", "sketch")
+    spread = rest.select("key", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("salt"), "node", "sketch")
 
     def tie(group: pa.Table) -> pa.Table:
         key = np.asarray(group.column("key")).astype(np.int64).view(np.uint64)
@@ -401,6 +401,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     once. Rows without an id stay where no row of their class has one; rows without words all stay."""
     found = classes(docs, id_col, text_col, **options)
     kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col("k").alias("kept_k")).distinct()
-    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.xxhash64(F.col(id_col), blank_null(text_col)).alias("k"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(F.col(id_col), blank_null(text_col)).alias("k"))
     joined = keyed.join(kept, F.col("k") == F.col("kept_k"), "left_semi")
     return joined.dropDuplicates(["k"]).select("row.*")

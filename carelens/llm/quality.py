@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import blank_null, pieces, text_bytes
+from carelens.llm.common import blank_null, fold_of, pieces, text_bytes
 from carelens.llm.labelled import bounded_rows, labelled_sample, sigmoid
 
 #: Byte classes: lower case, upper case, digit, blank, line end, sentence end, comma and the like, other ASCII, not ASCII.
@@ -145,9 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
         texts, y = bounded_rows(frames, sample_chars)
         yield pd.DataFrame({"state": [Discriminant(of_texts(texts), np.array(y)).state()]})
 
-    model = Discriminant.load(sample.mapInPandas(run, "state string").first()["state"])
-    from carelens.llm.common import fold_of
-
+    row = sample.mapInPandas(run, "state string").first()
+    model = Discriminant.load(row["state"]) if row else Discriminant(of_texts([]), np.zeros(0))
     seen = labels.where(F.col(label).isin(0, 1) & (fold_of("doc_id", folds) != held_out))
     n1, n0 = seen.agg(F.sum(F.col(label)).alias("a"), F.sum(1 - F.col(label)).alias("b")).first()
     if model.constant is None and n1 and n0:

@@ -103,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
         yield pd.DataFrame({"weight": [weight.tobytes()], "bias": [bias]})
 
     row = sample.mapInPandas(run, "weight binary, bias double").first()
-    return np.frombuffer(bytes(row["weight"]), np.float32), row["bias"]
+    return (np.frombuffer(bytes(row["weight"]), np.float32), row["bias"]) if row else fit([], [])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], text_col: str = "text") -> DataFrame:
