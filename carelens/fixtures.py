@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.sources.scan import balanced
+from carelens.sources.scan import spread
 from carelens.utils import q
 from carelens.schemas import (
     CCN, CERTIFIED_BEDS, MIME_CSV, MIME_FOLDER, MIME_SHEET, OVERALL_RATING, PERM_PARTS, PROV_STATE,
@@ -20,14 +20,13 @@ from carelens.schemas import (
 )
 
 
-# Tables whose rows the pipeline works through one by one (the fact side),
-# with their row keys.
-FACT_TABLES = {"lineitem": ("l_orderkey", "l_linenumber"), "events": ("event_id",)}
+# Tables whose rows the pipeline works through one by one (the fact side).
+FACT_TABLES = ("lineitem", "events")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _s(c: Column) -> Column:
@@ -36,14 +35,18 @@ def _s(c: Column) -> Column:
 
 def staffing_landing(lineitem: DataFrame) -> DataFrame:
     """Daily staffing facts, all text: padded keys (every 5th supplier also
-    zero-padded), a malformed RN value, missing parts."""
+    zero-padded), a malformed RN value, missing parts.  Facilities share names
+    (key % 40) and have a second one on some lines; some lines name the next
+    state; some censuses are missing tokens."""
     qty = "CAST(l_quantity AS INT)"
     sk = "CAST(l_suppkey AS STRING)"
     cols = [
         f"concat(' ', CASE WHEN l_suppkey % 5 = 0 THEN lpad({sk}, 6, '0') ELSE {sk} END, ' ') AS PROVNUM",
-        f"concat('Provider ', {sk}) AS PROVNAME",
-        "concat(' st', CAST(l_suppkey % 25 AS STRING), ' ') AS STATE",
-        f"CASE WHEN l_linenumber <> 2 THEN CAST({qty} AS STRING) END AS MDScensus",
+        "concat('Provider ', CAST(l_suppkey % 40 AS STRING), CASE WHEN l_linenumber = 6 THEN ' West' ELSE '' END) "
+        "AS PROVNAME",
+        "concat(' st', CAST((l_suppkey + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) % 25 AS STRING), ' ') AS STATE",
+        f"CASE WHEN l_linenumber = 2 THEN NULL WHEN l_orderkey % 89 = 0 THEN 'N/A' WHEN l_orderkey % 83 = 0 THEN 'null' "
+        f"ELSE CAST({qty} AS STRING) END AS MDScensus",
         f"CASE WHEN l_linenumber = 3 THEN NULL WHEN l_orderkey % 97 = 0 THEN 'x?' "
         f"ELSE CAST({qty} AS STRING) END AS Hrs_RN",
         "CASE WHEN l_linenumber <> 4 THEN CAST(l_tax AS STRING) END AS Hrs_LPN",
@@ -65,11 +68,11 @@ def _fill(df: DataFrame, known: dict[str, str], order, extra: dict[str, str]) ->
 
 def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
     """Provider info, 63 text columns (unused ones NULL).  Suppliers with key
-    % 7 = 0 are absent, so their facts find no provider; beds are '0' or
-    missing for some, rating missing for some.  ``extra`` appends raw
+    % 7 = 0 have a key of another kind, so their facts find no provider; beds are
+    '0' or missing for some, rating missing for some.  ``extra`` appends raw
     columns not on the retention list."""
     known = {
-        CCN: "concat(' ', lpad(CAST(s_suppkey AS STRING), 6, '0'))",
+        CCN: "concat(' ', CASE WHEN s_suppkey % 7 = 0 THEN 'X' ELSE '' END, lpad(CAST(s_suppkey AS STRING), 6, '0'))",
         "Provider Name": "s_name",
         PROV_STATE: "concat('ST', CAST(s_nationkey AS STRING))",
         CERTIFIED_BEDS: "CASE WHEN s_suppkey % 11 = 0 THEN '0' WHEN s_suppkey % 13 = 0 THEN NULL "
@@ -77,19 +80,19 @@ def provider_landing(supplier: DataFrame, extra: bool = False) -> DataFrame:
         OVERALL_RATING: "CASE WHEN s_suppkey % 9 <> 0 THEN CAST(1 + s_suppkey % 5 AS STRING) END",
     }
     extra_cols = {"Account Balance": "CAST(s_acctbal AS STRING)", "Source Row": "CAST(s_suppkey AS STRING)"}
-    return _fill(supplier.filter("s_suppkey % 7 <> 0"), known, PROVIDER_INFO_COLS, extra_cols if extra else {})
+    return _fill(supplier, known, PROVIDER_INFO_COLS, extra_cols if extra else {})
 
 
 def state_landing(nation: DataFrame, extra: bool = False) -> DataFrame:
-    """State averages, 42 text columns: one row per nation except the last,
-    plus one national row."""
+    """State averages, 42 text columns: one row per nation, the last one's
+    under a key that no provider has, plus one national row."""
     known = {
-        STATE_KEY: "concat(' st', CAST(n_nationkey AS STRING), ' ')",
+        STATE_KEY: "concat(' st', CAST(n_nationkey AS STRING), CASE WHEN n_nationkey = 24 THEN 'x ' ELSE ' ' END)",
         ST_AVG_RESIDENTS: "CAST(50 + n_nationkey AS STRING)",
         ST_AVG_NURSE_HRS: "CAST(3 + n_nationkey % 4 AS STRING)",
     }
     national = {STATE_KEY: "'Nation'", ST_AVG_RESIDENTS: "'60'", ST_AVG_NURSE_HRS: "'4'"}
-    states = _fill(nation.filter("n_nationkey <> 24"), known, STATE_AVG_COLS,
+    states = _fill(nation, known, STATE_AVG_COLS,
                    {"Region Key": "CAST(n_regionkey AS STRING)"} if extra else {})
     # The national row: one global aggregate over nation yields exactly one row.
     nation_row = _fill(nation.agg(F.count(F.lit(1)).alias("_n")), national, STATE_AVG_COLS,

@@ -7,7 +7,6 @@ pre-registered views (lineitem, supplier, nation, pages, events, ...).
 
 from __future__ import annotations
 
-from carelens.functions.numeric import NUMERIC_TEXT
 from carelens.schemas import (
     CCN, CENSUS, CERTIFIED_BEDS, MIME_CSV, MIME_FOLDER, MIME_SHEET, NA_TOKENS, OVERALL_RATING, PERM_PARTS,
     PROV_STATE, PROVIDER_INFO_COLS, PROVNAME, PROVNUM, ROLLUP_MEASURES, ST_AVG_NURSE_HRS, ST_AVG_RESIDENTS,
@@ -42,8 +41,9 @@ def nan_null(x: str) -> str:
 
 
 def to_number(x: str) -> str:
-    v = f"CASE WHEN regexp_matches(CAST({x} AS VARCHAR), {lit(NUMERIC_TEXT)}) THEN TRY_CAST(trim(CAST({x} AS VARCHAR)) AS DOUBLE) END"
-    return nan_null(v)
+    """What pandas reads as a number: DuckDB's own cast, less what it takes beyond that (digit separators)."""
+    t = f"CAST({x} AS VARCHAR)"
+    return nan_null(f"CASE WHEN NOT contains({t}, '_') THEN TRY_CAST(trim({t}) AS DOUBLE) END")
 
 
 def _s(x: str) -> str:
@@ -59,9 +59,10 @@ def _staffing_role() -> str:
     qty = "CAST(l_quantity AS INTEGER)"
     cols = [
         f"concat(' ', CASE WHEN l_suppkey % 5 = 0 THEN lpad({_s('l_suppkey')}, 6, '0') ELSE {_s('l_suppkey')} END, ' ') AS PROVNUM",
-        f"concat('Provider ', {_s('l_suppkey')}) AS PROVNAME",
-        f"concat(' st', {_s('l_suppkey % 25')}, ' ') AS STATE",
-        f"CASE WHEN l_linenumber <> 2 THEN {_s(qty)} END AS MDScensus",
+        f"concat('Provider ', {_s('l_suppkey % 40')}, CASE WHEN l_linenumber = 6 THEN ' West' ELSE '' END) AS PROVNAME",
+        f"concat(' st', {_s('(l_suppkey + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) % 25')}, ' ') AS STATE",
+        f"CASE WHEN l_linenumber = 2 THEN NULL WHEN l_orderkey % 89 = 0 THEN 'N/A' WHEN l_orderkey % 83 = 0 THEN 'null' "
+        f"ELSE {_s(qty)} END AS MDScensus",
         f"CASE WHEN l_linenumber = 3 THEN NULL WHEN l_orderkey % 97 = 0 THEN 'x?' ELSE {_s(qty)} END AS Hrs_RN",
         f"CASE WHEN l_linenumber <> 4 THEN {_s('l_tax')} END AS Hrs_LPN",
         f"{_s('l_discount')} AS Hrs_CNA",
@@ -74,7 +75,7 @@ def _staffing_role() -> str:
 
 def _provider_role(extra: bool) -> str:
     known = {
-        CCN: f"concat(' ', lpad({_s('s_suppkey')}, 6, '0'))",
+        CCN: f"concat(' ', CASE WHEN s_suppkey % 7 = 0 THEN 'X' ELSE '' END, lpad({_s('s_suppkey')}, 6, '0'))",
         "Provider Name": "s_name",
         PROV_STATE: f"concat('ST', {_s('s_nationkey')})",
         CERTIFIED_BEDS: f"CASE WHEN s_suppkey % 11 = 0 THEN '0' WHEN s_suppkey % 13 = 0 THEN NULL ELSE {_s('20 + s_suppkey')} END",
@@ -83,12 +84,12 @@ def _provider_role(extra: bool) -> str:
     cols = [f"{known.get(c, NULL_S)} AS {dq(c)}" for c in PROVIDER_INFO_COLS]
     if extra:
         cols += [f"{_s('s_acctbal')} AS {dq('Account Balance')}", f"{_s('s_suppkey')} AS {dq('Source Row')}"]
-    return "SELECT " + ",\n  ".join(cols) + "\nFROM supplier WHERE s_suppkey % 7 <> 0"
+    return "SELECT " + ",\n  ".join(cols) + "\nFROM supplier"
 
 
 def _state_role(extra: bool) -> str:
     known = {
-        STATE_KEY: f"concat(' st', {_s('n_nationkey')}, ' ')",
+        STATE_KEY: f"concat(' st', {_s('n_nationkey')}, CASE WHEN n_nationkey = 24 THEN 'x ' ELSE ' ' END)",
         ST_AVG_RESIDENTS: _s("50 + n_nationkey"),
         ST_AVG_NURSE_HRS: _s("3 + n_nationkey % 4"),
     }
@@ -98,7 +99,7 @@ def _state_role(extra: bool) -> str:
     if extra:
         a.append(f"{_s('n_regionkey')} AS {dq('Region Key')}")
         b.append(f"{NULL_S} AS {dq('Region Key')}")
-    return ("SELECT " + ", ".join(a) + " FROM nation WHERE n_nationkey <> 24\nUNION ALL\nSELECT "
+    return ("SELECT " + ", ".join(a) + " FROM nation\nUNION ALL\nSELECT "
             + ", ".join(b))
 
 

@@ -35,6 +35,25 @@ def sort_rollup(df: DataFrame, by: str = "Tot_Nurse_hrs", keys=ROLLUP_KEYS) -> D
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(k).asc_nulls_last() for k in keys])
 
 
+def ranked(sorted_df: DataFrame, name: str = "rank") -> DataFrame:
+    """A sorted frame's rows with their position from 1, without one task for all: the sort's partitions are kept by
+    a checkpoint in the shared folder, and each row's number in its partition is added to the sizes before it."""
+    from carelens.session import checkpoint_root
+
+    checkpoint_root(sorted_df.sparkSession)
+    kept = sorted_df.checkpoint()
+    placed = kept.withColumn("_id", F.monotonically_increasing_id())
+    placed = placed.withColumns({"_part": F.shiftrightunsigned("_id", 33), "_at": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
+    before, total = {}, 0
+    for r in sorted(sizes, key=lambda r: r["_part"]):
+        before[r["_part"]], total = total, total + r["n"]
+    if not before:
+        return kept.withColumn(name, F.lit(0).cast("long"))
+    offsets = F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair])
+    return placed.withColumn(name, offsets[F.col("_part")] + F.col("_at") + 1).drop("_id", "_part", "_at")
+
+
 def check_k(k: int) -> int:
     if not isinstance(k, int) or not TOPK_MIN <= k <= TOPK_MAX:
         raise ValueError(f"k must be an integer in [{TOPK_MIN}, {TOPK_MAX}], got {k!r}")
@@ -55,12 +74,17 @@ def minmax_scale(df: DataFrame, cols, suffix: str = "_scaled", bounded: bool = F
     * general input: all extremes come from one aggregate, used as a single
       struct-valued scalar subquery (one extra distributed pass, no join,
       nothing collected);
-    * ``bounded=True`` -- only for inputs with a proven small size, such as a
-      top-k view (k <= 100, already one partition after the top-k): the
-      extremes are a window over the whole frame, so the input is computed once.
+    * ``bounded=True`` -- only for a top-k view (k <= 100, already one partition
+      after the top-k): the extremes are a window over the whole frame, so the
+      input is computed once.  The plan itself checks the bound: it takes
+      TOPK_MAX + 1 rows at most, and that many are an error.
     """
     if bounded:
         whole = Window.partitionBy()
+        df = df.limit(TOPK_MAX + 1)
+        over = F.count(F.lit(1)).over(whole) > TOPK_MAX
+        df = df.withColumn("_over", F.when(over, F.raise_error(F.lit("more rows than a top-k view has")).cast("boolean"))
+                           .otherwise(F.lit(False))).filter(~F.col("_over")).drop("_over")
         los = [F.min(c).over(whole).cast("double") for c in cols]
         his = [F.max(c).over(whole).cast("double") for c in cols]
     else:

@@ -68,8 +68,8 @@ def broadcast_limit(df: DataFrame) -> int:
 def bounded_broadcast(dim: DataFrame, strategy: str = "auto", max_bytes: int | None = None) -> DataFrame:
     """``broadcast(dim)`` when proven small, else a sort-merge join hint.
 
-    strategy: 'auto' (measure), 'broadcast' (caller vouches for the bound),
-    'shuffle' (never broadcast).  The shuffle path carries a ``merge`` hint so
+    strategy: 'auto' (measure), 'broadcast' (measure, and raise when it is too
+    large), 'shuffle' (never broadcast).  The shuffle path carries a ``merge`` hint so
     that Spark's own estimate-based broadcast cannot override a failed check;
     AQE's skew-join splitting then handles a hot facility key.
 
@@ -84,12 +84,12 @@ def bounded_broadcasts(dims, strategy: str = "auto", max_bytes: int | None = Non
     """:func:`bounded_broadcast` for several dimensions, measured in one job."""
     if strategy == "shuffle":
         return [d.hint("merge") for d in dims]
-    if strategy == "broadcast":
-        return [F.broadcast(d) for d in dims]
     if not dims:
         return []
     limit = max_bytes if max_bytes is not None else broadcast_limit(dims[0])
     sizes = measured_sizes(*dims)
+    if strategy == "broadcast" and any(n * _HASH_OVERHEAD > limit for n in sizes):
+        raise ValueError(f"too large to broadcast: {sizes} bytes, limit {limit} / {_HASH_OVERHEAD}")
     return [F.broadcast(d) if n * _HASH_OVERHEAD <= limit else d.hint("merge") for d, n in zip(dims, sizes)]
 
 

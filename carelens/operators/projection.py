@@ -58,7 +58,3 @@ def ingest_ts(ts=None) -> Column:
 def stamp(df: DataFrame, ts=None, col: str = INGESTED_AT) -> DataFrame:
     """One ingest timestamp for the whole table."""
     return df.withColumn(col, ingest_ts(ts))
-
-
-def quoted(cols) -> list[str]:
-    return [q(c) for c in cols]

@@ -26,7 +26,7 @@ _SQL_OPS = {"==": "="}
 
 
 def _rule_text(rule) -> str:
-    if rule[0] in ("ColumnCount", "RowCount"):
+    if len(rule) > 2 and rule[0] in ("ColumnCount", "RowCount"):
         return f"{rule[0]} {_SQL_OPS.get(rule[1], rule[1])} {rule[2]}"
     return f'{rule[0]} "{rule[1]}"'
 
@@ -76,6 +76,22 @@ def check(df: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
     return base.select(F.explode(F.array(*verdicts)).alias("v")).select("v.rule", "v.outcome", "v.metric")
 
 
+def check_each(df: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
+    """:func:`check`, best effort: a rule that cannot be evaluated gets the outcome ``Error`` (metric NULL) and the
+    others keep theirs.  At most one row per rule is held by the driver."""
+    spark = df.sparkSession
+    try:
+        rows = [tuple(r) for r in check(df, rules).collect()]
+    except Exception:
+        rows = []
+        for rule in rules:
+            try:
+                rows += [tuple(r) for r in check(df, (rule,)).collect()]
+            except Exception:
+                rows.append((_rule_text(rule) if len(rule) > 1 else str(rule), "Error", None))
+    return spark.createDataFrame(rows, "rule string, outcome string, metric double")
+
+
 def observed(df: DataFrame, name: str = "gold_metrics", cols=()):
     """Attach row metrics computed *during* the next action (no extra pass).
 

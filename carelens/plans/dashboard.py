@@ -14,7 +14,11 @@ from carelens.functions.numeric import coerce_numeric
 from carelens.functions.text import strip_sql, to_text_sql, upper_sql
 from carelens.operators.aggregate import options, rollup, topk
 from carelens.operators.filters import by_provnum, by_state, cascade
-from carelens.schemas import PROVNAME, PROVNUM, ROLLUP_MEASURES, STATE, TOPK_DEFAULT
+from carelens.schemas import (
+    PROVNAME, PROVNUM, ROLLUP_MEASURES, STATE, TOPK_DEFAULT, TOPK_MAX, VIEW_HOURS_CENSUS, VIEW_OCCUPANCY, VIEW_RATING,
+    VIEW_STAFF_MIX, VIEW_TABLE,
+)
+from carelens.sources.sinks import PART
 from carelens.utils import q
 
 
@@ -36,10 +40,10 @@ def load_for_dashboard(gold: DataFrame, missing_key: str = "nan") -> DataFrame:
     if missing_key not in ("nan", "drop"):
         raise ValueError("missing_key must be 'nan' or 'drop'")
     render = "nan" if missing_key == "nan" else None
-    # A gold table written with partition_by_state carries the cleaned state
-    # key as its partition column; using it lets a state filter prune files.
-    if DASH_STATE in gold.columns and missing_key == "nan":
-        state_key = f"{q(DASH_STATE)} AS {STATE}"
+    # A gold table written with partition_by_state names its folders by the
+    # cleaned state key; using that lets a state filter prune files.
+    if PART + DASH_STATE in gold.columns and missing_key == "nan":
+        state_key = f"substring({q(PART + DASH_STATE)}, 2) AS {STATE}"
     else:
         state_key = f"{state_key_sql(render)} AS {STATE}"
     keys = [
@@ -110,6 +114,27 @@ def prereduced_rollup(gold: DataFrame, state: str | None = None, provnum: str |
     return cleaned.groupBy(PROVNUM, PROVNAME, STATE).agg(*[F.expr(e) for e in phase2])
 
 
+def page(top: DataFrame) -> DataFrame:
+    """One page (B5 whole): the empty check and the five views of one top-k, as rows tagged by ``view``.
+
+    The top-k (at most 100 rows, already in one partition) is computed once: its rows become one array, from which
+    all views are drawn.  Columns a view does not show are NULL.
+    """
+    shown = {"hours_census": VIEW_HOURS_CENSUS, "occupancy": VIEW_OCCUPANCY, "rating": VIEW_RATING,
+             "staff_mix": VIEW_STAFF_MIX, "table": VIEW_TABLE}
+    names = [PROVNUM, PROVNAME, STATE, *(m for m, _ in ROLLUP_MEASURES)]
+    types = {f.name: f.dataType.simpleString() for f in top.schema.fields}
+
+    def row(view: str, cols, empty: str) -> str:
+        cells = [f"{'r.' + q(c) if c in cols else f'CAST(NULL AS {types[c]})'} AS {q(c)}" for c in names]
+        return f"struct('{view}' AS view, {empty} AS is_empty, {', '.join(cells)})"
+
+    rows = ", ".join(row(v, cols, "CAST(NULL AS BOOLEAN)") for v, cols in shown.items())
+    one = top.limit(TOPK_MAX).agg(F.collect_list(F.struct(*[F.col(c) for c in names])).alias("top"))
+    return one.selectExpr(f"explode(concat(array({row('empty_check', (), 'size(top) = 0')}), "
+                          f"flatten(transform(top, r -> array({rows}))))) AS v").select("v.*")
+
+
 def state_options(dash: DataFrame) -> DataFrame:
     return options(dash, STATE)
 

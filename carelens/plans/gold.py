@@ -24,8 +24,13 @@ def gold(staffing: DataFrame, provider: DataFrame, state_avg: DataFrame, normali
     Avg_residents_per_day, Avg_tot_nurse_hrs_per_resident_per_day, occup_rate,
     overall_rating (all double)."""
     fact_cols = staffing.columns
-    # Both dimensions are measured in one job, then each is broadcast or not.
-    prov, st = bounded_broadcasts([provider_side(provider), state_side(state_avg)], strategy)
+    # Both dimensions are measured in one job, then each is broadcast or not.  ``strategy`` is for the provider: the
+    # states are few and their key is hot (NULL for every fact without a provider), so they are always measured.
+    if strategy == "auto":
+        prov, st = bounded_broadcasts([provider_side(provider), state_side(state_avg)])
+    else:
+        prov = bounded_broadcasts([provider_side(provider)], strategy)[0]
+        st = bounded_broadcasts([state_side(state_avg)])[0]
     joined = join_state(join_provider(staffing, prov, normalize_fact_key, decided=True), st, decided=True)
     return add_metrics(joined, fact_cols, strict)
 
@@ -57,7 +62,10 @@ def gold_via_sql(spark: SparkSession, staffing: DataFrame, provider: DataFrame,
 
     The dimension views carry the measured broadcast decision as a hint.
     """
-    prov, st = bounded_broadcasts([provider.select(q(CCN), q(PROV_STATE), q(CERTIFIED_BEDS), q(OVERALL_RATING)),
-                                   state_avg.select(q(STATE_KEY), q(ST_AVG_RESIDENTS), q(ST_AVG_NURSE_HRS))],
-                                  strategy)
+    prov = provider.select(q(CCN), q(PROV_STATE), q(CERTIFIED_BEDS), q(OVERALL_RATING))
+    st = state_avg.select(q(STATE_KEY), q(ST_AVG_RESIDENTS), q(ST_AVG_NURSE_HRS))
+    if strategy == "auto":
+        prov, st = bounded_broadcasts([prov, st])
+    else:
+        prov, st = bounded_broadcasts([prov], strategy)[0], bounded_broadcasts([st])[0]
     return sql_over(spark, gold_sql_text(), {"Staffing": staffing, "Provider_Info": prov, "State_Averages": st})

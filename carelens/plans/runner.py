@@ -17,14 +17,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.operators.quality import check, observed, publish
+from carelens.operators.aggregate import rollup, topk
+from carelens.operators.filters import cascade
+from carelens.operators.quality import check_each, observed, publish
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
-from carelens.plans.dashboard import DASH_STATE, dashboard, state_key_sql
+from carelens.plans.dashboard import (
+    DASH_STATE, load_for_dashboard, page, provname_options, provnum_options, state_key_sql, state_options,
+)
 from carelens.plans.gold import gold
 from carelens.schemas import CCN, PROVNUM
 from carelens.sources.csv import read_csv
-from carelens.sources.discovery import read_latest
-from carelens.sources.sinks import write_bronze, write_snapshot
+from carelens.sources.discovery import latest_snapshot_path, read_latest
+from carelens.sources.sinks import without_parts, write_bronze, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -44,10 +48,13 @@ class BronzeTables:
 
 def run_bronze(spark: SparkSession, landing: str, bronze: str, files: LandingFiles = LandingFiles(),
                tables: BronzeTables = BronzeTables(), encoding: str = "ISO-8859-1", ts=None,
-               fmt: str = "parquet", multi_line: bool = False) -> dict[str, str]:
+               fmt: str = "parquet", multi_line: bool | None = None) -> dict[str, str]:
     """B1-B3 over the landing CSVs; keys are read as text (no inference).
 
-    ``multi_line`` for extracts whose quoted fields contain line breaks.
+    Quoted fields of the two dimension files may contain line breaks (these
+    files are small, so reading each in one task costs nothing).  The staffing
+    file is split, and a line break in it stops the load with an error;
+    ``multi_line`` sets all three.
     """
     out = {}
     steps = (
@@ -57,7 +64,7 @@ def run_bronze(spark: SparkSession, landing: str, bronze: str, files: LandingFil
     )
     for src, dst, step, keys in steps:
         raw = read_csv(spark, f"{landing.rstrip('/')}/{src}", encoding=encoding, string_cols=keys,
-                       multi_line=multi_line)
+                       multi_line=src != files.staffing if multi_line is None else multi_line)
         path = f"{bronze.rstrip('/')}/{dst}"
         write_bronze(step(raw, ts=ts), path, fmt=fmt)
         out[dst] = path
@@ -73,8 +80,13 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
              partition_by=(), partition_by_state: bool = False) -> dict:
     """B4 + D1/D2: write one new gold snapshot and its DQ outcome table.
 
+    The roll-up (one row per facility) is written beside each snapshot before
+    it is committed: questions, option lists and views read only that.
+
     Row metrics are gathered by an ``Observation`` during the write itself;
-    the outcomes never gate the write (best effort, as in the source job).
+    the outcomes never gate the write (best effort, as in the source job): a
+    rule that fails is an outcome, and a failed publish is returned as
+    ``dq_error`` of a run that succeeded.
 
     ``partition_by_state``: add the dashboard's cleaned state key as column
     ``dash_state`` and partition the snapshot by it, so that a question for
@@ -89,30 +101,55 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
         g = g.withColumn(DASH_STATE, F.expr(state_key_sql()))
         partition_by = tuple(partition_by) + (DASH_STATE,)
     g_obs, obs = observed(g, cols=("overall_rating", "occup_rate"))
-    folder = write_snapshot(g_obs, gold_root, partition_by=partition_by)
-    publish(check(spark.read.parquet(folder), rules), f"{gold_root.rstrip('/')}/_dq")
-    return {"snapshot": folder, "metrics": obs.get}
 
+    def write_rollup(folder: str, run_id: str) -> None:
+        rollup(load_for_dashboard(spark.read.parquet(folder))).write.parquet(rollup_path(folder))
 
-def load_gold(spark: SparkSession, gold_root: str, cache: bool = True) -> DataFrame:
-    """The newest gold snapshot, kept for repeated questions.
+    folder = write_snapshot(g_obs, gold_root, partition_by=partition_by, before_commit=write_rollup)
+    error = None
+    try:
+        publish(check_each(without_parts(spark.read.parquet(folder)), rules), f"{gold_root.rstrip('/')}/_dq")
+    except Exception as e:
+        error = str(e)
+    return {"snapshot": folder, "rollup": rollup_path(folder), "metrics": obs.get, "dq_error": error}
 
-    Only the nine dashboard columns are cached (memory, spilling to disk);
-    a lost cached block is recomputed from the snapshot files.
-    """
+
+def rollup_path(folder: str) -> str:
+    """Where a snapshot's roll-up lies: ``<root>/_rollup/run_id=...`` (hidden from file discovery)."""
+    root, _, run = folder.rstrip("/").rpartition("/")
+    return f"{root}/_rollup/{run}"
+
+
+def load_gold(spark: SparkSession, gold_root: str, cache: bool = True) -> DataFrame:
+    """The newest snapshot's roll-up, kept for repeated questions (X1): one row per facility is cached, never the
+    facts.  A lost cached block is read again.  A snapshot that was written without a roll-up is rolled up here."""
     from pyspark import StorageLevel
+    from pyspark.errors import AnalysisException
 
-    from carelens.plans.dashboard import load_for_dashboard
-    g = load_for_dashboard(read_latest(spark, gold_root))
-    return g.persist(StorageLevel.MEMORY_AND_DISK) if cache else g
+    folder = latest_snapshot_path(spark, gold_root)
+    try:
+        rolled = spark.read.parquet(rollup_path(folder))
+    except AnalysisException:
+        rolled = rollup(load_for_dashboard(read_latest(spark, gold_root, parts=True)))
+    return rolled.persist(StorageLevel.MEMORY_AND_DISK) if cache else rolled
 
 
 def ask(spark: SparkSession, gold_root: str | None = None, state: str | None = None, provnum: str | None = None,
         provname: str | None = None, k: int = 20, loaded: DataFrame | None = None) -> DataFrame:
-    """B5 over the newest gold snapshot (all of its files), or over ``loaded``
-    (the frame :func:`load_gold` returned) to reuse its cache."""
-    if loaded is not None:
-        from carelens.operators.aggregate import rollup, topk
-        from carelens.operators.filters import cascade
-        return topk(rollup(cascade(loaded, state, provnum, provname)), k)
-    return dashboard(read_latest(spark, gold_root), state, provnum, provname, k)
+    """B5 over the newest snapshot's roll-up, or over ``loaded`` (what :func:`load_gold` returned).  The filters are
+    on the roll-up's keys, so filtering it equals rolling up the filtered facts."""
+    rolled = loaded if loaded is not None else load_gold(spark, gold_root, cache=False)
+    return topk(cascade(rolled, state, provnum, provname), k)
+
+
+def ask_page(spark: SparkSession, gold_root: str | None = None, **question) -> DataFrame:
+    """The whole page for a question: empty check and five views, from one top-k."""
+    return page(ask(spark, gold_root, **question))
+
+
+def ask_options(spark: SparkSession, gold_root: str | None = None, state: str | None = None,
+                provnum: str | None = None, loaded: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three option lists, each under the choices before it, from the roll-up."""
+    rolled = loaded if loaded is not None else load_gold(spark, gold_root, cache=False)
+    return {"state": state_options(rolled), "provnum": provnum_options(rolled, state),
+            "provname": provname_options(rolled, state, provnum)}

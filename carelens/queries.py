@@ -8,6 +8,7 @@ columns carry the same names on both sides.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from carelens import fixtures as fx
 from carelens import fixtures_sql as fs
 from carelens.functions.numeric import to_number
 from carelens.functions.text import strip, strip_zeros, to_text, upper
-from carelens.operators.aggregate import minmax_scale, rollup, sort_rollup, topk
+from carelens.operators.aggregate import minmax_scale, ranked, rollup, sort_rollup, topk
 from carelens.operators.filters import by_provname, by_provnum, by_state, cascade, empty_check
 from carelens.operators.joins import P_BEDS, join_provider, join_state
 from carelens.operators.metrics import occup_rate, perm_staff, temp_staff, tot_nurse_hrs
@@ -28,17 +29,18 @@ from carelens.operators.views import (
     view_hours_census, view_occupancy, view_rating, view_staff_mix, view_table, view_table_scaled,
 )
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
-from carelens.plans.dashboard import dashboard, load_for_dashboard, provname_options, provnum_options, state_options
+from carelens.plans.dashboard import dashboard, load_for_dashboard, page, provname_options, provnum_options, state_options
 from carelens.plans.gold import gold, gold_via_sql
 from carelens.schemas import (
     CCN, CENSUS, CERTIFIED_BEDS, INGESTED_AT, OVERALL_RATING, PERM_PARTS, PROVIDER_INFO_COLS, STATE_AVG_COLS,
-    STATE_KEY, TEMP_PARTS, TOTAL_PARTS,
+    ROLLUP_MEASURES, STATE_KEY, TEMP_PARTS, TOTAL_PARTS, VIEW_HOURS_CENSUS, VIEW_OCCUPANCY, VIEW_RATING, VIEW_STAFF_MIX,
+    VIEW_TABLE,
 )
 from carelens.session import scratch_path
 from carelens.sources.csv import normalize_missing, read_csv, read_csv_tolerant
 from carelens.sources.discovery import read_discovered, read_latest
 from carelens.sources.intake import intake, resolve_shortcuts
-from carelens.sources.sinks import write_bronze, write_csv, write_gold, write_snapshot
+from carelens.sources.sinks import without_parts, write_bronze, write_csv, write_gold, write_snapshot
 from carelens.streaming.incremental import gold_incremental, ingest_incremental
 from carelens.utils import qcol
 
@@ -106,9 +108,11 @@ def q_csv_scan(spark, d):
 def q_csv_scan_string_key(spark, d):
     provider = _roles(spark, d)["provider"]
     path = scratch_path(spark, "csv_scan_string_key")
-    write_csv(provider, path)
+    # the file has its columns in another order than the schema, and a quoted line break in the address
+    address = F.concat(qcol(CCN), F.lit("\nSuite 4"))
+    write_csv(provider.withColumn("Provider Address", address).select(*[qcol(c) for c in reversed(PROVIDER_INFO_COLS)]), path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in PROVIDER_INFO_COLS])
-    return read_csv(spark, path, schema=schema, string_cols=[CCN])
+    return read_csv(spark, path, schema=schema, string_cols=[CCN], multi_line=True)
 
 
 def q_missing_tokens(spark, d):
@@ -125,13 +129,27 @@ def q_file_discovery(spark, d):
 
 
 def q_latest_snapshot(spark, d):
+    """The run committed last is read, whole: the other one has other rows and a name that sorts later."""
     staffing = _roles(spark, d)["staffing"]
     root = scratch_path(spark, "latest_snapshot")
-    write_snapshot(staffing, root, fmt="csv")
-    write_snapshot(staffing.repartition(3), root, fmt="csv")
+    write_snapshot(staffing.withColumn("PROVNAME", F.lit("older")), root, fmt="csv", run_id="run9")
+    write_snapshot(staffing.repartition(3), root, fmt="csv", run_id="run10")
     return read_latest(spark, root, fmt="csv")
 
 
+def _land_dated(spark, source: str, target: str, days_back: int) -> None:
+    """Move finished files into a landing folder with their dates set back (file system calls, one per file)."""
+    jvm = spark._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs_ = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = int(time.time() * 1000) - days_back * 86_400_000
+    for status in fs_.listStatus(src):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            fs_.setTimes(status.getPath(), old, -1)
+            fs_.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(dst, name))
+
+
 def q_incremental_ingest(spark, d):
     events = fx.table(spark, d, "events")
     base = scratch_path(spark, "incremental_ingest")
@@ -139,11 +157,13 @@ def q_incremental_ingest(spark, d):
     early = F.dayofmonth("ts") <= 15
     events.filter(early).write.mode("append").parquet(landing)
     n1 = ingest_incremental(spark, landing, sink, ckpt, events.schema)
-    events.filter(~early | F.col("ts").isNull()).write.mode("append").parquet(landing)
+    # back-filled files: landed later, dated long before the others
+    events.filter(~early | F.col("ts").isNull()).write.mode("append").parquet(f"{base}/late")
+    _land_dated(spark, f"{base}/late", landing, days_back=400)
     n2 = ingest_incremental(spark, landing, sink, ckpt, events.schema)
     n3 = ingest_incremental(spark, landing, sink, ckpt, events.schema)
-    if n3 != 0:
-        raise RuntimeError(f"re-run ingested {n3} rows again (first runs: {n1}, {n2})")
+    if n3 != 0 or n1 + n2 != events.count():
+        raise RuntimeError(f"the runs counted {n1}, {n2} and {n3} rows")
     return spark.read.parquet(sink)
 
 
@@ -185,8 +205,35 @@ def q_tolerant_scan(spark, d):
     staffing = _roles(spark, d)["staffing"]
     path = scratch_path(spark, "tolerant_scan")
     write_csv(staffing, path)
-    good, _bad = read_csv_tolerant(spark, path, tolerant_schema())
-    return good
+    good, bad, _failed = read_csv_tolerant(spark, path, tolerant_schema())
+    text = bad.select(*[F.col(c).try_cast(good.schema[c].dataType).alias(c) for c in good.columns])
+    return (good.withColumn("status", F.lit("good"))
+            .unionByName(text.withColumn("status", F.lit("rejected"))))
+
+
+def _land_cut(spark, source: str, target: str) -> None:
+    """Copy the first half of a folder's data file into another folder (a transfer that broke off)."""
+    jvm = spark._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs_ = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs_.listStatus(src):
+        if status.getPath().getName().startswith("part-"):
+            data = spark.read.format("binaryFile").load(status.getPath().toString()).select("content").first()["content"]
+            out = fs_.create(jvm.org.apache.hadoop.fs.Path(dst, "cut-" + status.getPath().getName()))
+            out.write(bytes(data[: len(data) // 2]))
+            out.close()
+
+
+def q_tolerant_files(spark, d):
+    """Rows and failed files of a folder where one compressed file is cut in half: it is listed, no row of it taken."""
+    path = scratch_path(spark, "tolerant_files")
+    write_csv(_roles(spark, d)["staffing"], path, compression="gzip")
+    write_csv(_roles(spark, d)["provider"].select(F.lit("cut").alias("PROVNUM"), *[F.lit("1").alias(c) for c in STAFFING_COLS[1:]])
+              .coalesce(1), f"{path}-cut", compression="gzip")
+    _land_cut(spark, f"{path}-cut", path)
+    good, bad, failed = read_csv_tolerant(spark, path, tolerant_schema())
+    one = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+    return one(good, "good rows").unionByName(one(bad, "rejected rows")).unionByName(one(failed, "failed files"))
 
 
 # ---------------------------------------------------------------- sinks (K1-K3)
@@ -207,13 +254,23 @@ def q_gold_roundtrip(spark, d):
 
 
 def q_gold_single_file(spark, d):
+    """Two snapshots with different rows; the newer, partitioned by a text key with leading zeros, is read whole."""
     g = _gold(spark, d)
     root = scratch_path(spark, "gold_snapshots")
-    write_snapshot(g, root)
-    write_snapshot(g, root)
+    write_snapshot(g.withColumn("PROVNAME", F.lit("older")), root)
+    write_snapshot(g, root, partition_by=("STATE",))
     return read_latest(spark, root)
 
 
+def q_gold_partitioned(spark, d):
+    """Partitioned by a key of text like `01` and blanks: the layout changes no value."""
+    key = F.when(F.col("STATE").contains("st3"), F.lit("")).otherwise(F.lpad(F.regexp_extract("STATE", "([0-9]+)", 1), 2, "0"))
+    g = _gold(spark, d).withColumn("STATE", key)
+    path = scratch_path(spark, "gold_partitioned")
+    write_gold(g, path, partition_by=("STATE",))
+    return without_parts(spark.read.parquet(path))
+
+
 # ---------------------------------------------------------------- projection
 
 
@@ -245,8 +302,10 @@ def q_alias_dims(spark, d):
 
 
 def q_apply_mapping(spark, d):
-    bp = _b(spark, d, "provider")
-    return apply_mapping(bp, identity_mapping(PROVIDER_INFO_COLS + (INGESTED_AT,)))
+    """The 63-name mapping with two casts and a rename; a listed name that the input lacks is dropped."""
+    changed = {CERTIFIED_BEDS: ("beds", "int"), OVERALL_RATING: ("overall_rating", "double"), "Provider Name": ("facility", "string")}
+    identity = identity_mapping(PROVIDER_INFO_COLS + (INGESTED_AT,))
+    return apply_mapping(_b(spark, d, "provider"), [(c, t, *changed.get(c, (c, t))) for c, t, _, _ in identity])
 
 
 def q_ingest_stamp(spark, d):
@@ -356,15 +415,15 @@ def q_provider_rollup(spark, d):
 
 
 def q_options_state(spark, d):
-    return state_options(_dash(spark, d))
+    return ranked(state_options(_dash(spark, d)))
 
 
 def q_options_provnum(spark, d):
-    return provnum_options(_dash(spark, d), SEL_STATE)
+    return ranked(provnum_options(_dash(spark, d), SEL_STATE))
 
 
 def q_options_provname(spark, d):
-    return provname_options(_dash(spark, d), SEL_STATE, SEL_PROVNUM)
+    return ranked(provname_options(_dash(spark, d), SEL_STATE, SEL_PROVNUM))
 
 
 def q_minmax_scale(spark, d):
@@ -372,7 +431,17 @@ def q_minmax_scale(spark, d):
 
 
 def q_sorted_rollup(spark, d):
-    return sort_rollup(rollup(_dash(spark, d)))
+    return ranked(sort_rollup(rollup(_dash(spark, d))))
+
+
+def q_minmax_rollup(spark, d):
+    """A5 over the whole roll-up, by one more aggregate instead of a window."""
+    return minmax_scale(rollup(_dash(spark, d)), ["MDScensus", "occup_rate"])
+
+
+def q_dashboard_page(spark, d):
+    """B5 whole: the empty check and the five views, from one top-k under a state filter."""
+    return page(dashboard(_gold(spark, d), state=SEL_STATE, k=10))
 
 
 def q_topk_providers(spark, d):
@@ -482,10 +551,12 @@ QUERIES: dict[str, Query] = {
     "intake_filter": q_intake_filter,
     "resolve_shortcuts": q_resolve_shortcuts,
     "tolerant_scan": q_tolerant_scan,
+    "tolerant_files": q_tolerant_files,
     # sinks
     "bronze_roundtrip": q_bronze_roundtrip,
     "gold_roundtrip": q_gold_roundtrip,
     "gold_single_file": q_gold_single_file,
+    "gold_partitioned": q_gold_partitioned,
     # projection
     "retain_provider": q_retain_provider,
     "retain_state": q_retain_state,
@@ -523,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "options_provnum": q_options_provnum,
     "options_provname": q_options_provname,
     "minmax_scale": q_minmax_scale,
+    "minmax_rollup": q_minmax_rollup,
     "sorted_rollup": q_sorted_rollup,
     "topk_providers": q_topk_providers,
     # scalar functions
@@ -541,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "gold": q_gold,
     "gold_normalized_keys": q_gold_normalized_keys,
     "dashboard_topk": q_dashboard_topk,
+    "dashboard_page": q_dashboard_page,
     "dashboard_state_topk": q_dashboard_state_topk,
     "view_table_scaled": q_view_table_scaled,
     "gold_strict": q_gold_strict,
@@ -561,7 +634,9 @@ def _dq_sql(rules) -> str:
     parts = []
     for r in rules:
         if r[0] == "ColumnCount":
-            parts.append(f"SELECT 'ColumnCount > 0' AS rule, 'Passed' AS outcome, CAST({ncols} AS DOUBLE) AS metric")
+            parts.append("SELECT 'ColumnCount > 0' AS rule, CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END AS "
+                         "outcome, CAST(count(*) AS DOUBLE) AS metric FROM (SELECT unnest(map_keys(json_transform("
+                         "to_json(g), '\"MAP(VARCHAR, JSON)\"'))) FROM (SELECT * FROM gold LIMIT 1) g)")
         elif r[0] == "RowCount":
             parts.append("SELECT 'RowCount > 0' AS rule, CASE WHEN count(*) > 0 THEN 'Passed' ELSE 'Failed' END "
                          "AS outcome, CAST(count(*) AS DOUBLE) AS metric FROM gold")
@@ -600,7 +675,7 @@ def _tolerant_sql() -> str:
         else:
             sel.append(f"TRY_CAST({_dq(c)} AS DOUBLE) AS {_dq(c)}")
             ok.append(f"({_dq(c)} IS NULL OR TRY_CAST({_dq(c)} AS DOUBLE) IS NOT NULL)")
-    return f"SELECT {', '.join(sel)} FROM staffing WHERE " + " AND ".join(ok)
+    return f"SELECT {', '.join(sel)}, CASE WHEN {' AND '.join(ok)} THEN 'good' ELSE 'rejected' END AS status FROM staffing"
 
 
 def _minmax_sql(source: str = "SELECT * FROM top20") -> str:
@@ -626,6 +701,23 @@ def _gold_norm_sql() -> str:
     return f"WITH {ctes},\njn AS ({j}),\njsn AS ({js})\n{body}"
 
 
+def _ranked(col: str, where: str) -> str:
+    return _sql(f"SELECT {col}, row_number() OVER (ORDER BY {col}) AS rank FROM "
+                f"(SELECT DISTINCT {col} FROM dash WHERE {where}) o", "dash")
+
+
+def _page_sql(top: str) -> str:
+    names = ["PROVNUM", "PROVNAME", "STATE", *(m for m, _ in ROLLUP_MEASURES)]
+    shown = {"hours_census": VIEW_HOURS_CENSUS, "occupancy": VIEW_OCCUPANCY, "rating": VIEW_RATING,
+             "staff_mix": VIEW_STAFF_MIX, "table": VIEW_TABLE}
+    nulls = ", ".join(f"CAST(NULL AS {'VARCHAR' if c in names[:3] else 'DOUBLE'}) AS {c}" for c in names)
+    parts = [f"SELECT 'empty_check' AS view, count(*) = 0 AS is_empty, {nulls} FROM ({top}) t"]
+    for view, cols in shown.items():
+        cells = ", ".join(c if c in cols else f"CAST(NULL AS {'VARCHAR' if c in names[:3] else 'DOUBLE'}) AS {c}" for c in names)
+        parts.append(f"SELECT '{view}' AS view, CAST(NULL AS BOOLEAN) AS is_empty, {cells} FROM ({top}) t")
+    return " UNION ALL ".join(f"({p})" for p in parts)
+
+
 def _views(cols) -> str:
     return _sql(f"SELECT {', '.join(cols)} FROM top20", "top20")
 
@@ -643,7 +735,8 @@ def _metric_sql(name: str, parts, strict: bool) -> str:
 
 ORACLE: dict[str, str] = {
     "csv_scan": _sql("SELECT * FROM staffing", "staffing"),
-    "csv_scan_string_key": _sql("SELECT * FROM provider", "provider"),
+    "csv_scan_string_key": _sql(f"SELECT * REPLACE ({_dq(CCN)} || chr(10) || 'Suite 4' AS \"Provider Address\") FROM provider",
+                                "provider"),
     "missing_tokens": _sql("SELECT " + ", ".join(f"{fs.na(_dq(c))} AS {_dq(c)}" for c in STAFFING_COLS)
                            + " FROM staffing", "staffing"),
     "file_discovery": _sql("SELECT * FROM staffing", "staffing"),
@@ -653,9 +746,13 @@ ORACLE: dict[str, str] = {
     "intake_filter": _sql(_intake_sql(), "manifest"),
     "resolve_shortcuts": _sql(_resolve_sql(), "manifest"),
     "tolerant_scan": _sql(_tolerant_sql(), "staffing"),
+    "tolerant_files": _sql(f"SELECT status || ' rows' AS what, count(*) AS n FROM ({_tolerant_sql()}) t GROUP BY status "
+                           "UNION ALL SELECT 'failed files', 1", "staffing"),
     "bronze_roundtrip": _sql("SELECT * FROM b_staffing", "b_staffing"),
     "gold_roundtrip": _sql("SELECT * FROM gold", "gold"),
     "gold_single_file": _sql("SELECT * FROM gold", "gold"),
+    "gold_partitioned": _sql("SELECT * REPLACE (CASE WHEN contains(STATE, 'st3') THEN '' ELSE "
+                             "lpad(regexp_extract(STATE, '([0-9]+)', 1), 2, '0') END AS STATE) FROM gold", "gold"),
     "retain_provider": _sql("SELECT " + ", ".join(_dq(c) for c in PROVIDER_INFO_COLS) + " FROM provider_x",
                             "provider_x"),
     "retain_state": _sql("SELECT " + ", ".join(_dq(c) for c in STATE_AVG_COLS) + " FROM state_x", "state_x"),
@@ -666,7 +763,9 @@ ORACLE: dict[str, str] = {
     "alias_dims": _sql("SELECT PROVNUM, _p_beds AS occup_limit, _st_avg_residents AS Avg_residents_per_day, "
                        "_st_avg_nurse_hrs AS Avg_tot_nurse_hrs_per_resident_per_day, _p_rating AS overall_rating "
                        "FROM j_state", "j_state"),
-    "apply_mapping": _sql("SELECT * FROM b_provider", "b_provider"),
+    "apply_mapping": _sql(f"SELECT * EXCLUDE ({_dq(CERTIFIED_BEDS)}, {_dq(OVERALL_RATING)}, \"Provider Name\"), "
+                          f"CAST({_dq(CERTIFIED_BEDS)} AS INTEGER) AS beds, CAST({_dq(OVERALL_RATING)} AS DOUBLE) AS "
+                          "overall_rating, \"Provider Name\" AS facility FROM b_provider", "b_provider"),
     "ingest_stamp": _sql(f"SELECT *, TIMESTAMP '{FIXED_TS}' AS {INGESTED_AT} FROM state_avg", "state_avg"),
     "view_hours_census": _views(["PROVNUM", "Tot_Nurse_hrs", "MDScensus"]),
     "view_occupancy": _views(["PROVNUM", "occup_rate"]),
@@ -692,13 +791,14 @@ ORACLE: dict[str, str] = {
     "dim_carry": _sql("SELECT PROVNUM, occup_limit, Avg_residents_per_day, Avg_tot_nurse_hrs_per_resident_per_day, "
                       "overall_rating FROM gold", "gold"),
     "provider_rollup": _sql("SELECT * FROM rollup", "rollup"),
-    "options_state": _sql("SELECT DISTINCT STATE FROM dash WHERE STATE IS NOT NULL", "dash"),
-    "options_provnum": _sql(f"SELECT DISTINCT PROVNUM FROM dash WHERE STATE = '{SEL_STATE}' AND PROVNUM IS NOT NULL",
-                            "dash"),
-    "options_provname": _sql(f"SELECT DISTINCT PROVNAME FROM dash WHERE STATE = '{SEL_STATE}' AND "
-                             f"PROVNUM = '{SEL_PROVNUM}' AND PROVNAME IS NOT NULL", "dash"),
+    "options_state": _ranked("STATE", "STATE IS NOT NULL"),
+    "options_provnum": _ranked("PROVNUM", f"STATE = '{SEL_STATE}' AND PROVNUM IS NOT NULL"),
+    "options_provname": _ranked("PROVNAME", f"STATE = '{SEL_STATE}' AND PROVNUM = '{SEL_PROVNUM}' AND PROVNAME IS NOT NULL"),
+    "minmax_rollup": _sql(_minmax_sql("SELECT * FROM rollup"), "rollup"),
+    "dashboard_page": _sql(_page_sql(f"SELECT * FROM rollup WHERE STATE = '{SEL_STATE}' ORDER BY {fs.ORDER_ROLLUP} LIMIT 10"),
+                           "rollup"),
     "minmax_scale": _sql(_minmax_sql(), "top20"),
-    "sorted_rollup": _sql(f"SELECT * FROM rollup ORDER BY {fs.ORDER_ROLLUP}", "rollup"),
+    "sorted_rollup": _sql(f"SELECT *, row_number() OVER (ORDER BY {fs.ORDER_ROLLUP}) AS rank FROM rollup", "rollup"),
     "topk_providers": _sql(fs.top_select(50), "rollup"),
     "fn_strip": _sql(f"SELECT PROVNUM AS raw_provnum, {fs.strip('PROVNUM')} AS provnum, {fs.strip('STATE')} AS state "
                      "FROM staffing", "staffing"),
@@ -727,7 +827,4 @@ ORACLE: dict[str, str] = {
     "gold_strict": _sql("SELECT * FROM gold_strict", "gold_strict"),
 }
 
-# Queries with no SQL counterpart get only the driver's rows check.
-NO_ORACLE: frozenset[str] = frozenset()
-
 assert set(ORACLE) == set(QUERIES), set(QUERIES) ^ set(ORACLE)

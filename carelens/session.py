@@ -1,8 +1,8 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names
-(HDFS / object store).  Only when the session has none (local tests) do we
-create one, under the system temp folder.
+(HDFS / object store).  Only a local session that has none gets one, under the
+system temp folder; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import tempfile
 import time
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -70,6 +71,10 @@ def get_spark(master: str | None = None, app: str = "carelens", shuffle_partitio
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})
+    given = SparkConf()  # what spark-submit or the environment's defaults say
+    for k in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+        if given.get(k, None) and k not in (conf or {}):
+            merged[k] = f"{given.get(k)} {merged[k]}"
     for k, v in merged.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -87,6 +92,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc_dir = spark.sparkContext.getCheckpointDir()
         root = sc_dir if sc_dir else None
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="carelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

@@ -2,7 +2,10 @@
 
 No schema inference anywhere: without a schema every column is text, which
 keeps keys such as '015009' or '15E009' intact; with a schema the types are
-the declared ones.
+the declared ones.  Columns are bound by their names in the header, files of a
+folder whose headers differ are an error, and so is a row with more fields than
+the header or with a quoted line break that the scan was not told about.  A row
+with fewer fields is padded with NULL.
 """
 
 from __future__ import annotations
@@ -28,6 +31,33 @@ _CSV_OPTS = {
 }
 
 
+def _reader(spark: SparkSession, encoding: str, multi_line: bool):
+    r = spark.read.options(**_CSV_OPTS).option("encoding", encoding).option("enforceSchema", "false")
+    return r.option("multiLine", "true") if multi_line else r
+
+
+def _text_scan(spark: SparkSession, path, encoding: str, multi_line: bool, options: dict | None = None):
+    """Every column as text under its header name, and the raw text of rows whose number of fields is not the
+    header's in ``_corrupt_record``.  Rows are judged whole: column pruning is off, so that no select changes it."""
+    names = _reader(spark, encoding, multi_line).csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in names] + [T.StructField(CORRUPT_COL, T.StringType())]
+    df = (_reader(spark, encoding, multi_line).options(**(options or {})).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", "false")
+          .schema(T.StructType(fields)).csv(path))
+    return df, names
+
+
+def _broken(n_cols: int, multi_line: bool):
+    """SQL: a row with too many fields, or (in a line scan) with a quote that is not closed on its line."""
+    raw = q(CORRUPT_COL)
+    bare = f"regexp_replace({raw}, '\"([^\"]|\"\")*\"', '')"
+    wide = f"length({bare}) - length(replace({bare}, ',', '')) >= {n_cols}"
+    if multi_line:
+        return f"({raw} IS NOT NULL AND {wide})"
+    odd = f"(length({raw}) - length(replace({raw}, '\"', ''))) % 2 = 1"
+    return f"({raw} IS NOT NULL AND ({wide} OR {odd}))"
+
+
 def _as_struct(schema) -> T.StructType | None:
     if schema is None or isinstance(schema, T.StructType):
         return schema
@@ -38,7 +68,8 @@ def read_csv(spark: SparkSession, path, schema=None, encoding: str = "UTF-8",
              string_cols=None, columns=None, multi_line: bool = False) -> DataFrame:
     """CSV scan (S1/S2).
 
-    * ``schema`` (StructType or DDL): declared types, never inferred.
+    * ``schema`` (StructType or DDL): declared types, never inferred; its
+      columns are found by name, in whatever order the header has them.
     * ``string_cols`` without a schema: every column is text anyway; the
       argument documents intent and is checked against the header.
     * ``columns``: project early so the scan reads only what is needed.
@@ -46,41 +77,93 @@ def read_csv(spark: SparkSession, path, schema=None, encoding: str = "UTF-8",
       Such a file cannot be split, so each file is one task; keep it off for
       extracts without embedded newlines, and land big extracts as many files.
     """
-    r = spark.read.options(**_CSV_OPTS).option("encoding", encoding)
-    if multi_line:
-        r = r.option("multiLine", "true")
+    df, names = _text_scan(spark, path, encoding, multi_line)
     st = _as_struct(schema)
-    if st is not None:
-        r = r.schema(st)
-    df = r.csv(path)
-    if string_cols:
-        missing = [c for c in string_cols if c not in df.columns]
-        if missing:
-            raise ValueError(f"key columns not in header: {missing}")
-    if columns:
-        df = df.select(*[qcol(c) for c in columns])
-    return df
+    missing = [c for c in [*(string_cols or []), *(st.names if st else [])] if c not in names]
+    if missing:
+        raise ValueError(f"columns not in header: {missing}")
+    broken = _broken(len(names), multi_line)
+    message = "'malformed CSV row (too many fields, or a quoted line break without multi_line): '"
+    df = df.filter(f"CASE WHEN {broken} THEN raise_error(concat({message}, {q(CORRUPT_COL)})) ELSE true END")
+    typed = {f.name: f.dataType.simpleString() for f in st.fields} if st else {}
+    keep = columns or (st.names if st else names)
+    return df.selectExpr(*[f"CAST({q(c)} AS {typed[c]}) AS {q(c)}" if typed.get(c, "string") != "string" else q(c)
+                           for c in keep])
+
+
+def _unreadable(batches):
+    """Names of compressed files that do not decompress to their end."""
+    import bz2
+    import zlib
+
+    import pyarrow as pa
+
+    for batch in batches:
+        failed = []
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            raw = content.as_buffer()
+            try:
+                if path.endswith(".bz2"):
+                    left = raw.to_pybytes()
+                    while left:  # streams may follow one another
+                        d = bz2.BZ2Decompressor()
+                        d.decompress(left)
+                        if not d.eof:
+                            raise EOFError
+                        left = d.unused_data
+                else:
+                    left = raw
+                    while len(left):
+                        d = zlib.decompressobj(wbits=31 if path.endswith(".gz") else 15)
+                        for at in range(0, len(left), 1 << 20):
+                            d.decompress(left[at : at + (1 << 20)])
+                            if d.eof:
+                                break
+                        if not d.eof:
+                            raise EOFError
+                        rest = at + (1 << 20) - len(d.unused_data)
+                        left = left[min(rest, len(left)):]
+            except (OSError, EOFError, zlib.error):
+                failed.append(path)
+        yield pa.RecordBatch.from_arrays([pa.array(failed, pa.string())], names=["path"])
+
+
+def unreadable_files(spark: SparkSession, path) -> DataFrame:
+    """(path) of the compressed files below ``path`` that cannot be read to their end."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .where(F.col("path").rlike(r"\.(gz|bz2|deflate)$"))
+             .select(F.col("_metadata.file_path").alias("path"), "content"))
+    return files.mapInArrow(_unreadable, "path string")
 
 
 def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"):
     """Tolerant typed scan (S9): bad items are reported and skipped.
 
-    Unreadable files are skipped (``ignoreCorruptFiles``); rows whose fields do
-    not parse to the declared types land in a quarantine frame.  Returns
-    ``(good, bad)``; ``bad`` keeps the parsed fields plus the raw text of
-    each rejected row in ``_corrupt_record``.
+    Returns ``(good, bad, failed)``.  A row is good when it has the header's
+    number of fields and every typed field parses, whatever columns are
+    selected later; ``bad`` keeps the fields as text and the raw row, where its
+    number of fields is wrong, in ``_corrupt_record``.  ``failed`` lists files
+    that cannot be read to their end; no row of theirs is in either frame.
     """
+    from carelens.session import scratch_path
+
     st = _as_struct(schema)
-    with_corrupt = T.StructType(list(st.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
-    raw = (spark.read.options(**_CSV_OPTS).option("encoding", encoding)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT_COL)
-           .option("ignoreCorruptFiles", "true")
-           .option("ignoreMissingFiles", "true")
-           .schema(with_corrupt).csv(path))
-    good = raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = raw.filter(F.col(CORRUPT_COL).isNotNull())
-    return good, bad
+    df, names = _text_scan(spark, path, encoding, False, {"ignoreCorruptFiles": "true"})
+    missing = [c for c in st.names if c not in names]
+    if missing:
+        raise ValueError(f"columns not in header: {missing}")
+    out = scratch_path(spark, "unreadable")
+    unreadable_files(spark, path).write.parquet(out)
+    failed = spark.read.schema("path string").parquet(out)
+    whole = (df.select("*", F.col("_metadata.file_path").alias("_file"))
+             .join(failed, F.col("_file") == failed["path"], "left_anti").drop("_file"))
+    typed = [f for f in st.fields if not isinstance(f.dataType, T.StringType)]
+    parsed = [f"({q(f.name)} IS NULL OR try_cast({q(f.name)} AS {f.dataType.simpleString()}) IS NOT NULL)" for f in typed]
+    ok = F.expr(" AND ".join([f"{q(CORRUPT_COL)} IS NULL", *parsed]))
+    good = whole.filter(ok).selectExpr(*[f"try_cast({q(f.name)} AS {f.dataType.simpleString()}) AS {q(f.name)}"
+                                         if f in typed else q(f.name) for f in st.fields])
+    bad = whole.filter(~F.coalesce(ok, F.lit(False))).select(*[qcol(c) for c in [*st.names, CORRUPT_COL]])
+    return good, bad, failed
 
 
 def normalize_missing(df: DataFrame, tokens=NA_TOKENS, cols=None, keep=None) -> DataFrame:

@@ -7,6 +7,8 @@ reaches the driver.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,10 @@ def list_files(spark: SparkSession, path: str, name_contains: str | None = None,
     files = (r.load(path)
              .select("path", "modificationTime", "length")
              .withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1))
+             # partition folders (key=value) below a snapshot belong to it
              .withColumn("folder", F.coalesce(
                  F.nullif(F.regexp_extract("path", r"^(.*/run_id=[^/]+)/", 1), F.lit("")),
-                 F.regexp_extract("path", r"^(.*)/[^/]+$", 1))))
+                 F.regexp_replace(F.regexp_extract("path", r"^(.*)/[^/]+$", 1), r"(/[^/=]+=[^/]*)+$", ""))))
     files = files.filter(~F.col("name").startswith("_") & ~F.col("name").startswith("."))
     if name_contains:
         files = files.filter(F.col("name").contains(name_contains))
@@ -35,8 +38,9 @@ def list_files(spark: SparkSession, path: str, name_contains: str | None = None,
     return files
 
 
-def _committed_latest(spark: SparkSession, path: str) -> str | None:
-    """Newest run recorded in ``<path>/_committed`` (see ``write_snapshot``), if any."""
+def _committed_latest(spark: SparkSession, path: str, name_contains: str | None, min_size: int) -> str | None:
+    """The run committed last (see ``write_snapshot``), if any; with a name or size rule, of those that hold such a
+    file.  The commit time decides: run ids are names."""
     from pyspark.errors import AnalysisException
 
     from carelens.sources.sinks import COMMITTED
@@ -44,7 +48,11 @@ def _committed_latest(spark: SparkSession, path: str) -> str | None:
         runs = spark.read.parquet(f"{path.rstrip('/')}/{COMMITTED}")
     except AnalysisException:
         return None
-    row = runs.agg(F.max_by("folder", "run_id").alias("folder")).first()
+    if name_contains or min_size > 1:
+        run = F.regexp_extract("folder", r"run_id=([^/]+)", 1)
+        kept = list_files(spark, path, name_contains, min_size).select(run.alias("run_id")).distinct()
+        runs = runs.join(kept, "run_id", "left_semi")
+    row = runs.agg(F.max_by("folder", F.struct("committed_at", "run_id")).alias("folder")).first()
     return None if row is None else row["folder"]
 
 
@@ -53,7 +61,7 @@ def latest_snapshot_path(spark: SparkSession, path: str, name_contains: str | No
     """Folder of the newest snapshot below ``path``.
 
     Snapshots written by :func:`carelens.sources.sinks.write_snapshot` are
-    chosen from its commit table (newest committed run).  Otherwise:
+    chosen from its commit table (the run committed last).  Otherwise:
 
     A snapshot is the ``run_id=...`` folder written by :func:`write_snapshot`
     (or, for other layouts, the folder holding the files); its age is the newest file
@@ -61,7 +69,7 @@ def latest_snapshot_path(spark: SparkSession, path: str, name_contains: str | No
     qualifies (the reference's missing-partition error).
     """
     if committed_only:
-        folder = _committed_latest(spark, path)
+        folder = _committed_latest(spark, path, name_contains, min_size)
         if folder is not None:
             return folder
     files = list_files(spark, path, name_contains, min_size)
@@ -74,8 +82,11 @@ def latest_snapshot_path(spark: SparkSession, path: str, name_contains: str | No
 
 
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
-                name_contains: str | None = None, **options) -> DataFrame:
-    """Read every file of the newest snapshot (not just one part file)."""
+                name_contains: str | None = None, parts: bool = False, **options) -> DataFrame:
+    """Read every file of the newest snapshot (not just one part file).  ``parts`` keeps the ``part_`` columns that
+    name the folders of a partitioned snapshot, for filters that prune them."""
+    from carelens.sources.sinks import without_parts
+
     folder = latest_snapshot_path(spark, path, name_contains)
     r = spark.read.format(fmt).options(**options)
     if fmt == "csv":
@@ -83,7 +94,8 @@ def read_latest(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
         r = r.options(**_CSV_OPTS)
     if schema is not None:
         r = r.schema(schema)
-    return r.load(folder)
+    df = r.load(folder)
+    return df if parts else without_parts(df)
 
 
 def read_discovered(spark: SparkSession, path: str, name_contains: str | None = None, min_size: int = 1,
@@ -91,21 +103,26 @@ def read_discovered(spark: SparkSession, path: str, name_contains: str | None =
     """Read only the files discovery keeps (S4): name holds ``name_contains``,
     size at least ``min_size``.  Raises FileNotFoundError when none qualifies.
 
-    The name rule is a glob the scan applies while listing, the size rule a
-    filter on the scan's ``_metadata`` column, so other files are never parsed.
+    Both rules are filters on the scan's ``_metadata`` column, which Spark
+    applies to files before it opens them.
     """
     if list_files(spark, path, name_contains, min_size).isEmpty():
         raise FileNotFoundError(f"no data files under {path} matching {name_contains!r}")
     r = spark.read.format(fmt).option("recursiveFileLookup", "true").options(**options)
-    if name_contains:
-        r = r.option("pathGlobFilter", f"*{name_contains}*")
     if fmt == "csv":
         from carelens.sources.csv import _CSV_OPTS
         r = r.options(**_CSV_OPTS)
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.load(path)
+    if schema is None:  # from a file that the rules keep
+        first = list_files(spark, path, name_contains, min_size).orderBy("path").select("path").first()["path"]
+        first = re.sub(r"([\\\[\]{}*?])", r"\\\1", first)  # the name, not a pattern
+        one = spark.read.format(fmt).options(**options)
+        schema = (one.options(**_CSV_OPTS) if fmt == "csv" else one).load(first).schema
+    df = r.schema(schema).load(path)
     cols = list(df.columns)
+    if name_contains:
+        # the metadata column holds the name as in a URL
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        df = df.filter(F.contains(name, F.lit(name_contains)))
     if min_size:
         df = df.filter(F.col("_metadata.file_size") >= min_size)
     return df.select(*[F.col(f"`{c}`") for c in cols])

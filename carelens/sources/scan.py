@@ -1,39 +1,20 @@
-"""Scan parallelism guard.
+"""Scan parallelism, only when asked for.
 
-A parquet row group (or a gzip CSV) is never split, so a small input stored as
-one big row group yields a single busy task while the other cores idle.  When
-a scan has fewer partitions than the cluster has cores, spread its rows over
-that many partitions by a hash of the row key; a large input (partitions >=
-cores, the cluster case) is returned untouched, so no shuffle is added at scale.
-
-Hashing the row key (not round-robin) keeps the split deterministic when a
-task is re-run after an executor loss, without the local sort Spark puts in
-front of a round-robin repartition for that reason.  Hash only the key, not
-every column: a hash over all columns would make the scan read all of them.
+A parquet row group (or a gzip CSV) is never split, so an input of one big row
+group keeps one core busy.  ``carelens.scan.partitions`` spreads such a scan's
+rows over that many partitions; it is unset by default, and then no plan gets
+an exchange or reads a further column.  It is for single-file inputs on one
+machine: a large input has splits enough.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def target_parallelism(df: DataFrame) -> int:
-    return int(df.sparkSession.sparkContext.defaultParallelism)
 
+SCAN_PARTITIONS = "carelens.scan.partitions"
 
-def balanced(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
-    """``df`` spread over at least ``min_partitions`` (default: cores).
 
-    ``keys``: a unique (or near-unique) row key to hash on; without one the
-    rows are dealt round-robin.
-    """
-    if df.isStreaming:
-        return df
-    want = min_partitions or target_parallelism(df)
-    have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    if keys:
-        return df.repartition(want, *[F.col(f"`{c}`") for c in keys])
-    return df.repartition(want)
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, over ``carelens.scan.partitions`` partitions if that is set."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n and not df.isStreaming else df

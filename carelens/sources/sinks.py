@@ -25,6 +25,25 @@ _CSV_WRITE = {
 }
 
 
+# Folder names of a partitioned table are text that Spark would read back as numbers, and cannot hold a blank.  So the
+# column stays in the files and the folders are named by this copy of it, which begins with a letter.
+PART = "part_"
+
+
+def with_parts(df: DataFrame, cols) -> tuple[DataFrame, list[str]]:
+    return df.withColumns({PART + c: F.concat(F.lit("k"), F.col(f"`{c}`").cast("string")) for c in cols}), [PART + c for c in cols]
+
+
+def without_parts(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(PART)])
+
+
+def in_part(df: DataFrame, col: str, value: str) -> DataFrame:
+    """Rows of one key; of a table partitioned by it, only that key's folder is read."""
+    df = df.filter(F.col(f"`{col}`") == F.lit(value))
+    return df.filter(F.col(PART + col) == F.lit(f"k{value}")) if PART + col in df.columns else df
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by=(),
               max_records_per_file: int | None = None, compression: str | None = None) -> None:
     w = df.write.mode(mode).options(**_CSV_WRITE)
@@ -57,9 +76,11 @@ def write_gold(df: DataFrame, path: str, partition_by=(), mode: str = "append",
     files; AQE splits a hot key (a state with a third of all rows) over many
     tasks and merges small ones.  Without it every scan task would write one
     file per key it holds (tasks x keys small files).  ``rebalance=False``
-    skips the shuffle and only sorts within tasks.
+    skips the shuffle and only sorts within tasks.  The folders are named by
+    ``part_`` columns (see :data:`PART`); :func:`in_part` reads one of them.
     """
     if partition_by:
+        df, partition_by = with_parts(df, partition_by)
         df = df.hint("rebalance", *partition_by) if rebalance else df
         df = df.sortWithinPartitions(*partition_by)
     if fmt == "csv":
@@ -81,17 +102,20 @@ COMMITTED = "_committed"
 
 
 def write_snapshot(df: DataFrame, root: str, run_id: str | None = None, fmt: str = "parquet",
-                   partition_by=(), max_records_per_file: int | None = 5_000_000) -> str:
+                   partition_by=(), max_records_per_file: int | None = 5_000_000, before_commit=None) -> str:
     """Gold sink, one snapshot per run (K3 re-aimed); returns the folder.
 
     Only after the data write has committed is the run appended to the
     hidden ``_committed`` table under ``root``; readers take the newest
     committed run, so a run that died half-way is never read.
+    ``before_commit(folder, run_id)`` writes what belongs to the snapshot.
     """
     rid = run_id or new_run_id()
     folder = f"{root.rstrip('/')}/run_id={rid}"
     write_gold(df, folder, partition_by=partition_by, mode="errorifexists", fmt=fmt,
                max_records_per_file=max_records_per_file)
+    if before_commit:
+        before_commit(folder, rid)
     spark = df.sparkSession
     (spark.createDataFrame([(rid, folder, fmt)], "run_id string, folder string, format string")
      .withColumn("committed_at", F.localtimestamp())

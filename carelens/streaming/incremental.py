@@ -10,6 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A landed file is taken whatever its date: Spark's default forgets files a week older than the newest one seen, which
+# loses back-filled extracts that keep their dates.  The price is that the source remembers every file name.
+MAX_FILE_AGE = "100000d"
+# Progress records kept per run: the row count is their sum (Spark keeps 100 by default).
+PROGRESS_CONF, PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates", 1_000_000
+
 
 def ingest_incremental(spark: SparkSession, source: str, sink: str, checkpoint: str, schema,
                        fmt: str = "parquet", transform=None, max_files_per_trigger: int = 1000,
@@ -22,10 +28,10 @@ def ingest_incremental(spark: SparkSession, source: str, sink: str, checkpoint:
     backlog is taken in several bounded micro-batches.
     """
     reader = (spark.readStream.format(fmt).schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger))
+              .option("maxFilesPerTrigger", max_files_per_trigger).option("maxFileAge", MAX_FILE_AGE))
     if fmt == "csv":
         from carelens.sources.csv import _CSV_OPTS
-        reader = reader.options(**_CSV_OPTS)
+        reader = reader.options(**_CSV_OPTS).option("enforceSchema", "false")
     reader = reader.options(**(source_options or {}))
     stream: DataFrame = reader.load(source)
     if transform is not None:
@@ -37,11 +43,19 @@ def ingest_incremental(spark: SparkSession, source: str, sink: str, checkpoint:
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    query = w.start()
-    query.awaitTermination()
+    before = spark.conf.get(PROGRESS_CONF, None)
+    spark.conf.set(PROGRESS_CONF, str(PROGRESS_KEPT))
+    try:
+        query = w.start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(PROGRESS_CONF, before) if before else spark.conf.unset(PROGRESS_CONF)
     if query.exception() is not None:
         raise query.exception()
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    progress = query.recentProgress
+    if len(progress) >= PROGRESS_KEPT:
+        raise RuntimeError(f"{len(progress)} batches in one run: all rows are ingested, but they are not counted")
+    return int(sum(p.get("numInputRows", 0) for p in progress))
 
 
 def gold_incremental(spark: SparkSession, staffing_source: str, provider: DataFrame, state_avg: DataFrame,
