@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, neardup, quality, suffixes, toxicity, urls
 from carelens.llm.common import fold_of, table
+from carelens.llm.oracle import ORACLE
 
+__all__ = ["ORACLE", "QUERIES"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,6 +90,3 @@ QUERIES: dict[str, Query] = {
     "op9_neardup": op9_neardup,
     "op10_suffixes": op10_suffixes,
 }
-
-#: DuckDB text for the queries that SQL can express over whole tables.
-ORACLE: dict[str, str] = {}
