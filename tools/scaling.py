@@ -34,7 +34,6 @@ def main(argv):
     st = bronze_state(fx.role(spark, sf_dir, "state"), stamped=False)
     for rep in repeats:
         big = reduce(lambda a, b: a.unionByName(b), [li] * rep)
-        big = fx.balanced(big, fx.FACT_TABLES["lineitem"])
         ts = []
         for _ in range(3):
             t0 = time.perf_counter()
