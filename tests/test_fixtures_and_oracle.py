@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from carelens.queries import ORACLE, QUERIES
 from tests.conftest import SF_MID, SF_SMALL
 from tools.compare import canon, duck
 
@@ -16,15 +17,15 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_fixture_counts(spark):
     """The numbers FIXTURES.md states for sf0.01."""
-    g = E.queries()["gold"](spark, SF_MID)
+    g = QUERIES["gold"](spark, SF_MID)
     assert g.count() == 60000
     assert g.filter("occup_limit IS NOT NULL OR overall_rating IS NOT NULL").count() <= 40664
-    j = E.queries()["left_join_state"](spark, SF_MID)
+    j = QUERIES["left_join_state"](spark, SF_MID)
     assert j.filter("_p_ccn IS NOT NULL").count() == 40664
     assert j.filter("_st_key IS NOT NULL").count() == 40077
     assert g.filter("Tot_Nurse_hrs IS NOT NULL").count() == 59495
@@ -32,11 +33,11 @@ def test_fixture_counts(spark):
     assert g.filter("perm_staff IS NULL OR temp_staff IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    rel = duck(SF_SMALL).execute(E.oracle_sql()[key])
+    rel = duck(SF_SMALL).execute(ORACLE[key])
     dcols = [c[0] for c in rel.description]
     assert sorted(df.columns) == sorted(dcols)
     assert canon(df.columns, srows) == canon(dcols, rel.fetchall())
