@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm.common import blank_null, fields, pieces
+from carelens.llm.common import blank_null, pieces
 
 #: Words of more bytes than this are merged with a heap.
 LONG = 256

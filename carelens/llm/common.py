@@ -75,10 +75,3 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = x ^ (x >> np.uint64(33))
         x = x * np.uint64(0xC4CEB9FE1A85EC53)
         return x ^ (x >> np.uint64(33))
-
-
-def fields(schema: str, columns: dict) -> pa.RecordBatch:
-    """A record batch whose column order is that of a DDL schema string."""
-    names = [part.split()[0] for part in schema.split(",")]
-    return pa.RecordBatch.from_arrays([pa.array(columns[n]) if not isinstance(columns[n], pa.Array) else columns[n]
-                                       for n in names], names=names)

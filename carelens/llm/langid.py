@@ -199,7 +199,7 @@ class Models:
         for l in range(len(self.langs)):
             mine = own[(truth == l) & (n >= 100)]
             if len(mine):
-                self.limit[l], self.spread[l] = mine.max() + 0.5, 8.0
+                self.limit[l], self.spread[l] = mine.max() + 1.0, 10.0
 
     def dump(self) -> bytes:
         out = {"langs": np.array(self.langs), "floor": self.floor, "sharpness": np.array(self.sharpness),
