@@ -245,13 +245,14 @@ def learn(texts: list[str], langs: list[str], sample_chars: int) -> Models | Non
     return out
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 1200,
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 1000,
           sample_chars: int = 5_000_000, folds: int = 4, held_out: int = 2) -> bytes:
     """The trained models (`Models.dump`; empty if there is nothing to learn from). Fitted in one task on the bounded
     sample, whose ids are broadcast (languages times per_lang rows), so no documents are shuffled but the sample's own."""
     known = (docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
                         & (fold_of(id_col, folds) != held_out))
              .select(F.col(id_col).alias("s_id"), F.col(lang_col).cast("string").alias("s_lang")).withColumn("h", F.xxhash64("s_id")))
+    # up to 1000 rows a language, Spark keeps that many of each in every task before it shuffles any
     first = Window.partitionBy("s_lang").orderBy("h", "s_id")
     ids = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("s_id", "s_lang", "h").distinct()
     sample = (docs.select(F.col(id_col).alias("d_id"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("d_lang"))
