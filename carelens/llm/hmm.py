@@ -35,8 +35,8 @@ from carelens.llm.common import blank_null, pieces, text_bytes, written
 
 STATES, CLASSES = 8, 1 << 15
 END = 0  # the end's class; words have the others
-RUN, PART, CHUNK = 512, 1024, 400_000
-BLOCK_BYTES = 8 << 20
+RUN, PART, CHUNK = 512, 1024, 200_000
+BLOCK_BYTES = 4 << 20
 KAPPA = 20.0  # how many tokens of the average state each state is given besides its own
 
 
@@ -44,6 +44,13 @@ def _raw(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
+def cells(batch: pa.RecordBatch, **kinds):
+    """Row by row, the named binary columns as arrays over the batch's own memory."""
+    columns = [(batch.column(c), kind) for c, kind in kinds.items()]
+    for i in range(batch.num_rows):
+        yield [np.frombuffer(column[i].as_buffer(), kind) for column, kind in columns]
+
+
 def classes(hashes: np.ndarray, end: int) -> np.ndarray:
     out = (hashes % np.uint64(CLASSES - 1)).astype(np.int32) + 1
     out[hashes == np.uint64(end)] = END
@@ -106,8 +113,7 @@ def word_counts(table: DataFrame, n_blocks: int) -> DataFrame:
 
     def split(batches):
         for batch in batches:
-            for block, hashes, seen in zip(*(batch.column(c).to_pylist() for c in ("block", "hash", "seen")), strict=True):
-                h, s = np.frombuffer(hashes, np.uint64), np.frombuffer(seen, np.int32)
+            for block, (h, s) in zip(batch.column("block").to_pylist(), cells(batch, hash=np.uint64, seen=np.int32), strict=True):
                 shard = (h >> np.uint64(64 - bits)).astype(np.int32)
                 cut = np.flatnonzero(np.diff(shard, prepend=-1, append=-1) != 0) if len(shard) else np.zeros(0, np.int64)
                 spans = list(zip(cut[:-1].tolist(), [*cut[1:-1].tolist(), len(h)], strict=True))
@@ -227,9 +233,9 @@ def first_parameters(table: DataFrame, sample_blocks: int, sample_tokens: int, p
 
     def sample(batches):
         for batch in batches:
-            for begin, token, hashes, learn in zip(*(batch.column(c).to_pylist() for c in ("begin", "token", "hash", "learn")), strict=True):
-                obs = classes(np.frombuffer(hashes, np.uint64), end)[np.frombuffer(token, np.int32)]
-                start, size, first, _ = runs(np.frombuffer(begin, np.int64), np.flatnonzero(np.frombuffer(learn, bool)), RUN)
+            for begin, token, hashes, learn in cells(batch, begin=np.int64, token=np.int32, hash=np.uint64, learn=bool):
+                obs = classes(hashes, end)[token]
+                start, size, first, _ = runs(begin, np.flatnonzero(learn), RUN)
                 order = np.argsort((start * 2654435761) % 4294967291, kind="stable")
                 order = order[: int(np.searchsorted(np.cumsum(size[order]), sample_tokens, side="right"))]
                 flat = np.concatenate([obs[s : s + n] for s, n in zip(start[order], size[order], strict=True)] or [obs[:0]])
@@ -267,9 +273,9 @@ def baum_welch(table: DataFrame, p: Parameters) -> tuple[Parameters, np.ndarray,
     def run(batches):
         e, now = Expected(), Parameters(*shared.value)
         for batch in batches:
-            for begin, token, hashes, learn in zip(*(batch.column(c).to_pylist() for c in ("begin", "token", "hash", "learn")), strict=True):
-                obs = classes(np.frombuffer(hashes, np.uint64), end)[np.frombuffer(token, np.int32)]
-                start, size, first, _ = runs(np.frombuffer(begin, np.int64), np.flatnonzero(np.frombuffer(learn, bool)), RUN)
+            for begin, token, hashes, learn in cells(batch, begin=np.int64, token=np.int32, hash=np.uint64, learn=bool):
+                obs = classes(hashes, end)[token]
+                start, size, first, _ = runs(begin, np.flatnonzero(learn), RUN)
                 if len(start):
                     e.add(now, obs, start, size, first)
         rows = np.concatenate([e.emit, e.move, e.start[None], e.anywhere[None], np.full((1, STATES), e.log)])
@@ -371,18 +377,17 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     def run(batches):
         m = Model(Parameters(*model.value[0]), *model.value[1:])
         for batch in batches:
-            for r in batch.to_pylist():
-                begin, token = np.frombuffer(r["begin"], np.int64), np.frombuffer(r["token"], np.int32)
-                parts = sorted(r["parts"], key=lambda x: x["shard"])
+            for i, (begin, token, hashes) in enumerate(cells(batch, begin=np.int64, token=np.int32, hash=np.uint64)):
+                parts = sorted(batch.column("parts")[i].as_py(), key=lambda x: x["shard"])
                 count = np.concatenate([np.frombuffer(x["count"], np.int64) for x in parts])
-                cls = classes(np.frombuffer(r["hash"], np.uint64), end)
+                cls = classes(hashes, end)
                 base = np.add.reduceat(m.base(count)[token], begin[:-1])
                 within = np.add.reduceat(m.within(count, cls)[token], begin[:-1])
                 obs = np.where(count > 0, cls, CLASSES).astype(np.int32)[token]
                 known = np.add.reduceat((count > 0)[token].astype(np.int64), begin[:-1])
                 n = len(begin) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["ids"], batch.schema.field("ids").type.value_type), pa.array(np.diff(begin)), pa.array(known),
+                    [batch.column("ids")[i].values, pa.array(np.diff(begin)), pa.array(known),
                      pa.array(np.full(n, m.tokens, np.int64)), pa.array(base), pa.array(m.forward(obs, begin) + within)],
                     names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
