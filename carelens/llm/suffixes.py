@@ -108,7 +108,9 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[in
     for j in range(7):
         key = (key << 9) | np.where(apart, 0, padded[j : j + n])
         apart |= sep[j : j + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
+    ended = np.flatnonzero(apart[order])  # separators rank by place; their keys are shared with no other suffix
+    order[ended] = order[ended][np.lexsort((order[ended], key[order[ended]]))]
     sorted_key = key[order]
     fresh = np.ones(n, bool)
     fresh[1:] = (sorted_key[1:] != sorted_key[:-1]) | apart[order][1:] | apart[order][:-1]
@@ -123,13 +125,12 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[in
         if not len(todo):
             break
         who = order[todo]
-        group = rank[who]
-        further = rank[np.minimum(who + h, n)]
-        sub = np.lexsort((further, group))
-        who, group, further = who[sub], group[sub], further[sub]
+        both = rank[who] * (n + 2) + rank[np.minimum(who + h, n)] + 1
+        sub = np.argsort(both)
+        who, both = who[sub], both[sub]
         order[todo] = who
         split = np.ones(len(who), bool)
-        split[1:] = (group[1:] != group[:-1]) | (further[1:] != further[:-1])
+        split[1:] = both[1:] != both[:-1]
         fresh[todo] = split
         rank[who] = np.maximum.accumulate(np.where(split, todo, 0))
         h *= 2
@@ -208,19 +209,19 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _anchored(keyed: DataFrame, length: int) -> DataFrame:
     """One row per context of every text."""
-    names = ("k", "lo", "n", "rel", "fp", "ctx")
+    names = ("k", "lo", "n", "fp", "ctx")
 
     def run(batches):
         for piece in pieces(batches, "t", PIECE):
             off, data = text_bytes(piece.column("t"))
-            text, lo, count, rel, fp, ctx = contexts(data.tobytes(), off, length)
+            text, lo, count, _, fp, ctx = contexts(data.tobytes(), off, length)
             key = np.asarray(piece.column("k"))[text.astype(np.int64)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(lo.astype(np.int64)), pa.array(count.astype(np.int32)), pa.array(rel.astype(np.int32)),
-                 pa.array(fp.astype(np.uint64).view(np.int64)), pa.array(ctx.astype(np.uint64).view(np.int64))], names=list(names))
+                [pa.array(key, pa.int64()), pa.array(lo.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(fp.astype(np.uint64).view(np.int64)),
+                 pa.array(ctx.astype(np.uint64).view(np.int64))], names=list(names))
 
     long_enough = keyed.where(F.octet_length("t") >= length).select("k", "t")
-    return long_enough.mapInArrow(run, "k long, lo long, n int, rel int, fp long, ctx long")
+    return long_enough.mapInArrow(run, "k long, lo int, n int, fp long, ctx long")  # a text has less than 2 GB
 
 
 def _with_bytes(keyed: DataFrame, members: DataFrame, length: int) -> DataFrame:
@@ -240,20 +241,18 @@ def _with_bytes(keyed: DataFrame, members: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                              names=["shard", "fp", "ctx", "hot", "raw"])
 
-    # texts that repeat a key are equal: one of them gives the bytes
-    return (texts.mapInArrow(run, "shard long, fp long, ctx long, hot boolean, raw binary")
-            .dropDuplicates(["shard", "fp", "ctx"]))
+    return texts.mapInArrow(run, "shard long, fp long, ctx long, hot boolean, raw binary")
 
 
 def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     """(k, runs): by text key, the runs of places from which a string of `length` bytes is repeated."""
     rows = written(_anchored(keyed, length), "suffix_contexts")
-    kinds = rows.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k", "lo", "n", "rel")).alias("one"))
+    kinds = rows.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k", "lo", "n")).alias("one"))
     kinds = written(kinds, "suffix_kinds")
     several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
     # whole contexts that occur more than once
     whole = (rows.join(kinds.where(F.col("times") > 1).select("fp", "ctx"), ["fp", "ctx"], "left_semi")
-             .select("k", F.col("lo").alias("at"), F.col("n").cast("long").alias("n")))
+             .select("k", F.col("lo").cast("long").alias("at"), F.col("n").cast("long").alias("n")))
     # parts of contexts whose anchor has others
     members = (kinds.join(several, "fp").select("fp", "ctx", "times", "one.k", "one.lo", "one.n", "kinds")
                .withColumn("hot", F.col("kinds") > CHUNK)
@@ -269,6 +268,9 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
     def sort_shard(group: pa.Table) -> pa.Table:
         import xxhash
 
+        fp, ctx = (np.asarray(group.column(c)).astype(np.int64) for c in ("fp", "ctx"))
+        once = np.unique(np.column_stack([fp, ctx]), axis=0, return_index=True)[1]  # texts that repeat a key give a context again
+        group = group.take(once)
         raw = group.column("raw").to_pylist()
         fp, ctx, hot = (group.column(c).to_pylist() for c in ("fp", "ctx", "hot"))
         flags, same = repeated(raw, length)
@@ -333,7 +335,7 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         found = found.where("part IS NULL").select("fp", "ctx", "runs").unionByName(across)
     partly = (found.select("fp", "ctx", F.explode("runs").alias("r"))
               .join(members.where(F.col("times") == 1).select("fp", "ctx", "k", "lo"), ["fp", "ctx"])
-              .select("k", (F.col("lo") + F.col("r.at")).alias("at"), F.col("r.n").alias("n")))
+              .select("k", (F.col("lo").cast("long") + F.col("r.at")).alias("at"), F.col("r.n").alias("n")))
     return whole.unionByName(partly).groupBy("k").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
 
 
