@@ -319,6 +319,9 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
         raw = group.column("set").to_pylist()
         a, b = [], []
         order = np.lexsort((node, part))
+        fresh = np.ones(len(order), bool)  # documents that repeat id and text give their node's set again
+        fresh[1:] = (node[order][1:] != node[order][:-1]) | (part[order][1:] != part[order][:-1])
+        order = order[fresh]
         edge = np.flatnonzero(np.diff(part[order], prepend=part[order][0] - 1, append=part[order][-1] + 1))
         for x, y in zip(edge[:-1], edge[1:], strict=True):
             some = order[x:y]
@@ -332,7 +335,7 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _cluster_sets(docs: DataFrame, id_col: str, text_col: str, words: int, nodes: DataFrame) -> DataFrame:
-    """(s, root, set): the full sets of the candidate clusters' nodes, from one document of each."""
+    """(s, root, size, set): the full sets of the candidate clusters' nodes, from one document of each."""
     base = docs.select(F.col(id_col).alias("i"), blank_null(text_col).alias("t")).withColumn("k", F.xxhash64("i", "t"))
 
     def run(batches):
@@ -340,10 +343,11 @@ def _cluster_sets(docs: DataFrame, id_col: str, text_col: str, words: int, nodes
             off, data = text_bytes(piece.column("t"))
             code, begin = shingle_sets(data.tobytes(), off, words)
             sets = [code[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([piece.column("s"), piece.column("root"), pa.array(sets, pa.binary())], names=["s", "root", "set"])
+            yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("s", "root", "size")), pa.array(sets, pa.binary())],
+                                             names=["s", "root", "size", "set"])
 
-    joined = base.select("k", "t").join(nodes.select("k", "s", "root"), "k").dropDuplicates(["s"])
-    return joined.select("s", "root", "t").mapInArrow(run, "s long, root long, set binary")
+    joined = base.select("k", "t").join(nodes, "k")
+    return joined.select("s", "root", "size", "t").mapInArrow(run, "s long, root long, size long, set binary")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
@@ -362,8 +366,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
         clusters = components(more.unionByName(clusters.select(F.col("node").alias("a"), F.col("root").alias("b"))), "neardup_ties")
     # full sets of candidate clusters, in blocks
     sized = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    of_cluster = nodes.select("s", "k").join(clusters, F.col("s") == F.col("node")).select("s", "k", "root")
-    sets = written(_cluster_sets(docs, id_col, text_col, words, of_cluster).join(sized, "root"), "neardup_cluster_sets")
+    of_cluster = (nodes.select("s", "k").join(clusters, F.col("s") == F.col("node")).join(sized, "root")
+                  .select("s", "k", "root", "size"))
+    sets = written(_cluster_sets(docs, id_col, text_col, words, of_cluster), "neardup_cluster_sets")
     total = sets.agg(F.coalesce(F.sum(F.octet_length("set")), F.lit(0)).alias("b"), F.coalesce(F.max("size"), F.lit(0)).alias("m")).first()
     tasks = max(1, math.ceil(total["b"] / (4 << 20)))
     blocks = F.expr(f"cast(ceil(size / {block}) AS BIGINT)")

@@ -327,3 +327,24 @@ def test_suffix_array_and_common_prefixes():
     for a, b in zip(order[:-1], order[1:], strict=True):
         n = next(j for j, (x, y) in enumerate(zip(suffix[a], suffix[b], strict=False)) if x != y)
         assert common[b] == n
+
+
+@pytest.mark.parametrize("part", [1_000_000, 40])
+def test_components(spark, part):
+    from carelens.llm.components import components
+    rnd = np.random.default_rng(11)
+    edges = [(int(a), int(b)) for a, b in rnd.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    want = {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    got = components(spark.createDataFrame(edges, "a long, b long"), part=part).collect()
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
