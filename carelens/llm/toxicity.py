@@ -3,7 +3,8 @@
 Features are the distinct byte n-grams (n of ORDERS) of the lower-cased UTF-8 text with a blank at either end, hashed to
 2**BITS places. From a sample of labelled documents (at most `per_class` of either class and `sample_chars` characters
 in all; both are parameters) the log ratio of each feature's smoothed frequency in the classes is taken, and a logistic
-regression is fitted to the features times their ratios. The product of ratio and weight is one number per place, 4 MB
+regression is fitted to the features times their ratios. The sample has other class shares than the labels where it is
+bounded, so the intercept is moved by the log odds of all labels less those of the fitted rows. The product of ratio and weight is one number per place, 4 MB
 in all whatever the input, so scoring is one pass over the documents without a shuffle.
 
 Null and empty texts have the score of the intercept and the blank's features. Without labels of both classes every
@@ -13,6 +14,8 @@ no rows; further columns are ignored whatever their names.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.llm.common import blank_null, pieces, text_bytes
-from carelens.llm.labelled import bounded_rows, labelled_sample, sigmoid
+from carelens.llm.labelled import bounded_rows, class_counts, labelled_sample, sigmoid
 
 ORDERS, BITS = (3, 4, 5), 20
 #: A to Z to a to z, and other white space to a blank.
@@ -95,15 +98,22 @@ def fit(texts: list[str], labels: list[int], rounds: int = 150, l2: float = 1.0)
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 1500,
           sample_chars: int = 24_000_000, folds: int = 5, held_out: int = 0) -> tuple[np.ndarray, float]:
-    """Fit in one task on the bounded sample; only the weights come back."""
+    """Fit in one task on the bounded sample; only the weights come back. The prior odds are those of all labels."""
     sample = labelled_sample(docs, labels, label, per_class, folds, held_out).repartition(1)
 
     def run(frames):
-        weight, bias = fit(*bounded_rows(frames, sample_chars))
-        yield pd.DataFrame({"weight": [weight.tobytes()], "bias": [bias]})
-
-    row = sample.mapInPandas(run, "weight binary, bias double").first()
-    return (np.frombuffer(bytes(row["weight"]), np.float32), row["bias"]) if row else fit([], [])
+        texts, y = bounded_rows(frames, sample_chars)
+        weight, bias = fit(texts, y)
+        yield pd.DataFrame({"weight": [weight.tobytes()], "bias": [bias], "n0": [len(y) - sum(y)], "n1": [sum(y)]})
+
+    row = sample.mapInPandas(run, "weight binary, bias double, n0 long, n1 long").first()
+    if row is None:
+        return fit([], [])
+    bias = row["bias"]
+    if row["n0"] and row["n1"]:
+        n0, n1 = class_counts(labels, label, folds, held_out)
+        bias += math.log(n1 / n0) - math.log(row["n1"] / row["n0"])
+    return np.frombuffer(bytes(row["weight"]), np.float32), bias
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str], text_col: str = "text") -> DataFrame:

@@ -166,6 +166,17 @@ def test_toxicity_learns_markers():
     assert [int(x >= 0) for x in z] == labels[200:]
 
 
+def test_toxicity_has_the_prior_of_all_labels(spark):
+    """A bounded sample moves neither the mean score nor the share of predicted texts away from those of the labels."""
+    rows = [(i, prose(i, 40) + (" you utter blockhead " if i % 8 == 0 and i % 3 else " ")) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    whole = toxicity.train(df, labels, per_class=2000)
+    part = toxicity.train(df, labels, per_class=100)
+    mean = [np.mean([r.score for r in toxicity.score(df, m, keep=["doc_id"]).collect()]) for m in (whole, part)]
+    assert abs(mean[0] - 0.125) < 0.03 and abs(mean[1] - 0.125) < 0.03
+
+
 def test_decontamination_against_brute_force(spark, docs, none):
     items = [(1, " ".join(PASSAGE.split()[5:40])), (2, " ".join(PASSAGE.split()[5:40])), (3, None), (4, "!!"), (5, "One"), (6, "one ONE"),
              (7, " ".join(LONG.split()[500:507])), (8, " ".join(LONG.split()[1000:1010])), (9, prose(500, 30)), (10, "ab " * 15)]
