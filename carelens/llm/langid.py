@@ -8,7 +8,8 @@ n-gram is looked up once for all; an n-gram that is missing backs off through co
 
 A text gets the language with the lowest cross-entropy per character. `score` is that language's probability among all,
 with a temperature calibrated on a fifth of the sample that the counts leave out; `rejected` says that even the best
-cross-entropy is above what the language's own calibration documents have, by a margin that widens for short texts.
+cross-entropy is above what the language's own calibration documents have, by a margin that widens for short texts. A
+language with fewer than ENOUGH of them has the limit of the other languages' documents together.
 
 Null texts and texts without a letter have lang_pred `und`, score 0 and are rejected; so is every text when no language
 was learned. Ties go to the language that sorts first. Repeated rows get equal results; an empty table gives no rows.
@@ -29,6 +30,8 @@ from carelens.llm.common import blank_null, fold_of, mix64, pieces
 
 ORDER, UNKNOWN = 4, "und"
 BLANK = 32
+#: Calibration documents of 100 symbols or more from which a language has a rejection limit of its own.
+ENOUGH = 5
 _LETTERS: list[np.ndarray] = []
 
 
@@ -184,7 +187,8 @@ class Models:
     def calibrate(self, texts: list[str], truth: np.ndarray) -> None:
         """The temperature with the best log likelihood, and each language's highest entropy with margins."""
         self.sharpness = 1.0
-        self.limit, self.spread = np.full(len(self.langs), np.inf), np.zeros(len(self.langs))
+        # without any calibration document: no better than letters by chance
+        self.limit, self.spread = -self.floor.astype(np.float64), np.full(len(self.langs), 10.0)
         if not texts:
             return
         entropy, n, _ = self.entropy(texts)
@@ -196,10 +200,13 @@ class Models:
             fit = (z[np.arange(len(truth)), truth] - np.log(np.exp(z).sum(axis=1))).sum()
             if fit > best:
                 best, self.sharpness = fit, sharpness
+        mine = [own[(truth == l) & (n >= 100)] for l in range(len(self.langs))]
+        # a language with few calibration documents has the limit of the others' documents together
+        pooled = np.concatenate([x for x in mine if len(x) >= ENOUGH] or mine)
         for l in range(len(self.langs)):
-            mine = own[(truth == l) & (n >= 100)]
-            if len(mine):
-                self.limit[l], self.spread[l] = mine.max() + 1.0, 10.0
+            use = mine[l] if len(mine[l]) >= ENOUGH else pooled
+            if len(use):
+                self.limit[l] = use.max() + 1.0
 
     def dump(self) -> bytes:
         out = {"langs": np.array(self.langs), "floor": self.floor, "sharpness": np.array(self.sharpness),

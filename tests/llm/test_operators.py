@@ -134,6 +134,19 @@ def test_langid_does_not_depend_on_the_batch():
         assert alone[0][0] == together[0][i] and math.isclose(alone[1][0], together[1][i], rel_tol=1e-6)
 
 
+def unlike(n):
+    """Texts of random letters."""
+    rnd = np.random.default_rng(5)
+    return ["".join("abcdefghijklmnopqrstuvwxyz    "[i] for i in rnd.integers(30, size=k)) for k in (100, 300, 1000, 3000) for _ in range(n)]
+
+
+def test_a_rare_label_does_not_switch_rejection_off():
+    texts = [prose(i, 100) for i in range(40)] + [prose(i, 100)[::-1] for i in range(40)]
+    for rare in ([], ["xq jw vk zzq", "qqq wx"], [prose(80, 100).upper().replace("E", "Ü")] * 6):
+        m = langid.learn(texts + rare, ["a"] * 40 + ["b"] * 40 + ["c"] * len(rare), 10**6)
+        assert m.predict(unlike(5))[2].all() and not m.predict([prose(i, 100) for i in range(60, 80)])[2].any()
+
+
 def test_kneser_ney_sums_to_one():
     m = langid.learn([prose(i, 300) for i in range(10)], ["a"] * 10, 10**6)
     letters = [k for k in range(32, 128)]
