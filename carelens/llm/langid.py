@@ -8,7 +8,8 @@ n-gram is looked up once for all; an n-gram that is missing backs off through co
 
 A text gets the language with the lowest cross-entropy per character. `score` is that language's probability among all,
 with a temperature calibrated on a fifth of the sample that the counts leave out; `rejected` says that even the best
-cross-entropy is above what the language's own calibration documents have, by a margin that widens for short texts. A
+cross-entropy is above the median of the language's own calibration documents by a margin that widens for short texts.
+The median stays where it is when some of them are odd or mislabelled. A
 language with fewer than ENOUGH of them has the limit of the other languages' documents together.
 
 Null texts and texts without a letter have lang_pred `und`, score 0 and are rejected; so is every text when no language
@@ -32,6 +33,8 @@ ORDER, UNKNOWN = 4, "und"
 BLANK = 32
 #: Calibration documents of 100 symbols or more from which a language has a rejection limit of its own.
 ENOUGH = 5
+#: Nats a symbol above their median that a text is still taken for the language with, and what is added over sqrt(symbols).
+MARGIN, SHORT = 0.6, 10.0
 _LETTERS: list[np.ndarray] = []
 
 
@@ -185,10 +188,10 @@ class Models:
         return np.where(lettered, best, -1), np.where(lettered, score, 0.0), rejected | ~lettered
 
     def calibrate(self, texts: list[str], truth: np.ndarray) -> None:
-        """The temperature with the best log likelihood, and each language's highest entropy with margins."""
+        """The temperature with the best log likelihood, and each language's median entropy with margins."""
         self.sharpness = 1.0
         # without any calibration document: no better than letters by chance
-        self.limit, self.spread = -self.floor.astype(np.float64), np.full(len(self.langs), 10.0)
+        self.limit, self.spread = -self.floor.astype(np.float64), np.full(len(self.langs), SHORT)
         if not texts:
             return
         entropy, n, _ = self.entropy(texts)
@@ -206,7 +209,7 @@ class Models:
         for l in range(len(self.langs)):
             use = mine[l] if len(mine[l]) >= ENOUGH else pooled
             if len(use):
-                self.limit[l] = use.max() + 1.0
+                self.limit[l] = np.median(use) + MARGIN
 
     def dump(self) -> bytes:
         out = {"langs": np.array(self.langs), "floor": self.floor, "sharpness": np.array(self.sharpness),

@@ -147,6 +147,26 @@ def test_a_rare_label_does_not_switch_rejection_off():
         assert m.predict(unlike(5))[2].all() and not m.predict([prose(i, 100) for i in range(60, 80)])[2].any()
 
 
+def test_odd_calibration_documents_do_not_open_the_gate():
+    """A language left out is rejected though some labels are wrong, and nothing of the learned languages is."""
+    def of(seed, turn):
+        return prose(seed, 200).translate(str.maketrans("abcdefghijklmnopqrstuvwxyz", turn))
+
+    turns = {"a": "abcdefghijklmnopqrstuvwxyz", "b": "zyxwvutsrqponmlkjihgfedcba", "c": "nopqrstuvwxyzabcdefghijklm"}
+    for out in turns:
+        texts, langs = [], []
+        for name in turns.keys() - {out}:
+            for i in range(50):
+                odd = i in (9, 24)  # calibrate: every fifth document does
+                texts.append(unlike(1)[1 + i % 2] if odd else of(i, turns[name]))
+                langs.append(name)
+        m = langid.learn(texts, langs, 10**6)
+        assert m.predict([of(i, turns[out]) for i in range(100, 120)])[2].all() and m.predict(unlike(5))[2].all()
+        for name in turns.keys() - {out}:
+            best, _, rejected = m.predict([of(i, turns[name]) for i in range(100, 120)])
+            assert not rejected.any() and {m.langs[b] for b in best} == {name}
+
+
 def test_kneser_ney_sums_to_one():
     m = langid.learn([prose(i, 300) for i in range(10)], ["a"] * 10, 10**6)
     letters = [k for k in range(32, 128)]
