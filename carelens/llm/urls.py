@@ -1,10 +1,13 @@
 """Operator 6: URL filters: rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
-The rules label the URLs they fit; on at most `per_class` of either label (those whose URLs hash lowest; a parameter)
-boosted trees are trained with Spark ML, and judge the URLs that no rule fits. Features: lengths, depth, share of
+The rules label the URLs they fit; on at most `per_class` distinct URLs of either label (those that hash lowest; a
+parameter) boosted trees are trained with Spark ML, and judge the URLs that no rule fits. A sampled URL weighs as many
+rows as have it, and the classes weigh as all rows with a rule do, so neither a bounded sample nor a repeated URL moves
+the verdicts. Features: lengths, depth, share of
 digits, entropy, numbers of parameters, labels and marks, and statistics of the host's suffixes (how often the last
 one and two labels were blocked among the training URLs: at most as many rows as these, so they are broadcast).
-All of it is DataFrame work in the JVM: one pass over the URLs and no shuffle of them.
+All of it is DataFrame work in the JVM. To fit, the URLs with a rule are counted and grouped (pre-aggregated, so a hot
+URL costs a row per task); judging is one pass over the URLs without a shuffle.
 
 A null URL or one without `://` has empty host and path and is judged by the trees. Without training URLs of both
 labels the verdict is the label that there is, and allow without any. Repeated rows get equal verdicts; an empty table
@@ -90,25 +93,32 @@ class Filter:
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
     def fit(self, pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> Filter:
-        ruled = self._parsed(pages, id_col, url_col).where(F.col("ruled").isNotNull()).withColumn("h", F.xxhash64("u_url"))
+        ruled = self._parsed(pages, id_col, url_col).where(F.col("ruled").isNotNull())
+        rows = {r["ruled"]: r["count"] for r in ruled.groupBy("ruled").count().collect()}  # two rows
+        distinct = (ruled.groupBy("u_url", "host", "path", "ruled").agg(F.count(F.lit(1)).alias("n"))
+                    .withColumn("h", F.xxhash64("u_url")))
         sample = None
         for verdict in ("allow", "block"):
-            some = ruled.where(F.col("ruled") == verdict).orderBy("h", "u_id").limit(self.per_class)
+            some = distinct.where(F.col("ruled") == verdict).orderBy("h", "u_url").limit(self.per_class)
             sample = some if sample is None else sample.unionByName(some)
         sample = sample.withColumn("label", (F.col("ruled") == "block").cast("double")).persist()
-        seen = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}  # two rows
+        seen = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.sum("n").alias("n")).collect()}  # two rows
         self.model, self.only = None, "block" if set(seen) == {1.0} else "allow"
         if len(seen) == 2:
-            mean = seen[1.0] / sum(seen.values())
+            mean = rows["block"] / sum(rows.values())
             self.prior = math.log(mean / (1 - mean))
-            named = lexical(sample)
+            # the classes' shares are those of all rows, the sum that of the sample's rows
+            sampled = sum(seen.values())
+            share = F.when(F.col("label") == 1.0, mean / seen[1.0]).otherwise((1 - mean) / seen[0.0]) * sampled
+            weighted = sample.withColumn("weight", F.col("n") * share)
+            named = lexical(weighted)
             for name in ("last", "last_two"):
-                n, blocked = F.count(F.lit(1)), F.sum("label")
+                n, blocked = F.sum("weight"), F.sum(F.col("weight") * F.col("label"))
                 odds = F.log((blocked + mean) / (n - blocked + 1 - mean))
                 setattr(self, f"by_{name}", named.groupBy(F.col(f"s_{name}").alias("suffix")).agg(odds.alias("odds")).persist())
-            trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=self.trees, maxDepth=self.depth,
-                                  stepSize=0.2, subsamplingRate=1.0, seed=self.seed)
-            self.model = trees.fit(self._featured(sample).select("features", "label"))
+            trees = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=self.trees,
+                                  maxDepth=self.depth, stepSize=0.2, subsamplingRate=1.0, seed=self.seed)
+            self.model = trees.fit(self._featured(weighted).select("features", "label", "weight"))
         sample.unpersist()
         return self
 

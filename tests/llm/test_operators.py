@@ -266,6 +266,22 @@ def test_url_rules_and_edges(spark):
     assert {r.verdict for r in urls.Filter(()).fit(df).judge(df).collect()} == {"allow"}
 
 
+def test_url_sample_keeps_the_shares_of_all_rows(spark):
+    rules = (("allow", "site.com/x/"), ("block", "site.com/y/"))  # nothing else tells them apart
+    rows = [f"http://a{i}.site.com/x/{i % 7}" for i in range(100, 500)] + [f"http://a{i}.site.com/y/{i % 7}" for i in range(100, 140)]
+    df = spark.createDataFrame([(u,) for u in rows], "url string").withColumn("h", F.xxhash64("url"))
+    hot = df.where("url like '%/y/%'").orderBy("h").first().url  # repeated, it would fill a sample of rows
+    rows += [f"http://a{i}.site.com/z/{i % 7}" for i in range(100, 300)]
+    for repeats in (0, 60):
+        pages = spark.createDataFrame(list(enumerate(rows + [hot] * repeats)), "page_id long, url string")
+        found = urls.Filter(rules, per_class=20).fit(pages)
+        assert math.isclose(found.prior, math.log((40 + repeats) / 400))
+        odds = {r.suffix: r.odds for r in found.by_last_two.collect()}
+        assert math.isclose(odds["site.com"], found.prior, abs_tol=0.05)
+        if not repeats:
+            assert found.judge(pages).where("rule is null").agg(F.avg("block_score")).first()[0] < 0.3
+
+
 def test_fingerprints_against_brute_force(docs, none):
     got = fingerprints.edited(docs)
     rows = ordered(ROWS)
