@@ -1,4 +1,4 @@
-"""Operators of a large-scale training-data pipeline (numbered 1 to 10) and their registered queries.
+"""Operators of a large-scale training-data pipeline (numbered 1 to 13) and their registered queries.
 
 Nothing else in the library imports this subpackage.
 """

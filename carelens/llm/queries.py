@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelens.llm import bpe, decontaminate, fingerprints, hmm, langid, neardup, quality, suffixes, toxicity, urls
+from carelens.llm import (
+    bpe, conversations, decontaminate, fingerprints, hmm, langid, neardup, quality, runs, simhash, suffixes, toxicity, urls,
+)
 from carelens.llm.common import fold_of, table
 from carelens.llm.oracle import ORACLE
 
@@ -78,6 +80,19 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "kept_sha256")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(table(spark, sf_dir, "documents"), keep=["doc_id"], damage="doc_id")
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_hmm": op1_hmm,
     "op2_langid": op2_langid,
@@ -89,4 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_neardup": op9_neardup,
     "op10_suffixes": op10_suffixes,
+    "op11_runs": op11_runs,
+    "op12_simhash": op12_simhash,
+    "op13_conversations": op13_conversations,
 }

@@ -102,3 +102,114 @@ def repeats(rows, length=400):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         out.append((len(b), sum(gone), sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone)), sha(kept), kept))
     return out
+
+
+def word_runs(doc_id, text):
+    """(n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256) of the damaged text."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    n, g = len(w), h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+    found = []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            part = w[i : j + q]
+            if len(part) >= max(12, 2 * q) and not any(part[d:] == part[:-d] for d in range(1, q)):
+                found.append((i, len(part), q))
+            i = max(j, i + 1)
+    found.sort()
+    gone = {x for s, m, q in found for x in range(s + q, s + m)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None, None, None))
+    return (len(found), *best, 1000 * best[1] // best[2] if found else None, sha("".join("%d,%d,%d\n" % r for r in found)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def simhash(text):
+    import xxhash
+
+    w = blank_words(text)
+    grams = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def hamming_classes(rows):
+    """(fingerprint, component id) of each row."""
+    fp = [simhash(t) for _, t in rows]
+    left, least = set(range(len(rows))), {}
+    while left:
+        queue = [left.pop()]
+        group = list(queue)
+        while queue:
+            a = queue.pop()
+            hit = {b for b in left if (fp[a] ^ fp[b]).bit_count() <= 3}
+            left -= hit
+            queue += hit
+            group += hit
+        ids = [rows[a][0] for a in group if rows[a][0] is not None]
+        least |= dict.fromkeys(group, min(ids, default=None))
+    return [(f"{f:016x}", least[a]) for a, f in enumerate(fp)]
+
+
+def damage(rows):
+    """Conversation rows (conv_id, turn, role, text) after the planted damage."""
+    out = []
+    for c, t, role, text in rows:
+        h = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if h == 1 else re.sub(r"[.!?]", "", text) if h == 2 else text
+        out += [(c, t, "user" if h == 4 else role, text)] * {0: 0, 3: 2}.get(h, 1)
+    return out
+
+
+def conversation_repairs(rows, plant=damage):
+    """By conversation: (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256), by search over all edits."""
+    out = {c: (0, 0, 0, 0, 0, 0, "", sha("")) for c, *_ in rows}
+    convs = collections.defaultdict(list)
+    for c, t, role, text in plant(rows):
+        convs[c].append((t, role, text))
+    for c, own in convs.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(f"{r[1]}\0{r[2]}".encode()).digest()))
+        fault, seen = [], set()
+        for _, role, text in own:
+            solid = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = {t for t, *_ in own if t is not None}
+        first = [r[:1] for _, r, _ in own]
+        best = {(0, ""): (0, "", ())}  # by rows done and initials' state: cost, audit, repaired rows
+        after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+        for i in range(len(own) + 1):
+            for _ in range(3):  # inserted rows
+                for s in ("", "s", "u", "a"):
+                    if (i, s) in best:
+                        cost, audit, kept = best[i, s]
+                        for role in ("user", "assistant"):
+                            to = after.get((s, role[0]))
+                            if to:
+                                best[i, to] = min(best.get((i, to), (1e9, "")), (cost + 3, audit + "I", (*kept, (role, ""))))
+            if i == len(own):
+                break
+            for s in ("", "s", "u", "a"):
+                if (i, s) not in best:
+                    continue
+                cost, audit, kept = best[i, s]
+                ways = [(s, 4, "D", ())]
+                if fault[i] not in ("blank", "duplicate"):
+                    more = 3 * (fault[i] == "truncated")
+                    ways += [(after.get((s, r[0])), 3 + more, "R", ((r, own[i][2]),)) for r in ("user", "assistant")]
+                    ways += [(after.get((s, first[i])), more, "K", (own[i][1:],))]
+                for to, x, edit, row in ways:
+                    if to is not None:
+                        best[i + 1, to] = min(best.get((i + 1, to), (1e9, "")), (cost + x, audit + edit, kept + row))
+        cost, audit, kept = min(best[len(own), s] for s in ("", "a") if (len(own), s) in best)
+        out[c] = (max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(fault.count(x) for x in ("blank", "duplicate", "truncated")),
+                  sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:], strict=False)), cost, audit, sha("\n".join(f"{r}:{t}" for r, t in kept)))
+    return out

@@ -25,7 +25,7 @@ def rows_of(sf, name, columns):
 def test_registry():
     names = list(entry.queries())
     assert [n for n in names if re.match(r"op\d+_", n)] == list(QUERIES) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and set(entry.oracle_sql()) <= set(names)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "suffix_dedup", "decontamination", "tokenise"]
 
