@@ -74,10 +74,10 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffixes.dedup(table(spark, sf_dir, "documents"), keep=["doc_id"], texts=False)
+    done = suffixes.dedup(table(spark, sf_dir, "documents"), keep=["doc_id"], passages=suffixes.WORDS, texts=False)
     removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)")
     return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                       "kept_sha256")
+                       "kept_sha256", "n_passage_words")
 
 
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

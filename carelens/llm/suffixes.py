@@ -15,6 +15,10 @@ texts. Suffix arrays of a whole corpus don't fit into tasks, so the corpus is fi
 4. An anchor with more than CHUNK contexts is dealt to several shards. These send sorted digests of their strings by
    digest range to be merged, where a binary search counts each shard's strings among those of all.
 
+A unit says what a string is made of: bytes (`Bytes`, strings of 400), or words (`Words`, runs of 51 words split at white
+space, each compared byte by byte). Both can be asked for at once: texts are then read, cut and shuffled once for both, and
+an anchor's lowest bit says which unit it belongs to. A run of 51 words has often fewer than 400 bytes.
+
 Nothing is capped or sampled and no pair of texts is ever listed; a group's cost grows with its contexts. Null and empty
 texts have no bytes, and texts shorter than `length` lose none. Rows that repeat id and text count as further
 occurrences. An empty table gives no rows. Only the named columns are read.
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -33,30 +38,35 @@ from pyspark.sql import functions as F
 from carelens.llm.common import blank_null, mix64, pieces, text_bytes, written
 
 LENGTH, GRAM = 400, 64
-PLACE = 24  # bits of a place inside a piece; the others order grams by hash
+WORDS, WORD_GRAM = 51, 8
+PLACE = 24  # bits of a place inside a stretch; the others order grams by hash
 CHUNK = 4000
-SHARD_BYTES = 2 << 20
-PIECE = 4 << 20
+SHARD_BYTES, TASK_SHARDS = 512 << 10, 4
+#: Bytes of text that a task works on at once; a longer text is gone through in overlapping stretches of that size.
+PIECE = 256 << 10
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each place, by doubling (places too near the end have none)."""
+def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A hash of the `gram` (a power of two) symbols from each place, by doubling (places too near the end have none)."""
     h, n = data.astype(np.uint64) + np.uint64(1), 1
     base = np.uint64(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        while n < GRAM:
-            h = h[:-n] * base + h[n:]
+        while n < gram:
+            more = h[n:].copy()
+            h = h[:-n]
+            h *= base
+            h += more
             base = base * base
             n *= 2
     return mix64(h)
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """The anchor of the string from each place, and all grams' hashes. len(data) < 2 ** PLACE."""
-    grams = gram_hashes(data)
+    grams = gram_hashes(data, gram)
     low = np.uint64((1 << PLACE) - 1)
     least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)  # least hash first, then the first place
-    n, window = 1, length - GRAM + 1
+    n, window = 1, length - gram + 1
     while n * 2 <= window:
         least = np.minimum(least[:-n], least[n:])
         n *= 2
@@ -65,48 +75,157 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return (least & low).astype(np.int64), grams
 
 
-def contexts(raw: bytes, begin: np.ndarray, length: int = LENGTH):
-    """For texts raw[begin[i] : begin[i + 1]]: text number, first string, number of strings, place of the anchor after the
-    first string, the anchor's hash, and a digest of the context, one entry per context."""
+def stretch_contexts(data: np.ndarray, raw: bytes, begin: np.ndarray, length: int, gram: int):
+    """For texts whose symbols are data[begin[i] : begin[i + 1]] (raw: the same as bytes): text number, first string, number
+    of strings, the anchor's hash, and a digest of the context, one entry per context."""
     import xxhash
 
-    data = np.frombuffer(raw, np.uint8)
-    out = [[] for _ in range(6)]
+    none = np.zeros(0, np.int64)
     if len(data) < length:
-        return [np.array(x, np.int64) for x in out[:4]] + [np.array(x, np.uint64) for x in out[4:]]
-    step = (1 << PLACE) - length  # a longer text is gone through in overlapping stretches
-    for at in range(0, len(data) - length + 1, step):
-        part = data[at : at + step + length - 1]
-        anchor, grams = anchors(part, length)
-        start = np.arange(len(anchor)) + at
-        text = np.searchsorted(begin, start, side="right") - 1
-        inside = start + length <= begin[text + 1]
-        start, text, anchor = start[inside], text[inside], anchor[inside]
-        if not len(start):
-            continue
-        head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
-        count = np.diff(np.append(head, len(start)))
-        lo, a = start[head], anchor[head]
-        rel = a + at - lo
-        digest = xxhash.xxh3_64_intdigest
-        ctx = [digest(raw[s : s + n + length - 1], seed=r) for s, n, r in zip(lo.tolist(), count.tolist(), rel.tolist(), strict=True)]
-        for x, y in zip(out, (text[head], lo - begin[text[head]], count, rel, grams[a], np.array(ctx, np.uint64)), strict=True):
-            x.append(y)
-    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-
-
-def suffix_array(sym: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """The order of all suffixes of sym (bytes; a separator, the largest symbol, at `ends`, and no two alike), and the
-    ranks of all substrings of 7 and 56 symbols. Larsson and Sadakane: only groups not yet told apart are sorted on."""
+        return [none, none, none, none.astype(np.uint64), none.astype(np.uint64)]
+    anchor, grams = anchors(data, length, gram)
+    start = np.arange(len(anchor))
+    text = np.searchsorted(begin, start, side="right") - 1
+    inside = start + length <= begin[text + 1]
+    start, text, anchor = start[inside], text[inside], anchor[inside]
+    if not len(start):
+        return [none, none, none, none.astype(np.uint64), none.astype(np.uint64)]
+    head = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
+    count = np.diff(np.append(head, len(start)))
+    lo, a = start[head], anchor[head]
+    size = data.itemsize
+    digest = xxhash.xxh3_64_intdigest
+    ctx = [digest(raw[s : e], seed=r) for s, e, r in zip((lo * size).tolist(), ((lo + count + length - 1) * size).tolist(), (a - lo).tolist(), strict=True)]
+    return [text[head], lo - begin[text[head]], count, grams[a], np.array(ctx, np.uint64)]
+
+
+def joined(parts: list):
+    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
+class Bytes:
+    """Strings of bytes."""
+
+    mark = 0
+
+    def __init__(self, length: int = LENGTH):
+        self.length, self.weight = length, 1
+
+    def contexts(self, raw: bytes, begin: np.ndarray) -> list[np.ndarray]:
+        step = max(PIECE, self.length)
+        data = np.frombuffer(raw, np.uint8)
+        parts = []
+        for at in range(0, max(1, len(raw) - self.length + 1), step):
+            end = min(len(raw), at + step + self.length - 1)
+            first = max(0, int(np.searchsorted(begin, at, side="right")) - 1)
+            last = int(np.searchsorted(begin, end, side="left"))
+            inner = np.clip(begin[first : last + 1], at, end) - at
+            text, lo, n, fp, ctx = stretch_contexts(data[at:end], raw[at:end], inner, self.length, GRAM)
+            parts.append([text + first, lo + np.maximum(0, at - begin[text + first]), n, fp, ctx])
+        return joined(parts)
+
+    def cut(self, text: bytes, cuts: list) -> list[bytes]:
+        return [text[a : a + n + self.length - 1] for a, n in cuts]
+
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """All texts' symbols, each text's followed by a zero; their sizes; and a number above all symbols."""
+        return np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int32), np.fromiter(map(len, texts), np.int64, len(texts)), 256
+
+    def strings(self, texts: list[bytes], which: list[int], places: list[int]) -> list[bytes]:
+        return [texts[i][p : p + self.length] for i, p in zip(which, places, strict=True)]
+
+
+class Words:
+    """Runs of words."""
+
+    mark = 1
+
+    def __init__(self, length: int = WORDS):
+        self.length, self.weight = length, 8
+
+    def contexts(self, raw: bytes, begin: np.ndarray) -> list[np.ndarray]:
+        import xxhash
+
+        digest, known, parts = xxhash.xxh3_64_intdigest, {}, []
+
+        def hashed(words: list[bytes]) -> np.ndarray:
+            for w in words:
+                if w not in known:
+                    known[w] = digest(w)
+            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+        flat, edge, texts = [], [0], []
+
+        def flush():
+            if flat:
+                data = hashed(flat)
+                text, lo, n, fp, ctx = stretch_contexts(data, data.tobytes(), np.array(edge), self.length, WORD_GRAM)
+                number, first = np.array([t for t, _ in texts])[text], np.array([f for _, f in texts])[text]
+                parts.append([number, lo + first, n, fp, ctx])
+                flat.clear(), texts.clear()
+                del edge[1:]
+
+        for i, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+            for first, words in word_stretches(raw, a, b, self.length - 1):
+                flat.extend(words)
+                edge.append(len(flat))
+                texts.append((i, first))
+                if len(flat) >= PIECE // 8:
+                    flush()
+        flush()
+        none = np.zeros(0, np.int64)
+        return joined(parts) if parts else [none, none, none, none.astype(np.uint64), none.astype(np.uint64)]
+
+    def cut(self, text: bytes, cuts: list) -> list[bytes]:
+        words = text.split()
+        return [b" ".join(words[a : a + n + self.length - 1]) for a, n in cuts]
+
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        own = [t.split() for t in texts]
+        numbers: dict[bytes, int] = {}
+        flat = [numbers.setdefault(w, len(numbers)) for words in own for w in (*words, b"")]
+        return np.array(flat, np.int32), np.fromiter(map(len, own), np.int64, len(own)), len(numbers)
+
+    def strings(self, texts: list[bytes], which: list[int], places: list[int]) -> list[bytes]:
+        own = {i: texts[i].split() for i in set(which)}
+        return [b" ".join(own[i][p : p + self.length]) for i, p in zip(which, places, strict=True)]
+
+
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_stretches(raw: bytes, a: int, b: int, overlap: int):
+    """The words of raw[a:b], in stretches of about PIECE bytes, each with the number of its first word; each begins with the
+    last `overlap` words of the one before."""
+    kept: list[bytes] = []
+    first = 0
+    while a < b:
+        end = b
+        if b - a > PIECE:
+            found = BLANK.search(raw, a + PIECE, b)
+            end = found.start() if found else b
+        words = kept + raw[a:end].split()
+        yield first, words
+        kept = words[max(0, len(words) - overlap) :]
+        first += len(words) - len(kept)
+        a = end
+
+
+def suffix_array(sym: np.ndarray, ends: np.ndarray, top: int = 256) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """The order of all suffixes of sym (symbols below `top`; a separator, `top`, at `ends`, and no two alike), and the
+    ranks of all substrings of w and 8 w symbols, w being as many as fit into 63 bits (7 bytes). Larsson and Sadakane: only
+    groups not yet told apart are sorted on."""
     n = len(sym)
+    bits = max(1, int(top).bit_length())
+    width = 63 // bits
     key = np.zeros(n, np.int64)
-    apart = np.zeros(n, bool)  # a separator within the first 7 symbols makes a suffix unlike all others
-    padded = np.concatenate([sym, np.full(7, 256)]).astype(np.int64)
-    sep = np.zeros(n + 7, bool)
+    apart = np.zeros(n, bool)  # a separator within the first symbols makes a suffix unlike all others
+    padded = np.concatenate([sym, np.full(width, top)]).astype(np.int64)
+    sep = np.zeros(n + width, bool)
     sep[ends] = True
     sep[n:] = True
-    for j in range(7):
-        key = (key << 9) | np.where(apart, 0, padded[j : j + n])
+    for j in range(width):
+        key = (key << bits) | np.where(apart, 0, padded[j : j + n])
         apart |= sep[j : j + n]
     order = np.argsort(key)
     ended = np.flatnonzero(apart[order])  # separators rank by place; their keys are shared with no other suffix
@@ -117,7 +236,7 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[in
     rank = np.empty(n + 1, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     rank[n] = -1
-    h, kept = 7, {7: rank[:n].copy()}
+    h, kept = width, {width: rank[:n].copy()}
     while True:
         alone = fresh.copy()
         alone[:-1] &= fresh[1:]
@@ -134,9 +253,9 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, dict[in
         fresh[todo] = split
         rank[who] = np.maximum.accumulate(np.where(split, todo, 0))
         h *= 2
-        if h == 56:
-            kept[56] = rank[:n].copy()
-    kept.setdefault(56, rank[:n].copy())
+        if h == 8 * width:
+            kept[h] = rank[:n].copy()
+    kept.setdefault(8 * width, rank[:n].copy())
     return order, kept
 
 
@@ -152,7 +271,7 @@ def common_prefixes(sym: np.ndarray, begin: np.ndarray, order: np.ndarray, ranks
     starts, size = begin[lanes], size[lanes]
     active = len(size) - np.searchsorted(size[::-1], np.arange(int(size[0]) if len(size) else 0), side="right")
     have = np.zeros(len(starts), np.int64)
-    levels = ((56, ranks[56]), (7, ranks[7]), (1, sym))
+    levels = (*sorted(ranks.items(), reverse=True), (1, sym))
     for t, live in enumerate(active.tolist()):
         p = starts[:live] + t
         j = before[p]
@@ -170,25 +289,25 @@ def common_prefixes(sym: np.ndarray, begin: np.ndarray, order: np.ndarray, ranks
     return out
 
 
-def repeated(texts: list[bytes], length: int = LENGTH) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Of each text: whether the string from each place with `length` bytes starts anywhere else in the texts, and the
-    number of a string equal to it (equal strings share the number)."""
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
+def repeated(texts: list[bytes], unit: Bytes | Words | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each text: whether the unit's string from each place starts anywhere else in the texts, and the number of a string
+    equal to it (equal strings share the number)."""
+    unit = unit or Bytes()
+    sym, size, top = unit.symbols(texts)
     begin = np.cumsum(size + 1) - size - 1
-    sym = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int32)
     ends = begin + size
-    sym[ends] = 256 + np.arange(len(texts))
     plain = sym.copy()
-    plain[ends] = 256
-    order, ranks = suffix_array(plain, ends)
+    plain[ends] = top
+    sym[ends] = top + np.arange(len(texts))
+    order, ranks = suffix_array(plain, ends, top)
     prefix = common_prefixes(sym, begin, order, ranks)[order]
-    joined = prefix >= length
-    either = joined.copy()
-    either[:-1] |= joined[1:]
+    linked = prefix >= unit.length
+    either = linked.copy()
+    either[:-1] |= linked[1:]
     flag, same = np.zeros(len(sym), bool), np.empty(len(sym), np.int64)
     flag[order] = either
-    same[order] = np.cumsum(~joined)
-    strings = np.maximum(size - length + 1, 0)
+    same[order] = np.cumsum(~linked)
+    strings = np.maximum(size - unit.length + 1, 0)
     return ([flag[b : b + s] for b, s in zip(begin, strings, strict=True)],
             [same[b : b + s] for b, s in zip(begin, strings, strict=True)])
 
@@ -207,26 +326,29 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.withColumn("k", F.xxhash64("i", "t"))
 
 
-def _anchored(keyed: DataFrame, length: int) -> DataFrame:
-    """One row per context of every text."""
+def _anchored(keyed: DataFrame, units: list) -> DataFrame:
+    """One row per context of every text and unit; the lowest bit of `fp` is the unit's mark."""
     names = ("k", "lo", "n", "fp", "ctx")
 
     def run(batches):
         for piece in pieces(batches, "t", PIECE):
             off, data = text_bytes(piece.column("t"))
-            text, lo, count, _, fp, ctx = contexts(data.tobytes(), off, length)
-            key = np.asarray(piece.column("k"))[text.astype(np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(lo.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(fp.astype(np.uint64).view(np.int64)),
-                 pa.array(ctx.astype(np.uint64).view(np.int64))], names=list(names))
-
-    long_enough = keyed.where(F.octet_length("t") >= length).select("k", "t")
+            raw, keys = data.tobytes(), np.asarray(piece.column("k"))
+            for unit in units:
+                text, lo, count, fp, ctx = unit.contexts(raw, off)
+                fp = (fp & ~np.uint64(1)) | np.uint64(unit.mark)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[text.astype(np.int64)], pa.int64()), pa.array(lo.astype(np.int32)), pa.array(count.astype(np.int32)),
+                     pa.array(fp.view(np.int64)), pa.array(ctx.view(np.int64))], names=list(names))
+
+    least = min(2 * u.length - 1 if isinstance(u, Words) else u.length for u in units)
+    long_enough = keyed.where(F.octet_length("t") >= least).select("k", "t")
     return long_enough.mapInArrow(run, "k long, lo int, n int, fp long, ctx long")  # a text has less than 2 GB
 
 
-def _with_bytes(keyed: DataFrame, members: DataFrame, length: int) -> DataFrame:
+def _with_bytes(keyed: DataFrame, members: DataFrame, units: list) -> DataFrame:
     """The members' bytes, cut out of their texts."""
-    per_text = members.groupBy("k").agg(F.collect_list(F.struct("lo", "n", "fp", "ctx", "chunk", "hot", "shard")).alias("cuts"))
+    per_text = members.groupBy("k").agg(F.collect_list(F.struct("lo", "n", "fp", "ctx", "hot", "shard")).alias("cuts"))
     texts = keyed.select("k", "t").join(per_text, "k").select("k", "t", "cuts")
 
     def run(batches):
@@ -235,7 +357,10 @@ def _with_bytes(keyed: DataFrame, members: DataFrame, length: int) -> DataFrame:
             rows = []
             for a, b, cuts in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("cuts").to_pylist(), strict=True):
                 raw = data[a:b].tobytes()
-                rows += [(c["shard"], c["fp"], c["ctx"], c["hot"], raw[c["lo"] : c["lo"] + c["n"] + length - 1]) for c in cuts]
+                for unit in units:
+                    own = [c for c in cuts if c["fp"] & 1 == unit.mark]
+                    if own:
+                        rows += [(c["shard"], c["fp"], c["ctx"], c["hot"], x) for c, x in zip(own, unit.cut(raw, [(c["lo"], c["n"]) for c in own]), strict=True)]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
@@ -244,36 +369,36 @@ def _with_bytes(keyed: DataFrame, members: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "shard long, fp long, ctx long, hot boolean, raw binary")
 
 
-def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(k, runs): by text key, the runs of places from which a string of `length` bytes is repeated."""
-    rows = written(_anchored(keyed, length), "suffix_contexts")
+def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
+    """(k, runs): by text key, the runs of places from which a unit's string is repeated, with the unit's mark."""
+    unit_of = {u.mark: u for u in units}
+    rows = written(_anchored(keyed, units), "suffix_contexts")
     kinds = rows.groupBy("fp", "ctx").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("k", "lo", "n")).alias("one"))
     kinds = written(kinds, "suffix_kinds")
     several = kinds.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
+    mark = F.expr("cast(fp & 1 AS INT)").alias("u")
     # whole contexts that occur more than once
     whole = (rows.join(kinds.where(F.col("times") > 1).select("fp", "ctx"), ["fp", "ctx"], "left_semi")
-             .select("k", F.col("lo").cast("long").alias("at"), F.col("n").cast("long").alias("n")))
+             .select("k", mark, F.col("lo").cast("long").alias("at"), F.col("n").cast("long").alias("n")))
     # parts of contexts whose anchor has others
     members = (kinds.join(several, "fp").select("fp", "ctx", "times", "one.k", "one.lo", "one.n", "kinds")
                .withColumn("hot", F.col("kinds") > CHUNK)
                .withColumn("chunk", F.expr(f"pmod(ctx, cast(ceil(kinds / {CHUNK}) AS BIGINT))")))
     members = written(members, "suffix_members")
-    total = members.agg(F.coalesce(F.sum(F.col("n") + length), F.lit(0)).alias("b"),
+    size = F.expr("CASE " + " ".join(f"WHEN fp & 1 = {u.mark} THEN (n + {u.length}) * {u.weight}" for u in units) + " END")
+    total = members.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b"),
                         F.max("hot").alias("hot"), F.sum(F.when(F.col("hot"), F.col("n"))).alias("hot_strings")).first()
     shards = max(1, math.ceil(total["b"] / SHARD_BYTES))
     ranges = max(1, math.ceil((total["hot_strings"] or 0) / 400_000))
     members = members.withColumn("shard", F.expr(f"pmod(xxhash64(fp, chunk), {shards}L)"))
     schema = ("fp long, ctx long, runs array<struct<at:long,n:long>>, part int, digest binary, whose binary, place binary")
 
-    def sort_shard(group: pa.Table) -> pa.Table:
+    def sort_unit(group: pa.Table, unit) -> pa.Table:
         import xxhash
 
-        fp, ctx = (np.asarray(group.column(c)).astype(np.int64) for c in ("fp", "ctx"))
-        once = np.unique(np.column_stack([fp, ctx]), axis=0, return_index=True)[1]  # texts that repeat a key give a context again
-        group = group.take(once)
         raw = group.column("raw").to_pylist()
         fp, ctx, hot = (group.column(c).to_pylist() for c in ("fp", "ctx", "hot"))
-        flags, same = repeated(raw, length)
+        flags, same = repeated(raw, unit)
         runs = [flag_runs(f) for f in flags]
         keep = [i for i, r in enumerate(runs) if r]
         out = {"fp": [fp[i] for i in keep], "ctx": [ctx[i] for i in keep], "runs": [runs[i] for i in keep]}
@@ -284,7 +409,8 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
             whose = np.concatenate([np.full(len(same[i]), i, np.int64) for i in mine])
             place = np.concatenate([np.arange(len(same[i]), dtype=np.int32) for i in mine])
             _, first, which = np.unique(np.concatenate([same[i] for i in mine]), return_index=True, return_inverse=True)
-            value = np.array([xxhash.xxh3_64_intdigest(raw[i][p : p + length]) for i, p in zip(whose[first].tolist(), place[first].tolist(), strict=True)], np.uint64)
+            strings = unit.strings(raw, whose[first].tolist(), place[first].tolist())
+            value = np.array([xxhash.xxh3_64_intdigest(x, unit.mark) for x in strings], np.uint64)
             part = (value % np.uint64(ranges)).astype(np.int64)
             order = np.lexsort((value, part))
             label = np.empty(len(order), np.int64)
@@ -306,6 +432,16 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         kinds_ = {"fp": pa.int64(), "ctx": pa.int64(), "runs": RUNS, "part": pa.int32(), "digest": pa.binary(), "whose": pa.binary(), "place": pa.binary()}
         return pa.table({c: pa.array((out | extra)[c], k) for c, k in kinds_.items()})
 
+    def sort_shard(group: pa.Table) -> pa.Table:
+        fp, ctx = (np.asarray(group.column(c)).astype(np.int64) for c in ("fp", "ctx"))
+        once = np.unique(np.column_stack([fp, ctx]), axis=0, return_index=True)[1]  # texts that repeat a key give a context again
+        tables = []
+        for value, unit in unit_of.items():
+            own = once[fp[once] & 1 == value]
+            if len(own):
+                tables.append(sort_unit(group.take(own), unit))
+        return pa.concat_tables(tables)
+
     def merge(group: pa.Table) -> pa.Table:
         """Of the strings of several shards in a range of digests, those that more than one shard has."""
         own = [np.frombuffer(x, np.uint64) for x in group.column("digest").to_pylist()]
@@ -327,7 +463,9 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         runs = [[{"at": int(a), "n": int(n)}] for a, n in zip(at[first], np.diff(np.append(first, len(at))), strict=True)]
         return pa.table({"fp": pa.array(fp[first]), "ctx": pa.array(ctx[first]), "runs": pa.array(runs, RUNS)})
 
-    found = _with_bytes(keyed, members, length).groupBy("shard").applyInArrow(sort_shard, schema)
+    # a task has some shards; they cost time rather than bytes, so their number isn't left to Spark
+    dealt = _with_bytes(keyed, members, units).repartition(math.ceil(shards / TASK_SHARDS), "shard")
+    found = dealt.groupBy("shard").applyInArrow(sort_shard, schema)
     if total["hot"]:
         found = written(found, "suffix_found")
         across = (found.where("part IS NOT NULL").select("part", "digest", "whose", "place").groupBy("part")
@@ -335,15 +473,15 @@ def repeated_strings(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         found = found.where("part IS NULL").select("fp", "ctx", "runs").unionByName(across)
     partly = (found.select("fp", "ctx", F.explode("runs").alias("r"))
               .join(members.where(F.col("times") == 1).select("fp", "ctx", "k", "lo"), ["fp", "ctx"])
-              .select("k", (F.col("lo").cast("long") + F.col("r.at")).alias("at"), F.col("r.n").alias("n")))
-    return whole.unionByName(partly).groupBy("k").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+              .select("k", mark, (F.col("lo").cast("long") + F.col("r.at")).alias("at"), F.col("r.n").alias("n")))
+    return whole.unionByName(partly).groupBy("k").agg(F.collect_list(F.struct("u", "at", "n")).alias("runs"))
 
 
-def covered(runs: list[dict] | None, length: int = LENGTH) -> list[tuple[int, int]]:
-    """The maximal spans of bytes that the strings from the runs' places cover."""
+def covered(runs: list[dict] | None, unit: Bytes | Words) -> list[tuple[int, int]]:
+    """The maximal spans of bytes or words that the unit's strings from the runs' places cover."""
     out: list[list[int]] = []
-    for r in sorted(runs or [], key=lambda r: r["at"]):
-        a, b = r["at"], r["at"] + r["n"] - 1 + length
+    for r in sorted((r for r in runs or [] if r["u"] == unit.mark), key=lambda r: r["at"]):
+        a, b = r["at"], r["at"] + r["n"] - 1 + unit.length
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -351,33 +489,87 @@ def covered(runs: list[dict] | None, length: int = LENGTH) -> list[tuple[int, in
     return [(a, b) for a, b in out]
 
 
-def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-          texts: bool = True) -> DataFrame:
-    """The columns `keep` of docs, and n_bytes, spans (removed bytes: array of struct of start and stop), kept_sha256
-    and, with `texts`, kept: the remaining bytes."""
-    keyed = _keyed(docs, id_col, text_col)
-    runs = repeated_strings(keyed, length)
+def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
+    return b"".join(raw[x:y] for x, y in zip([0, *(y for _, y in spans)], [*(x for x, _ in spans), len(raw)], strict=True))
+
+
+def word_bytes(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of words as spans of bytes, from the first word's beginning to the last word's end."""
+    out, number, want = [], 0, iter(spans)
+    span = next(want, None)
+    start = 0
+    for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw) if spans else ():
+        if span is None:
+            break
+        if number == span[0]:
+            start = m.start()
+        number += 1
+        if number == span[1]:
+            out.append((start, m.end()))
+            span = next(want, None)
+    return out
+
+
+def _with_runs(docs: DataFrame, keep: list[str], id_col: str, text_col: str, units: list) -> DataFrame:
+    """(k0, k1, ..., t, runs)."""
+    runs = repeated_strings(_keyed(docs, id_col, text_col), units)
     base = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], blank_null(text_col).alias("t"),
                        F.col(id_col).alias("i")).withColumn("k", F.xxhash64("i", "t")).drop("i")
-    joined = base.join(runs, "k", "left").drop("k")
+    return base.join(runs, "k", "left").drop("k")
+
+
+def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+          passages: int | None = None, texts: bool = True) -> DataFrame:
+    """The columns `keep` of docs, and n_bytes, spans (removed bytes: array of struct of start and stop), kept_sha256;
+    with `passages`, n_passage_words: words in runs of that many words that start anywhere else too; and with `texts`,
+    kept: the remaining bytes."""
+    unit, words = Bytes(length), Words(passages) if passages else None
+    joined_ = _with_runs(docs, keep, id_col, text_col, [unit, *[words] * bool(words)])
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*kinds, "n_bytes long, spans array<struct<start:long,stop:long>>, kept_sha256 string", *["kept binary"] * texts])
+    schema = ", ".join([*kinds, "n_bytes long, spans array<struct<start:long,stop:long>>, kept_sha256 string", *["n_passage_words long"] * bool(words),
+                        *["kept binary"] * texts])
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches):
         for batch in pieces(batches, "t", PIECE):
             off, data = text_bytes(batch.column("t"))
-            n, spans, sha, left = [], [], [], []
+            n, spans, sha, left, in_passages = [], [], [], [], []
             for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("runs").to_pylist(), strict=True):
                 raw = data[a:b].tobytes()
-                gone = covered(r, length)
-                rest = b"".join(raw[x:y] for x, y in zip([0, *(y for _, y in gone)], [*(x for x, _ in gone), len(raw)], strict=True))
+                gone = covered(r, unit)
+                rest = without(raw, gone) if gone else raw
                 n.append(len(raw))
                 spans.append([{"start": x, "stop": y} for x, y in gone])
                 sha.append(hashlib.sha256(rest).hexdigest())
                 left.append(rest)
-            cols = [pa.array(n, pa.int64()), pa.array(spans, span), pa.array(sha, pa.string()), *[pa.array(left, pa.binary())] * texts]
+                in_passages.append(sum(y - x for x, y in covered(r, words)) if words else 0)
+            cols = [pa.array(n, pa.int64()), pa.array(spans, span), pa.array(sha, pa.string()), *[pa.array(in_passages, pa.int64())] * bool(words),
+                    *[pa.array(left, pa.binary())] * texts]
             yield pa.RecordBatch.from_arrays([*(batch.column(f"k{i}") for i in range(len(keep))), *cols],
-                                             names=[*keep, "n_bytes", "spans", "kept_sha256", *["kept"] * texts])
+                                             names=[*keep, "n_bytes", "spans", "kept_sha256", *["n_passage_words"] * bool(words), *["kept"] * texts])
+
+    return joined_.mapInArrow(run, schema)
+
+
+def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars: str | None = None, words: int = WORDS) -> DataFrame:
+    """docs with every run of `words` words that starts anywhere else too taken out of the text, from its first word's
+    beginning to its last word's end. `n_chars` names a column that counts the text's characters. Null texts become empty."""
+    unit = Words(words)
+    columns = docs.columns
+    rest = [c for c in columns if c not in (text_col, n_chars)]
+    joined_ = _with_runs(docs, rest, id_col, text_col, [unit])
+    kinds = {c: "string" if c == text_col else "long" if c == n_chars else docs.schema[c].dataType.simpleString() for c in columns}
+
+    def run(batches):
+        for batch in pieces(batches, "t", PIECE):
+            off, data = text_bytes(batch.column("t"))
+            left = []
+            for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("runs").to_pylist(), strict=True):
+                raw = data[a:b].tobytes()
+                gone = word_bytes(raw, covered(r, unit)) if r else []
+                left.append((without(raw, gone) if gone else raw).decode("utf-8", "replace"))
+            made = {text_col: pa.array(left, pa.string()), n_chars: pa.array([len(t) for t in left], pa.int64())}
+            made |= {c: batch.column(f"k{i}") for i, c in enumerate(rest)}
+            yield pa.RecordBatch.from_arrays([made[c] for c in columns], names=columns)
 
-    return joined.mapInArrow(run, schema)
+    return joined_.mapInArrow(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))

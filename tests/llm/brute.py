@@ -104,6 +104,26 @@ def repeats(rows, length=400):
     return out
 
 
+def passages(rows, run=51):
+    """(words in runs of `run` words that start anywhere else too, the text without them) of each row."""
+    own = [[(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", t or "")] for _, t in rows]
+    starts = collections.Counter(tuple(x for x, *_ in w[i : i + run]) for w in own for i in range(len(w) - run + 1))
+    out = []
+    for (_, t), w in zip(rows, own, strict=True):
+        gone = [False] * len(w)
+        for i in range(len(w) - run + 1):
+            if starts[tuple(x for x, *_ in w[i : i + run])] > 1:
+                gone[i : i + run] = [True] * run
+        t, kept, at = t or "", "", 0
+        for i, (_, a, _) in enumerate(w):
+            if gone[i] and not (i and gone[i - 1]):
+                kept += t[at:a]
+            if gone[i]:
+                at = w[i][2]
+        out.append((sum(gone), kept + t[at:]))
+    return out
+
+
 def word_runs(doc_id, text):
     """(n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256) of the damaged text."""
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")

@@ -361,14 +361,39 @@ def test_repeats_against_brute_force(spark, monkeypatch, small):
         monkeypatch.setattr(suffixes, "SHARD_BYTES", 4000)
         monkeypatch.setattr(suffixes, "PLACE", 12)
         monkeypatch.setattr(suffixes, "PIECE", 3000)
-    got = suffixes.dedup(df, keep=["doc_id", "k"]).select("doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
-                                                          F.size("spans").alias("n_spans"), "kept_sha256", "kept")
-    want = ordered([(i, *w) for (i, _), w in zip(rows, brute.repeats(rows), strict=True)])
-    assert [(*x[:5], bytes(x[5])) for x in by_row(got, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")] == want
+    got = suffixes.dedup(df, keep=["doc_id", "k"], passages=51).select("doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.stop - s.start)").alias("n_removed"),
+                                                          F.size("spans").alias("n_spans"), "kept_sha256", "kept", "n_passage_words")
+    want = ordered([(i, *w, n) for (i, _), w, (n, _) in zip(rows, brute.repeats(rows), brute.passages(rows), strict=True)])
+    assert [(*x[:5], bytes(x[5]), x[6]) for x in by_row(got, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_passage_words")] == want
+
+
+def passage_rows():
+    """Runs of 50 to 70 words that other texts have too, with other white space, short words, copies, and one in many texts."""
+    short = " ".join(f"{c}{d}" for c in "abcdef" for d in "0123456789")
+    rows = [(i, t) for i, t in ROWS if t is not LONG]
+    for n in (50, 51, 52, 70):
+        own = prose(2000 + n, n)
+        rows += [(2000 + 10 * n + j, f"{prose(3000 + 10 * n + j, 20)} {own.replace(' ', sep)} {prose(4000 + 10 * n + j, 20)}") for j, sep in enumerate((" ", "\n ", "\t"))]
+    rows += [(5000, short), (5001, "x " + short + " y"), (5002, "é " + short[3:]), (5003, prose(1, 70) + " " + prose(1, 70)), (5004, LONG[:40_000]), (5005, LONG[300:30_000])]
+    return rows + [(6000 + i, prose(6000 + i, 15) + "\n" + PASSAGE + " " + prose(7000 + i, 15)) for i in range(30)]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_passages_against_brute_force(spark, monkeypatch, small):
+    rows = passage_rows()
+    if small:
+        for name, value in (("CHUNK", 3), ("SHARD_BYTES", 4000), ("PIECE", 2000)):
+            monkeypatch.setattr(suffixes, name, value)
+    df = spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], "doc_id long, text string, k string, runs string, n_chars long").repartition(4)
+    got = suffixes.without_passages(df, n_chars="n_chars")
+    assert got.columns == df.columns
+    want = [(i, t, "x", "y", len(t)) for (i, _), (_, t) in zip(rows, brute.passages(rows), strict=True)]
+    assert ordered(tuple(r) for r in got.collect()) == ordered(want)
 
 
 def test_repeats_empty(none):
-    assert suffixes.dedup(none, keep=["doc_id"]).count() == 0
+    assert suffixes.dedup(none, keep=["doc_id"], passages=51).count() == 0
+    assert suffixes.without_passages(none).count() == 0
 
 
 def test_suffix_array_and_common_prefixes():
@@ -382,6 +407,8 @@ def test_suffix_array_and_common_prefixes():
     plain = np.minimum(sym, 256)
     order, ranks = suffixes.suffix_array(plain, ends)
     suffix = [tuple(sym[i:].tolist()) for i in range(len(sym))]
+    few, few_ranks = suffixes.suffix_array(np.where(plain == 256, 2, plain - 97), ends, 2)  # the same in a small alphabet
+    assert few.tolist() == order.tolist() and sorted(few_ranks) == [31, 248]
     assert order.tolist() == sorted(range(len(sym)), key=lambda i: suffix[i])
     common = suffixes.common_prefixes(sym, begin, order, ranks)
     for a, b in zip(order[:-1], order[1:], strict=True):

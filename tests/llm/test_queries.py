@@ -68,7 +68,7 @@ def test_held_out_accuracy(spark):
 def test_repeats_and_edits(spark):
     docs = rows_of(SMALL, "documents", "doc_id, text")
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op10_suffixes"](spark, SMALL).collect()}
-    assert got == {i: w[:4] for (i, _), w in zip(docs, brute.repeats(docs), strict=True)}
+    assert got == {i: (*w[:4], n) for (i, _), w, (n, _) in zip(docs, brute.repeats(docs), brute.passages(docs), strict=True)}
     got = {r.doc_id: (r.n_chars, r.edited_sha256) for r in QUERIES["op7_fingerprints"](spark, SMALL).collect()}
     assert got == {i: (n, brute.sha(e)) for (i, _), (n, e) in zip(docs, brute.neighbour_edits(docs), strict=True)}
 
@@ -92,7 +92,7 @@ def test_pipeline_against_brute_force(spark):
     good = {r.doc_id for r in langid.identify(docs, model, keep=["doc_id"]).collect() if not r.rejected}
     rows = [(i, t) for i, t in rows_of(SMALL, "documents", "doc_id, text") if i in good]
     rows = [r for r, (_, least) in zip(rows, brute.near_classes(rows, 5), strict=True) if r[0] == least]
-    rows = [(i, w[4].decode("utf-8", "ignore")) for (i, _), w in zip(rows, brute.repeats(rows), strict=True)]
+    rows = [(i, t) for (i, _), (_, t) in zip(rows, brute.passages(rows), strict=True)]
     items = rows_of(SMALL, "benchmark", "item_id, text")
     rows = [r for r, w in zip(rows, brute.contamination(rows, items), strict=True) if not w[-1]]
     want = {i: lib.encode(t, add_special_tokens=False).ids for i, t in rows}
