@@ -1,8 +1,9 @@
 """A training corpus from `documents`: language ID, near-duplicates, repeated passages, benchmark passages, token ids.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept; `run` writes what a stage
-returns to the shared folder and reads it again. All stages but the last return the columns of documents. Nulls, empty
-tables, repeated rows and further columns are treated as the operators' docstrings say.
+returns to the shared folder and reads it again. All stages but the last return the columns of documents and drop others.
+Null and empty texts go in the first stage; later ones keep them (as empty texts from suffix_dedup on). Rows that repeat id
+and text stay once from near_dedup on. Very long texts are worked on whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,20 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 400 bytes that occur elsewhere too. A character that was cut goes."""
-    left = suffixes.dedup(docs, keep=["doc_id", "lang", "source"])
-
-    def decode(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            text = [raw.decode("utf-8", "ignore") for raw in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(text, pa.string()), batch.column("lang"), batch.column("source"),
-                 pa.array([len(t) for t in text], pa.int64())], names=COLUMNS)
-
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" if c != "n_chars" else "n_chars long" for c in COLUMNS)
-    return left.select("doc_id", "lang", "source", "kept").mapInArrow(decode, kinds)
+    """Texts without the runs of 51 words or more that occur elsewhere too (in other documents or in the same one)."""
+    return suffixes.without_passages(docs.select(COLUMNS), n_chars="n_chars")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
