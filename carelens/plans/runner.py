@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 from carelens.operators.aggregate import rollup, topk
 from carelens.operators.filters import cascade
 from carelens.operators.quality import check_each, observed, publish
+from carelens.operators.sketches import Distinct, Quantiles, answer, sketch, unite
 from carelens.plans.bronze import bronze_provider, bronze_staffing, bronze_state
 from carelens.plans.dashboard import (
     DASH_STATE, load_for_dashboard, page, provname_options, provnum_options, state_key_sql, state_options,
 )
 from carelens.plans.gold import gold
-from carelens.schemas import CCN, PROVNUM
+from carelens.schemas import CCN, PROVNUM, STATE
 from carelens.sources.csv import read_csv
-from carelens.sources.discovery import latest_snapshot_path, read_latest
+from carelens.sources.discovery import committed_snapshots, latest_snapshot_path, read_latest
 from carelens.sources.sinks import without_parts, write_bronze, write_snapshot
 
 
@@ -80,8 +81,9 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
              partition_by=(), partition_by_state: bool = False) -> dict:
     """B4 + D1/D2: write one new gold snapshot and its DQ outcome table.
 
-    The roll-up (one row per facility) is written beside each snapshot before
-    it is committed: questions, option lists and views read only that.
+    The roll-up (one row per facility) and the sketches (one row per state,
+    see :data:`SKETCHES`) are written beside each snapshot before it is
+    committed: questions, option lists and views read only those.
 
     Row metrics are gathered by an ``Observation`` during the write itself;
     the outcomes never gate the write (best effort, as in the source job): a
@@ -102,10 +104,7 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
         partition_by = tuple(partition_by) + (DASH_STATE,)
     g_obs, obs = observed(g, cols=("overall_rating", "occup_rate"))
 
-    def write_rollup(folder: str, run_id: str) -> None:
-        rollup(load_for_dashboard(spark.read.parquet(folder))).write.parquet(rollup_path(folder))
-
-    folder = write_snapshot(g_obs, gold_root, partition_by=partition_by, before_commit=write_rollup)
+    folder = write_snapshot(g_obs, gold_root, partition_by=partition_by, before_commit=write_summaries(spark))
     error = None
     try:
         publish(check_each(without_parts(spark.read.parquet(folder)), rules), f"{gold_root.rstrip('/')}/_dq")
@@ -114,10 +113,48 @@ def run_gold(spark: SparkSession, bronze: str, gold_root: str, tables: BronzeTab
     return {"snapshot": folder, "rollup": rollup_path(folder), "metrics": obs.get, "dq_error": error}
 
 
+#: Sketches of a snapshot, by state: facilities, and the distribution of hours and occupancy over its daily facts.
+SKETCHES = (Distinct("facilities", PROVNUM), Quantiles("hours", "Tot_Nurse_hrs"), Quantiles("occupancy", "occup_rate"))
+
+
+def write_summaries(spark: SparkSession):
+    """What ``write_snapshot`` runs before it commits: the snapshot's roll-up and its sketches."""
+
+    def write(folder: str, run_id: str) -> None:
+        facts = load_for_dashboard(spark.read.parquet(folder))
+        rollup(facts).write.parquet(rollup_path(folder))
+        sketch(facts, [STATE], SKETCHES).write.parquet(sketch_path(folder))
+
+    return write
+
+
+def _beside(folder: str, name: str) -> str:
+    root, _, run = folder.rstrip("/").rpartition("/")
+    return f"{root}/{name}/{run}"
+
+
 def rollup_path(folder: str) -> str:
     """Where a snapshot's roll-up lies: ``<root>/_rollup/run_id=...`` (hidden from file discovery)."""
-    root, _, run = folder.rstrip("/").rpartition("/")
-    return f"{root}/_rollup/{run}"
+    return _beside(folder, "_rollup")
+
+
+def sketch_path(folder: str) -> str:
+    """Where a snapshot's sketches lie: ``<root>/_sketch/run_id=...``."""
+    return _beside(folder, "_sketch")
+
+
+def ask_sketches(spark: SparkSession, gold_root: str, by_state: bool = True, state: str | None = None, last: int | None = None,
+                 probabilities=(0.5, 0.9, 0.99)) -> DataFrame:
+    """Facility counts and quantiles of hours and occupancy over committed snapshots together (the ``last`` ones, or all),
+    by state or over all; within the error bounds of :data:`SKETCHES`.  Only sketches are read, never facts: a row per state
+    and snapshot.  A snapshot without sketches is an error."""
+    found = committed_snapshots(spark, gold_root, last)
+    if not found:
+        raise FileNotFoundError(f"no committed snapshot under {gold_root}")
+    rows = spark.read.parquet(*[sketch_path(f) for f in found])
+    rows = rows.where(F.col(STATE) == F.lit(state)) if state is not None else rows
+    by = [STATE] if by_state else []
+    return answer(unite(rows, by, SKETCHES), by, SKETCHES, probabilities)
 
 
 def load_gold(spark: SparkSession, gold_root: str, cache: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from carelens import fixtures as fx
 from carelens import fixtures_sql as fs
-from carelens import event_queries
+from carelens import analysis_queries, event_queries
 from carelens.functions.numeric import to_number
 from carelens.functions.text import strip, strip_zeros, to_text, upper
 from carelens.operators.aggregate import minmax_scale, ranked, rollup, sort_rollup, topk
@@ -828,7 +828,7 @@ ORACLE: dict[str, str] = {
     "gold_strict": _sql("SELECT * FROM gold_strict", "gold_strict"),
 }
 
-QUERIES |= event_queries.QUERIES
-ORACLE |= event_queries.ORACLE
+QUERIES |= event_queries.QUERIES | analysis_queries.QUERIES
+ORACLE |= event_queries.ORACLE | analysis_queries.ORACLE
 
 assert set(ORACLE) == set(QUERIES), set(QUERIES) ^ set(ORACLE)

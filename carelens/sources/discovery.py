@@ -56,6 +56,19 @@ def _committed_latest(spark: SparkSession, path: str, name_contains: str | None,
     return None if row is None else row["folder"]
 
 
+def committed_snapshots(spark: SparkSession, path: str, last: int | None = None) -> list[str]:
+    """Folders of the committed runs below ``path``, the one committed last first (one short text per run)."""
+    from pyspark.errors import AnalysisException
+
+    from carelens.sources.sinks import COMMITTED
+    try:
+        runs = spark.read.parquet(f"{path.rstrip('/')}/{COMMITTED}")
+    except AnalysisException:
+        return []
+    runs = runs.orderBy(F.desc("committed_at"), F.desc("run_id"))
+    return [r["folder"] for r in (runs.limit(last) if last else runs).select("folder").collect()]
+
+
 def latest_snapshot_path(spark: SparkSession, path: str, name_contains: str | None = None,
                          min_size: int = 1, committed_only: bool = True) -> str:
     """Folder of the newest snapshot below ``path``.
