@@ -2,7 +2,7 @@
 
 Texts become letters (lower-cased) and single blanks for everything else; a model of ORDER characters is estimated per
 language with absolute discounts and continuation counts. It learns from a sample: at most `per_lang` labelled documents
-of each language (those whose ids hash lowest) and `sample_chars` characters of each; both are parameters. The models
+of each language (those whose ids hash lowest) and `sample_chars` characters of each, in that order; both are parameters. The models
 of all languages share sorted arrays of 64-bit n-gram hashes with one column of log probabilities per language, so an
 n-gram is looked up once for all; an n-gram that is missing backs off through context weights kept the same way.
 
@@ -13,7 +13,8 @@ The median stays where it is when some of them are odd or mislabelled. A
 language with fewer than ENOUGH of them has the limit of the other languages' documents together.
 
 Null texts and texts without a letter have lang_pred `und`, score 0 and are rejected; so is every text when no language
-was learned. Ties go to the language that sorts first. Repeated rows get equal results; an empty table gives no rows.
+was learned. Ties go to the language that sorts first. Repeated rows get equal results; an empty table gives no rows. Texts of
+any length are predicted whole, one that is longer than a piece by itself.
 Only the named columns are read, and only labels outside the held-out fold are learned from.
 """
 
@@ -35,6 +36,10 @@ BLANK = 32
 ENOUGH = 5
 #: Nats a symbol above their median that a text is still taken for the language with, and what is added over sqrt(symbols).
 MARGIN, SHORT = 0.6, 10.0
+#: Slices of a language's documents (by other bits of the hash that orders them) from which its sample comes.
+SLICES = 16
+#: Bytes of text that a task predicts at once: n-grams take some fifty times as much.
+PIECE = 256 << 10
 _LETTERS: list[np.ndarray] = []
 
 
@@ -42,7 +47,7 @@ def letters() -> np.ndarray:
     """By code point: the lower-case letter as a 16-bit symbol, or a blank. Letters beyond 16 bits are folded in."""
     if not _LETTERS:
         fold = np.full(0x110000, BLANK, np.uint64)
-        for c in range(0x30000):
+        for c in range(0x110000):
             if chr(c).isalpha():
                 low = chr(c).lower()
                 c2 = ord(low) if len(low) == 1 else c
@@ -232,24 +237,28 @@ class Models:
 
 
 def learn(texts: list[str], langs: list[str], sample_chars: int) -> Models | None:
-    """Models of the languages of a sample; every fifth document of a language calibrates."""
-    names = sorted(set(langs))
-    if not names:
-        return None
-    counts, held, truth = [], [], []
-    for l, name in enumerate(names):
-        room, own = sample_chars, []
+    """Models of the languages of a sample; every fifth document of a language calibrates. Of a document longer than what is
+    left of sample_chars the beginning is learned. A language without a symbol to learn from is left out."""
+    names, counts, held, truth = [], [], [], []
+    for name in sorted(set(langs)):
+        room, own, tested = sample_chars, [], []
         for i, t in enumerate(t for t, x in zip(texts, langs, strict=True) if x == name):
-            if len(t) > room:
-                continue
-            room -= len(t)
             if i % 5 == 4:
-                held.append(t)
-                truth.append(l)
+                tested.append(t[:room])
             else:
-                own.append(t)
+                own.append(t[:room])
+            room -= min(room, len(t))
+        if not any(own):
+            continue
         sym, _, real = symbols(own)
+        if not real.any():
+            continue
         counts.append(np.unique(grams(sym, ORDER)[real], return_counts=True))
+        held += tested
+        truth += [len(names)] * len(tested)
+        names.append(name)
+    if not names:
+        return None
     out = Models(names, counts)
     out.calibrate(held, np.array(truth, np.int64))
     return out
@@ -262,9 +271,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = (docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()
                         & (fold_of(id_col, folds) != held_out))
              .select(F.col(id_col).alias("s_id"), F.col(lang_col).cast("string").alias("s_lang")).withColumn("h", F.xxhash64("s_id")))
-    # up to 1000 rows a language, Spark keeps that many of each in every task before it shuffles any
-    first = Window.partitionBy("s_lang").orderBy("h", "s_id")
-    ids = known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("s_id", "s_lang", "h").distinct()
+    # the lowest hashes of each of SLICES slices of a language first, so that no task sorts all rows of one
+    each = max(1, 2 * per_lang // SLICES)
+    in_slice, first = (Window.partitionBy("s_lang", *c).orderBy("h", "s_id") for c in (["slice"], []))
+    few = known.withColumn("slice", F.pmod(F.shiftright("h", 8), F.lit(SLICES))).withColumn("n", F.row_number().over(in_slice)).where(F.col("n") <= each)
+    ids = few.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang).select("s_id", "s_lang", "h").distinct()
     sample = (docs.select(F.col(id_col).alias("d_id"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("d_lang"))
               .join(F.broadcast(ids), (F.col("d_id") == F.col("s_id")) & (F.col("d_lang") == F.col("s_lang")))
               .where(F.col("t").isNotNull()).select("t", F.col("d_lang").alias("y"), "h").repartition(1).sortWithinPartitions("h", "t"))
@@ -290,7 +301,7 @@ def identify(docs: DataFrame, model: bytes, keep: list[str], text_col: str = "te
 
     def run(batches):
         models = Models.load(shared.value) if shared.value else None
-        for batch in pieces(batches, "t"):
+        for batch in pieces(batches, "t", PIECE):
             texts = batch.column("t").to_pylist()
             if models:
                 best, score, rejected = models.predict(texts)

@@ -39,6 +39,8 @@ SKETCH, SKETCH_LIMIT = 96, 24
 SHARD_ROWS = 400_000
 HOT = 100_000
 BLOCK, SHARED = 4000, 64
+#: Bytes of text whose sets a task makes at once.
+PIECE = 512 << 10
 
 
 def shingle_sets(raw: bytes, off: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +200,7 @@ def signed_sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> Data
     def run(batches):
         import xxhash
 
-        for piece in pieces(batches, "t"):
+        for piece in pieces(batches, "t", PIECE):
             off, data = text_bytes(piece.column("t"))
             code, begin = shingle_sets(data.tobytes(), off, words)
             n = np.diff(begin)
@@ -339,7 +341,7 @@ def _cluster_sets(docs: DataFrame, id_col: str, text_col: str, words: int, nodes
     base = docs.select(F.col(id_col).alias("i"), blank_null(text_col).alias("t")).withColumn("k", F.xxhash64("i", "t"))
 
     def run(batches):
-        for piece in pieces(batches, "t"):
+        for piece in pieces(batches, "t", PIECE):
             off, data = text_bytes(piece.column("t"))
             code, begin = shingle_sets(data.tobytes(), off, words)
             sets = [code[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:], strict=True)]

@@ -1,5 +1,6 @@
 """The operators on edge rows: nulls, empty and long texts, repeated rows, empty tables, columns with clashing names."""
 
+import collections
 import math
 
 import numpy as np
@@ -167,6 +168,56 @@ def test_odd_calibration_documents_do_not_open_the_gate():
             assert not rejected.any() and {m.langs[b] for b in best} == {name}
 
 
+def plain_kneser_ney(texts, order=4):
+    """p(symbol | the symbols before it) by dictionaries, of one language."""
+    def clean(t):
+        out = "".join(c.lower() if c.isalpha() else " " for c in t)
+        return " " * (order - 1) + " ".join(out.split()) + (" " if out[-1:] == " " else "")
+
+    counts = [None] * (order + 1)
+    counts[order] = collections.Counter(c[i : i + order] for c in map(clean, texts) for i in range(len(c) - order + 1))
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    alphabet = len(counts[1]) + 1
+
+    def p(gram):
+        n = len(gram)
+        if not n:
+            return 1 / alphabet
+        once, twice = (sum(c == k for c in counts[n].values()) for k in (1, 2))
+        d = min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
+        after = [c for g, c in counts[n].items() if g[:-1] == gram[:-1]]
+        if not after:
+            return p(gram[1:])
+        return (max(counts[n][gram] - d, 0) + d * len(after) * p(gram[1:])) / sum(after)
+
+    return p
+
+
+def test_kneser_ney_equals_dictionaries():
+    texts = [prose(i, 25) + ("!" if i % 2 else "") for i in range(6)]
+    m, p = langid.learn(texts, ["a"] * 6, 10**6), plain_kneser_ney([t for i, t in enumerate(texts) if i % 5 != 4])
+    for gram in ("the ", " the", "   a", "zzzz", "thez", "n th", "q wh", "whic", "ave ", "    ", "ßabc"):
+        key = np.array([sum(ord(c) << (16 * (3 - j)) for j, c in enumerate(gram))], np.uint64)
+        assert math.isclose(m.log_prob(key)[0, 0], math.log(p(gram)), rel_tol=1e-4, abs_tol=1e-5), gram
+
+
+def test_langid_of_labels_without_letters_and_rare_scripts(spark):
+    """A label that nothing can be learned from is left out; long documents are learned from their beginning; letters of all
+    planes are letters."""
+    assert langid.learn(["123", "", "4 5"], ["a"] * 3, 10**6) is None and langid.learn([], [], 10) is None
+    m = langid.learn([prose(i, 100) for i in range(10)] + ["9 9"] + ["x" * 50] * 3, ["b"] * 10 + ["a"] + ["c"] * 3, 40)
+    assert m.langs == ["b", "c"]
+    rare = "".join(map(chr, range(0x30000, 0x30040)))
+    assert m.predict([rare])[0][0] >= 0 and m.predict(["12 34"])[0][0] == -1
+    long = langid.learn([prose(1, 5000)] * 3, ["b"] * 3, 1000)
+    assert long.langs == ["b"] and not long.predict([prose(1, 80)])[2].any()
+    rows = [(i, prose(i, 40), "en") for i in range(300)] + [(i, prose(i, 40)[::-1], "xx") for i in range(300, 310)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, seven = (langid.train(df.repartition(n), per_lang=64) for n in (1, 7))
+    assert one == seven and langid.Models.load(one).langs == ["en", "xx"]
+
+
 def test_kneser_ney_sums_to_one():
     m = langid.learn([prose(i, 300) for i in range(10)], ["a"] * 10, 10**6)
     letters = [k for k in range(32, 128)]
