@@ -12,9 +12,14 @@ is one shingle). Documents of Jaccard similarity `percent` % or more are linked,
    Keys go to shards as packed arrays; a key's nodes are compared as bit arrays in its task, and give one tie per node,
    never all pairs. Keys that hold over HOT nodes by a sample are dealt to several shards: see `_hot`.
 3. Tied nodes form candidate clusters. Each node's full set is sent to its cluster's task once, where links are
-   confirmed exactly. A cluster of more than BLOCK nodes is dealt to blocks that share some nodes; what isn't connected to
-   the largest class after that is sent to all blocks of its cluster, so that every pair but those already in one class
-   is compared.
+   confirmed exactly. A cluster of more than BLOCK nodes is dealt to blocks that share some nodes, which joins most of what
+   belongs together.
+4. Links of large clusters between different classes of step 3, as among texts of one template, are found by a prefix filter
+   on the full sets: shingles are ordered by how often they occur (counters of a fixed size), rarest first, and two sets at
+   `percent` share one of their first n - ceil(percent * n) + 1. Nodes meet by these shingles; what two prefixes have in
+   common bounds the similarity, and the few pairs that pass are confirmed. Nodes with a prefix shingle that more than
+   HOT_SHINGLE nodes have are compared in pairs of blocks instead. No task gathers more than two blocks, and nothing is
+   left out.
 
 Null texts and texts without words have the empty set, are linked with nothing and are their own component. Rows that
 repeat an id are documents of their own; the component id is the least id (null ids count as no id). An empty table
@@ -39,6 +44,7 @@ SKETCH, SKETCH_LIMIT = 96, 24
 SHARD_ROWS = 400_000
 HOT = 100_000
 BLOCK, SHARED = 4000, 64
+COUNTERS, HOT_SHINGLE = 1 << 18, 2000
 #: Bytes of text whose sets a task makes at once.
 PIECE = 512 << 10
 
@@ -352,6 +358,101 @@ def _cluster_sets(docs: DataFrame, id_col: str, text_col: str, words: int, nodes
     return joined.select("s", "root", "size", "t").mapInArrow(run, "s long, root long, size long, set binary")
 
 
+def shingle_counters(sets: DataFrame) -> np.ndarray:
+    """How many nodes have a shingle, by the lowest bits of its hash: COUNTERS numbers, whatever the number of shingles."""
+    part = 4096
+
+    def count(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                x = np.frombuffer(b"".join(batch.column("set").to_pylist()), np.uint64)
+                total += np.bincount((x & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        at = [i for i in range(0, COUNTERS, part) if total[i : i + part].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([total[i : i + part].tobytes() for i in at], pa.binary())], names=["at", "counts"])
+
+    def add(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in group.column("counts").to_pylist())
+        return pa.table({"at": group.column("at").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(COUNTERS, np.int64)
+    kinds = "at int, counts binary"
+    for r in sets.select("set").mapInArrow(count, kinds).groupBy("at").applyInArrow(add, kinds).collect():  # COUNTERS numbers in all
+        out[r["at"] : r["at"] + part] = np.frombuffer(r["counts"], np.int64)
+    return out
+
+
+def prefix(x: np.ndarray, counters: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of a set of which one is shared with every set that is `percent` % alike."""
+    order = np.lexsort((x, counters[(x & np.uint64(COUNTERS - 1)).astype(np.int64)]))
+    return x[order[: len(x) - -(-percent * len(x) // 100) + 1]]
+
+
+def _prefixes(label: DataFrame, percent: int) -> DataFrame:
+    """(root, s, class, main, n, f): a row per prefix shingle of each node."""
+    shared = label.sparkSession.sparkContext.broadcast(shingle_counters(label))
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                some = batch.slice(start, 2000)
+                sets = [np.frombuffer(x, np.uint64) for x in some.column("set").to_pylist()]
+                chosen = [prefix(x, shared.value, percent) for x in sets]
+                size = np.fromiter(map(len, chosen), np.int64, len(chosen))
+                row = np.repeat(np.arange(len(sets)), size)
+                n = np.fromiter(map(len, sets), np.int64, len(sets))
+                yield pa.RecordBatch.from_arrays([*(some.column(c).take(pa.array(row)) for c in ("root", "s", "class", "main")), pa.array(n[row]),
+                                                  pa.array(np.concatenate(chosen).view(np.int64) if len(row) else row)], names=["root", "s", "class", "main", "n", "f"])
+
+    return label.select("root", "s", "class", "main", "set").mapInArrow(run, "root long, s long, class long, main long, n long, f long")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of (a, b) those that are alike by their full sets."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("x", "y"))
+            same = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
+            size = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)], np.int64)
+            ok = np.flatnonzero(100 * same >= percent * (size - same))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(pa.array(ok)), batch.column("b").take(pa.array(ok))], names=["a", "b"])
+
+    both = (pairs.join(sets.select(F.col("s").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("s").alias("b"), F.col("set").alias("y")), "b"))
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _links_between(label: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): the links of large clusters between nodes of different classes. label: (root, s, class, main, set), a row per
+    node, `main` being its cluster's largest class."""
+    rows = written(_prefixes(label, percent), "neardup_prefixes")
+    # shingles of one class only link nothing
+    by_shingle = rows.groupBy("root", "f").agg(F.count(F.lit(1)).alias("nodes"), F.min("class").alias("x"), F.max("class").alias("y")).where("x != y")
+    by_shingle = written(by_shingle.select("root", "f", "nodes"), "neardup_shingles")
+    cool = rows.join(by_shingle.where(F.col("nodes") <= HOT_SHINGLE).select("root", "f"), ["root", "f"], "left_semi")
+    a, b = (cool.select("root", "f", *[F.col(c).alias(f"{c}{i}") for c in ("s", "class", "n")]) for i in (1, 2))
+    met = a.join(b, ["root", "f"]).where(f"(n1 < n2 OR (n1 = n2 AND s1 < s2)) AND 100 * n1 >= {percent} * n2 AND class1 != class2")
+    shared = met.groupBy(F.col("s1").alias("a"), F.col("s2").alias("b"), "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
+    # beyond what the prefixes share, a pair can only share one side's other shingles
+    enough = f"(100 + {percent}) * (c + ceil({percent} * greatest(n1, n2) / 100) - 1) >= {percent} * (n1 + n2)"
+    found = _confirm(shared.where(enough).select("a", "b"), label, percent)
+    hot = by_shingle.where(F.col("nodes") > HOT_SHINGLE).select("root", "f")
+    if hot.isEmpty():
+        return found
+    # nodes that have a hot shingle in their prefix: pairs of blocks, of which one is outside the main class
+    nodes = written(rows.join(hot, ["root", "f"], "left_semi").select("root", "s", (F.col("class") == F.col("main")).alias("inner")).distinct(), "neardup_hot_nodes")
+    half = max(1, block // 2)
+    sizes = nodes.groupBy("root").agg(*[F.expr(f"cast(ceil(count_if({x}) / {half}) AS BIGINT)").alias(n) for x, n in (("NOT inner", "outside"), ("inner", "inside"))])
+    dealt = label.join(nodes, ["root", "s"]).join(sizes, "root")
+    own = dealt.withColumn("own", F.expr("pmod(xxhash64(s), if(inner, inside, outside))"))
+    # blocks 0 to outside - 1 are outside the main class, the others inside it
+    outer = own.where("NOT inner").select("root", "s", "set", F.explode(F.expr("transform(sequence(0L, outside + inside - 1), j -> struct(least(own, j) AS i, greatest(own, j) AS j))")).alias("p"))
+    inner = own.where("inner AND outside > 0").select("root", "s", "set", F.explode(F.expr("transform(sequence(0L, outside - 1), j -> struct(j AS i, outside + own AS j))")).alias("p"))
+    placed = written(outer.unionByName(inner).select("s", "set", F.xxhash64("root", "p.i", "p.j").alias("part")), "neardup_block_pairs")
+    tasks = max(1, math.ceil((placed.agg(F.sum(F.octet_length("set"))).first()[0] or 0) / (4 << 20)))
+    return found.unionByName(_links(placed.withColumn("task", F.pmod("part", F.lit(tasks))), percent))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
             block: int = BLOCK) -> DataFrame:
     """One row per row of docs: id, `k` (a key of id and text), n_shingles, component_id (the least id of its class; its
@@ -387,14 +488,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     large = total["m"] > block
     final = components(found, "neardup_links")
     if large:
-        label = dealt.where("blocks > 1").join(final.select(F.col("node").alias("s"), F.col("root").alias("class")), "s", "left")
-        label = label.withColumn("class", F.coalesce("class", "s"))
+        label = dealt.where("blocks > 1").select("root", "s", "set").dropDuplicates(["s"])
+        label = label.join(final.select(F.col("node").alias("s"), F.col("root").alias("class")), "s", "left").withColumn("class", F.coalesce("class", "s"))
         main = label.groupBy("root", "class").count().groupBy("root").agg(F.max_by("class", F.struct("count", "class")).alias("main"))
-        label = label.join(main, "root")
-        rest = label.where("class != main")
-        spread = rest.select("root", "s", "set", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        stay = label.where("class = main").join(rest.select("root").distinct(), "root", "left_semi")
-        again = links(spread.unionByName(stay.select("root", "s", "set", F.col("own").alias("block"))))
+        again = _links_between(written(label.join(main, "root"), "neardup_large"), percent, block)
         final = components(again.unionByName(final.select(F.col("node").alias("a"), F.col("root").alias("b"))), "neardup_links")
     named = signed.select("i", "k", "n", "s").join(final.select(F.col("node").alias("s"), "root"), "s", "left")
     named = named.withColumn("class", F.when(F.col("n") > 0, F.coalesce("root", "s")))

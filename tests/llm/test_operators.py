@@ -388,6 +388,49 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, words, small):
     assert by_row(got, "n_shingles", "component_id") == want
 
 
+def template_texts(n, same=110, own=40, vocabulary=60, seed=12):
+    """Texts of one template: `same` words in common, and `own` of each from a small vocabulary; some are near copies."""
+    rnd = np.random.default_rng(seed)
+    shared, words = prose(77, same), prose(78, vocabulary).split()
+    out = []
+    for i in range(n):
+        if i % 9 == 8:
+            w = out[-int(rnd.integers(1, 5))][1].split()
+            w[int(rnd.integers(same, len(w)))] = "changed"
+            out.append((i, " ".join(w)))
+        else:
+            out.append((i, shared + " " + " ".join(rnd.choice(words, own))))
+    return out
+
+
+@pytest.mark.parametrize("hot", [3, 40, neardup.HOT_SHINGLE])
+def test_templates_link_exactly_across_blocks(spark, monkeypatch, hot):
+    """One candidate cluster of many blocks with hardly any link in it; with shingles that are hot and without."""
+    monkeypatch.setattr(neardup, "HOT_SHINGLE", hot)
+    monkeypatch.setattr(neardup, "SHARED", 2)
+    sizes = []
+    plain = neardup._links
+    monkeypatch.setattr(neardup, "_links", lambda rows, percent: (sizes.append(rows.groupBy("part").count().agg(F.max("count")).first()[0]), plain(rows, percent))[1])
+    rows = template_texts(400)
+    got = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string"), words=2, block=40)
+    want = [(i, *w) for (i, _), w in zip(rows, brute.near_classes(rows, 2), strict=True)]
+    assert by_row(got, "n_shingles", "component_id") == want
+    assert 1 < len({c for *_, c in want}) < 400 and all(x is None or x < 120 for x in sizes)
+
+
+def test_prefixes_of_like_sets_meet():
+    rnd = np.random.default_rng(8)
+    counters = rnd.integers(0, 50, neardup.COUNTERS)
+    for _ in range(400):
+        n = int(rnd.integers(1, 60))
+        a = np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([rnd.permutation(a)[: rnd.integers(0, len(a) + 1)], rnd.integers(0, 2**63, rnd.integers(0, n // 4 + 2), dtype=np.uint64)]))
+        same = len(np.intersect1d(a, b))
+        if 100 * same >= 80 * (len(a) + len(b) - same):
+            c = len(np.intersect1d(neardup.prefix(a, counters, 80), neardup.prefix(b, counters, 80)))
+            assert c and 180 * (c + -(-80 * max(len(a), len(b)) // 100) - 1) >= 80 * (len(a) + len(b))
+
+
 def test_one_of_each(spark, docs, none):
     kept = neardup.one_of_each(docs, words=5)
     assert kept.columns == docs.columns
