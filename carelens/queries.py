@@ -213,16 +213,14 @@ def q_tolerant_scan(spark, d):
 
 
 def _land_cut(spark, source: str, target: str) -> None:
-    """Copy the first half of a folder's data file into another folder (a transfer that broke off)."""
-    jvm = spark._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    """Copy the first half of one of a folder's data files into another folder (a transfer that broke off)."""
+    hadoop = spark._jvm.org.apache.hadoop
+    src, dst = hadoop.fs.Path(source), hadoop.fs.Path(target)
     fs_ = src.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs_.listStatus(src):
-        if status.getPath().getName().startswith("part-"):
-            data = spark.read.format("binaryFile").load(status.getPath().toString()).select("content").first()["content"]
-            out = fs_.create(jvm.org.apache.hadoop.fs.Path(dst, "cut-" + status.getPath().getName()))
-            out.write(bytes(data[: len(data) // 2]))
-            out.close()
+    status = min((s for s in fs_.listStatus(src) if s.getPath().getName().startswith("part-")), key=lambda s: s.getPath().getName())
+    out = fs_.create(hadoop.fs.Path(dst, "cut-" + status.getPath().getName()))
+    spark._jvm.org.apache.commons.io.IOUtils.copyLarge(fs_.open(status.getPath()), out, 0, status.getLen() // 2)
+    out.close()
 
 
 def q_tolerant_files(spark, d):
@@ -230,7 +228,7 @@ def q_tolerant_files(spark, d):
     path = scratch_path(spark, "tolerant_files")
     write_csv(_roles(spark, d)["staffing"], path, compression="gzip")
     write_csv(_roles(spark, d)["provider"].select(F.lit("cut").alias("PROVNUM"), *[F.lit("1").alias(c) for c in STAFFING_COLS[1:]])
-              .coalesce(1), f"{path}-cut", compression="gzip")
+              , f"{path}-cut", compression="gzip", max_records_per_file=10_000)
     _land_cut(spark, f"{path}-cut", path)
     good, bad, failed = read_csv_tolerant(spark, path, tolerant_schema())
     one = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")

@@ -10,6 +10,11 @@ with fewer fields is padded with NULL.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +41,12 @@ def _reader(spark: SparkSession, encoding: str, multi_line: bool):
     return r.option("multiLine", "true") if multi_line else r
 
 
-def _text_scan(spark: SparkSession, path, encoding: str, multi_line: bool, options: dict | None = None):
+def _text_scan(spark: SparkSession, path, encoding: str, multi_line: bool, options: dict | None = None, header: str | None = None):
     """Every column as text under its header name, and the raw text of rows whose number of fields is not the
-    header's in ``_corrupt_record``.  Rows are judged whole: column pruning is off, so that no select changes it."""
-    names = _reader(spark, encoding, multi_line).csv(path).columns
+    header's in ``_corrupt_record``.  Rows are judged whole: column pruning is off, so that no select changes it.
+    ``header``: a file to take the names from, if not any."""
+    first = re.sub(r"([\\\[\]{}*?])", r"\\\1", header) if header else path
+    names = _reader(spark, encoding, multi_line).options(**(options or {})).csv(first).columns
     fields = [T.StructField(c, T.StringType()) for c in names] + [T.StructField(CORRUPT_COL, T.StringType())]
     df = (_reader(spark, encoding, multi_line).options(**(options or {})).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", "false")
@@ -91,72 +98,77 @@ def read_csv(spark: SparkSession, path, schema=None, encoding: str = "UTF-8",
                            for c in keep])
 
 
-def _unreadable(batches):
-    """Names of compressed files that do not decompress to their end."""
-    import bz2
-    import zlib
-
-    import pyarrow as pa
-
-    for batch in batches:
-        failed = []
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            raw = content.as_buffer()
-            try:
-                if path.endswith(".bz2"):
-                    left = raw.to_pybytes()
-                    while left:  # streams may follow one another
-                        d = bz2.BZ2Decompressor()
-                        d.decompress(left)
-                        if not d.eof:
-                            raise EOFError
-                        left = d.unused_data
-                else:
-                    left = raw
-                    while len(left):
-                        d = zlib.decompressobj(wbits=31 if path.endswith(".gz") else 15)
-                        for at in range(0, len(left), 1 << 20):
-                            d.decompress(left[at : at + (1 << 20)])
-                            if d.eof:
-                                break
-                        if not d.eof:
-                            raise EOFError
-                        rest = at + (1 << 20) - len(d.unused_data)
-                        left = left[min(rest, len(left)):]
-            except (OSError, EOFError, zlib.error):
-                failed.append(path)
-        yield pa.RecordBatch.from_arrays([pa.array(failed, pa.string())], names=["path"])
-
-
-def unreadable_files(spark: SparkSession, path) -> DataFrame:
-    """(path) of the compressed files below ``path`` that cannot be read to their end."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-             .where(F.col("path").rlike(r"\.(gz|bz2|deflate)$"))
-             .select(F.col("_metadata.file_path").alias("path"), "content"))
-    return files.mapInArrow(_unreadable, "path string")
-
-
-def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8"):
+#: Suffixes of compressed files whose end Spark's reader checks, and of those where a file that was cut reads like a whole one.
+CHECKED, UNCHECKED = ("gz", "bz2", "deflate"), ("snappy", "lz4", "zst", "lzo")
+
+
+def _files(spark: SparkSession, path) -> DataFrame:
+    """(path, file): each file's name, and how ``_metadata.file_path`` says it."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", F.col("_metadata.file_path").alias("file")).where(~F.col("path").rlike("/[_.][^/]*$")))
+
+
+def _named(error: Exception, files: dict[str, str]) -> str | None:
+    """Which of the files an error of a scan is about."""
+    found = re.search(r"FAILED_READ_FILE\S* Encountered error while reading file (.*?)\.\s+(?:SQLSTATE|File|It is)", str(error), re.S)
+    plain = lambda name: re.sub(r"^(\w+):/+", r"\1:/", unquote(name))  # noqa: E731  file:///x and file:/x are one
+    return next((p for p, f in files.items() if found and plain(found[1]) in (plain(f), plain(p))), None)
+
+
+def unreadable_files(spark: SparkSession, path, unchecked: str = "raise") -> DataFrame:
+    """(path) of the compressed files below ``path`` that cannot be read to their end.
+
+    Spark reads the files itself, line by line, so whatever the codec and however large a file is, a task holds a line of
+    it.  A scan that fails names a file; that one is listed, and the others are scanned again in two halves, so that b bad
+    files cost log2(b) + 2 passes at most.  Any other error is raised.  Only file names come to the driver.
+
+    Cut files of some codecs (``UNCHECKED``) read without an error: they raise a ValueError, or are listed as unreadable
+    (``unchecked="list"``).
+    """
+    suffix = F.regexp_extract("path", r"\.([^./]+)$", 1)
+    files = _files(spark, path)
+    odd = [r["file"] for r in files.where(suffix.isin(*UNCHECKED)).select("file").collect()]
+    if odd and unchecked != "list":
+        raise ValueError(f"{len(odd)} files of a codec that hides a missing end, such as {odd[0]}")
+    names = {r["path"]: r["file"] for r in files.where(suffix.isin(*CHECKED)).collect()}
+    failed, todo = [], [sorted(names)]
+    while todo:
+        some = todo.pop()
+        if not some:
+            continue
+        exact = [re.sub(r"([\\\[\]{}*?])", r"\\\1", p) for p in some]
+        try:
+            spark.read.options(ignoreCorruptFiles="false", ignoreMissingFiles="false").text(exact).count()
+        except (Py4JJavaError, PySparkException) as e:
+            bad = _named(e, {p: names[p] for p in some})
+            if bad is None:
+                raise
+            failed.append(names[bad])
+            rest = [p for p in some if p != bad]
+            todo += [rest[: len(rest) // 2], rest[len(rest) // 2 :]]
+    return spark.createDataFrame([(f,) for f in sorted([*failed, *odd])], "path string")
+
+
+def read_csv_tolerant(spark: SparkSession, path, schema, encoding: str = "UTF-8", unchecked: str = "raise"):
     """Tolerant typed scan (S9): bad items are reported and skipped.
 
     Returns ``(good, bad, failed)``.  A row is good when it has the header's
     number of fields and every typed field parses, whatever columns are
     selected later; ``bad`` keeps the fields as text and the raw row, where its
     number of fields is wrong, in ``_corrupt_record``.  ``failed`` lists files
-    that cannot be read to their end; no row of theirs is in either frame.
+    that cannot be read to their end (see :func:`unreadable_files`); they are
+    not opened again, and no row of theirs is in either frame.  A read error in
+    any other file is an error of the scan.
     """
-    from carelens.session import scratch_path
-
     st = _as_struct(schema)
-    df, names = _text_scan(spark, path, encoding, False, {"ignoreCorruptFiles": "true"})
+    failed = unreadable_files(spark, path, unchecked)
+    gone = [r["path"] for r in failed.collect()]
+    header = _files(spark, path).where(~F.col("file").isin(gone)).agg(F.min("path").alias("p")).first()["p"] if gone else None
+    df, names = _text_scan(spark, path, encoding, False, {"ignoreCorruptFiles": "false", "recursiveFileLookup": "true"}, header)
     missing = [c for c in st.names if c not in names]
     if missing:
         raise ValueError(f"columns not in header: {missing}")
-    out = scratch_path(spark, "unreadable")
-    unreadable_files(spark, path).write.parquet(out)
-    failed = spark.read.schema("path string").parquet(out)
-    whole = (df.select("*", F.col("_metadata.file_path").alias("_file"))
-             .join(failed, F.col("_file") == failed["path"], "left_anti").drop("_file"))
+    whole = df.where(~F.col("_metadata.file_path").isin(gone)) if gone else df  # files are left out before they are opened
     typed = [f for f in st.fields if not isinstance(f.dataType, T.StringType)]
     parsed = [f"({q(f.name)} IS NULL OR try_cast({q(f.name)} AS {f.dataType.simpleString()}) IS NOT NULL)" for f in typed]
     ok = F.expr(" AND ".join([f"{q(CORRUPT_COL)} IS NULL", *parsed]))

@@ -2,6 +2,7 @@
 
 import os
 
+from urllib.parse import unquote
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,38 @@ def test_tolerant_scan_lists_broken_files_and_takes_nothing_of_them(spark, scrat
     assert [r["path"].split("/")[-1] for r in failed.collect()] == ["cut.csv.gz"]
 
 
+@pytest.mark.parametrize("codec", ["gzip", "bzip2", "deflate"])
+def test_every_checked_codec_is_read_to_its_end(spark, scratch, codec):
+    """Several cut files among whole ones, one of a name with blanks and signs; the first by name is cut too."""
+    path = scratch("codecs")
+    write_csv(spark.range(30_000).selectExpr("concat('k', id) AS k", "CAST(id AS STRING) AS v").repartition(6), path, compression=codec)
+    d = _local(path)
+    files = sorted(f for f in os.listdir(d) if f.startswith("part-"))
+    os.rename(f"{d}/{files[4]}", f"{d}/part-x [a] 100%.{files[4].split('.', 1)[1]}")
+    files = sorted(f for f in os.listdir(d) if f.startswith("part-"))
+    whole = {f: open(f"{d}/{f}", "rb").read() for f in files}
+    for f in (files[0], files[2], files[5]):
+        with open(f"{d}/{f}", "wb") as out:
+            out.write(whole[f][: 2 * len(whole[f]) // 3])
+    for f in os.listdir(d):
+        if f.endswith(".crc"):
+            os.remove(f"{d}/{f}")
+    good, bad, failed = read_csv_tolerant(spark, path, "k string, v long")
+    assert sorted(unquote(r["path"]).split("/")[-1] for r in failed.collect()) == [files[0], files[2], files[5]]
+    assert 0 < good.count() < 30_000 and bad.count() == 0
+    assert "_metadata" not in good.columns
+
+
+def test_codecs_that_hide_a_missing_end_are_refused(spark, scratch):
+    path = scratch("hides")
+    write_csv(spark.range(1000).selectExpr("id AS k"), path, compression="snappy")
+    with pytest.raises(ValueError, match="codec"):
+        read_csv_tolerant(spark, path, "k long")
+    write_csv(spark.range(10).selectExpr("id AS k"), path, mode="append")
+    good, bad, failed = read_csv_tolerant(spark, path, "k long", unchecked="list")
+    assert good.count() == 10 and failed.count() >= 1
+
+
 def test_columns_are_bound_by_header(spark, scratch):
     d = _local(scratch("header"))
     os.makedirs(d)
