@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from carelens.event_queries import CENTS
 from carelens.fixtures import table
+from carelens.functions.semistructured import items, parse_json, quality
 from carelens.operators.difference import except_all, intersect_all, snapshot_diff
 from carelens.operators.frames import ranks, running, top_per_key
+from carelens.operators.history import history, with_extract
 from carelens.operators.grouping import cube_sets, rollup_sets, subtotals
 from carelens.operators.sketches import Distinct, Quantiles, answer, sketch, unite
+from carelens.operators.temporal import asof_join
 from carelens.session import scratch_path
 
 # ---------------------------------------------------------------- sketches
@@ -140,6 +143,87 @@ _CHANGED = f"""(SELECT * REPLACE (CASE WHEN o_orderkey % 17 = 0 THEN 'X' ELSE o_
 _NEW_SQL = f"""new AS (SELECT * FROM {_CHANGED} UNION ALL SELECT * FROM {_CHANGED} WHERE o_orderkey % 31 = 0)"""
 _BOTH_SQL = f"WITH {_OLD_SQL}, {_NEW_SQL}"
 
+# ---------------------------------------------------------------- dimension history
+
+#: Extracts of customers: when, which are in it, and their segment.
+EXTRACTS = (("1996-01-01", "true", "c_mktsegment"),
+            ("1997-06-01", "c_custkey % 7 <> 0", "CASE WHEN c_custkey % 5 = 0 THEN 'X' WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END"),
+            ("1999-01-01", "c_custkey % 6 <> 1", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END"),
+            ("2001-01-01", "true", "CASE WHEN c_custkey % 11 = 0 THEN 'Y' ELSE c_mktsegment END"))
+
+
+def _customer_extracts(spark, d) -> list[DataFrame]:
+    customers = table(spark, d, "customer")
+    return [customers.where(which).selectExpr("c_custkey", f"{segment} AS segment", f"TIMESTAMP_NTZ '{day} 00:00:00' AS t") for day, which, segment in EXTRACTS]
+
+
+def _all_of(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_dimension_history(spark, d):
+    return history(_all_of(_customer_extracts(spark, d)), ["c_custkey"], "t")
+
+
+def q_dimension_backfill(spark, d):
+    """The second extract comes last and is given twice: the history is that of the extracts in order."""
+    first, late, *others = _customer_extracts(spark, d)
+    versions, times = history(_all_of([first, *others]), ["c_custkey"], "t"), _all_of([first, *others]).select("t").distinct()
+    for _ in range(2):
+        versions, times = with_extract(versions, times, late, ["c_custkey"], "t")
+    return versions
+
+
+def q_history_asof(spark, d):
+    """Each order with its customer's segment of that day, if the customer was known then."""
+    versions = q_dimension_history(spark, d).select("c_custkey", "segment", "valid_from", "valid_to")
+    orders = table(spark, d, "orders").selectExpr("o_orderkey", "o_custkey AS c_custkey", "o_orderdate")
+    found = asof_join(orders, versions, ["c_custkey"], "o_orderdate", "valid_from", ["segment", "valid_to"], 400 * 86_400)
+    known = F.col("valid_to").isNull() | (F.col("o_orderdate") < F.col("valid_to"))
+    return found.select("o_orderkey", "c_custkey", "o_orderdate", F.when(known, F.col("segment")).alias("segment"), F.when(known, F.col("valid_from")).alias("since"))
+
+
+_HISTORY_SQL = "WITH e AS (" + " UNION ALL ".join(f"SELECT c_custkey, {s} AS segment, TIMESTAMP '{t}' AS t FROM customer WHERE {w}" for t, w, s in EXTRACTS) + """),
+times AS (SELECT t, row_number() OVER (ORDER BY t) AS i, lead(t) OVER (ORDER BY t) AS nxt FROM (SELECT DISTINCT t FROM e) x),
+p AS (SELECT *, lag(segment) OVER w AS before, lag(i) OVER w AS j FROM e JOIN times USING (t) WINDOW w AS (PARTITION BY c_custkey ORDER BY t)),
+n AS (SELECT *, sum(CASE WHEN j IS NULL OR i <> j + 1 OR segment IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY c_custkey ORDER BY t) AS v FROM p),
+h AS (SELECT c_custkey, any_value(segment) AS segment, min(t) AS valid_from, CASE WHEN count(nxt) = count(*) THEN max(nxt) END AS valid_to, count(*) AS extracts
+  FROM n GROUP BY c_custkey, v)"""
+
+# ---------------------------------------------------------------- semi-structured columns
+
+#: Event properties as they might land: some cut, some with another type or further fields, some empty.
+_PROPS = ("CASE WHEN event_id % 41 = 0 THEN substr(props, 1, 5) WHEN event_id % 43 = 0 THEN replace(props, '}', ', \"src\": \"app\"}') "
+          "WHEN event_id % 47 = 0 THEN '{\"k\": \"many\"}' WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 59 = 0 THEN '[1]' ELSE props END")
+
+
+def _parsed(spark, d) -> DataFrame:
+    events = table(spark, d, "events").selectExpr("event_id", "event_type", f"{_PROPS} AS props")
+    return parse_json(events, "props", "k BIGINT")
+
+
+def q_json_parse(spark, d):
+    return _parsed(spark, d).selectExpr("event_id", "k", "_malformed AS malformed", "_extra['src'] AS src")
+
+
+def q_json_quality(spark, d):
+    return quality(_parsed(spark, d), ["event_type"])
+
+
+def q_array_items(spark, d):
+    """The sentences of each turn, as an array and unnested again: place and length."""
+    turns = table(spark, d, "conversations").selectExpr("conv_id", "turn", "split(text, '[.] ') AS sentences")
+    return items(turns, "sentences", "sentence").selectExpr("conv_id", "turn", "at", "length(sentence) AS n")
+
+
+_PARSED_SQL = f"""WITH e AS (SELECT event_id, event_type, {_PROPS} AS p FROM events),
+j AS (SELECT *, CASE WHEN json_valid(p) AND json_type(p) = 'OBJECT' THEN p END AS o FROM e),
+x AS (SELECT *, TRY_CAST(json_extract_string(o, '$.k') AS BIGINT) AS k,
+  CASE WHEN p IS NOT NULL AND (o IS NULL OR json_type(o, '$.k') = 'VARCHAR') THEN p END AS malformed, json_extract_string(o, '$.src') AS src FROM j)"""
+
 QUERIES = {
     "sketch_distinct": q_sketch_distinct,
     "sketch_quantiles": q_sketch_quantiles,
@@ -152,6 +236,12 @@ QUERIES = {
     "except_all": q_except_all,
     "intersect_all": q_intersect_all,
     "snapshot_diff": q_snapshot_diff,
+    "dimension_history": q_dimension_history,
+    "dimension_backfill": q_dimension_backfill,
+    "history_asof": q_history_asof,
+    "json_parse": q_json_parse,
+    "json_quality": q_json_quality,
+    "array_items": q_array_items,
 }
 
 ORACLE = {
@@ -175,4 +265,12 @@ SELECT o_orderkey, CASE WHEN sum(a) = 0 THEN 'added' WHEN sum(b) = 0 THEN 'remov
   min(CASE WHEN a > b THEN o_orderstatus END) AS old_status, min(CASE WHEN b > a THEN o_orderstatus END) AS new_status,
   CAST(sum(greatest(a - b, 0)) AS BIGINT) AS gone, CAST(sum(greatest(b - a, 0)) AS BIGINT) AS come
 FROM c GROUP BY o_orderkey HAVING bool_or(a <> b)""",
+    "dimension_history": f"{_HISTORY_SQL} SELECT * FROM h",
+    "dimension_backfill": f"{_HISTORY_SQL} SELECT * FROM h",
+    "history_asof": f"""{_HISTORY_SQL} SELECT o_orderkey, o_custkey AS c_custkey, o_orderdate, segment, valid_from AS since FROM orders
+LEFT JOIN h ON h.c_custkey = o_custkey AND o_orderdate >= valid_from AND (valid_to IS NULL OR o_orderdate < valid_to)""",
+    "json_parse": f"{_PARSED_SQL} SELECT event_id, k, malformed, src FROM x",
+    "json_quality": f"{_PARSED_SQL} SELECT event_type, count(*) AS documents, count(malformed) AS malformed, count(src) AS with_extra FROM x GROUP BY event_type",
+    "array_items": "SELECT conv_id, turn, CAST(i AS INTEGER) AS at, CAST(length(s[i + 1]) AS INTEGER) AS n FROM (SELECT conv_id, turn, s, unnest(generate_series(0, len(s) - 1)) AS i "
+                   "FROM (SELECT conv_id, turn, string_split(text, '. ') AS s FROM conversations) a) b",
 }
