@@ -12,7 +12,8 @@ Work is done on blocks of texts of a few MB, written once to the shared folder a
   shards grow in number with the blocks, so no task gathers more than a share. All training texts are counted.
 * Baum-Welch: each pass gives every task the parameters (of fixed size), adds up expected counts per task and then by
   class over all tasks. Passes go over all training tokens; longer texts are learned in runs of RUN tokens. The first
-  parameters come from passes over a sample (`sample_blocks` blocks, `sample_tokens` tokens of each; parameters).
+  parameters come from passes over a sample of runs (`sample_tokens` tokens, a parameter), chosen by a hash of the text, so
+  scores don't depend on how the table is laid out.
 * Scoring: the scaled forward recursion gives the exact likelihood of whole texts. Texts of over PART tokens are cut into
   parts whose recursions run side by side from every state, and are chained afterwards, which is exact too.
 
@@ -24,6 +25,7 @@ words; among a billion distinct words the chance that any two share one is 3 %.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import blank_null, pieces, text_bytes, written
+from carelens.llm.common import blank_null, mix64, pieces, text_bytes, written
 
 STATES, CLASSES = 8, 1 << 15
 END = 0  # the end's class; words have the others
@@ -64,11 +66,11 @@ def end_hash() -> int:
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFrame:
-    """One row per block of texts: ids, which are learned from, where each text's tokens begin, the tokens as numbers of
-    the block's distinct words, and these words' hashes (ascending) and training counts."""
+    """One row per block of texts: ids, a hash of each id and text, which are learned from, where each text's tokens begin,
+    the tokens as numbers of the block's distinct words, and these words' hashes (ascending) and training counts."""
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(id_col).alias("i"), blank_null(text_col).alias("t"), F.coalesce(learn, F.lit(False)).alias("l"))
-    schema = (f"block long, n_docs int, ids array<{kind}>, learn binary, begin binary, token binary, hash binary, "
+    schema = (f"block long, n_docs int, ids array<{kind}>, key binary, learn binary, begin binary, token binary, hash binary, "
               "seen binary")
     end = end_hash()
 
@@ -82,8 +84,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFr
             raw = data.tobytes().lower()
             flat: list[bytes] = []
             begin = [0]
-            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                flat += raw[a:b].split()
+            ids = piece.column("i").to_pylist()
+            key = []
+            for i, a, b in zip(ids, off[:-1].tolist(), off[1:].tolist(), strict=True):
+                text = raw[a:b]
+                key.append(digest(text, seed=zlib.crc32(str(i).encode())))
+                flat += text.split()
                 flat.append(b"")
                 begin.append(len(flat))
             words = list(dict.fromkeys(flat))
@@ -96,11 +102,11 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFr
             learn_ = np.array(piece.column("l").to_pylist(), bool)
             size = np.diff(begin)
             seen = np.bincount(token[np.repeat(learn_, size)], minlength=len(words)).astype(np.int32)
-            row = [[part << 32 | number], [piece.num_rows], [piece.column("i").to_pylist()], [_raw(learn_)],
+            row = [[part << 32 | number], [piece.num_rows], [ids], [_raw(np.array(key, np.uint64))], [_raw(learn_)],
                    [_raw(np.array(begin, np.int64))], [_raw(token)], [_raw(hashes[order])], [_raw(seen)]]
-            kinds = [pa.int64(), pa.int32(), pa.list_(piece.column("i").type), *[pa.binary()] * 5]
+            kinds = [pa.int64(), pa.int32(), pa.list_(piece.column("i").type), *[pa.binary()] * 6]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)],
-                                             names=["block", "n_docs", "ids", "learn", "begin", "token", "hash", "seen"])
+                                             names=["block", "n_docs", "ids", "key", "learn", "begin", "token", "hash", "seen"])
             number += 1
 
     return base.mapInArrow(run, schema)
@@ -226,41 +232,51 @@ def runs(begin: np.ndarray, which: np.ndarray, longest: int) -> tuple[np.ndarray
     return start, np.minimum(longest, begin[1:][text] - start), place == 0, text
 
 
-def first_parameters(table: DataFrame, sample_blocks: int, sample_tokens: int, passes: int) -> Parameters:
-    """Baum-Welch from random emissions on a bounded sample: whole runs of the blocks that hash lowest, in the order of
-    a hash of their place, up to sample_tokens a block. All data are passed over afterwards."""
+def first_parameters(table: DataFrame, tokens: int, sample_tokens: int, passes: int) -> Parameters:
+    """Baum-Welch from random emissions on a bounded sample: runs of training texts in the order of a hash of id, text and
+    place, up to sample_tokens, whatever the blocks. It is fitted in one task. All data are passed over afterwards."""
     end = end_hash()
+    share = min(1.0, 1.5 * sample_tokens / max(tokens, 1))
+    limit = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
 
     def sample(batches):
         for batch in batches:
-            for begin, token, hashes, learn in cells(batch, begin=np.int64, token=np.int32, hash=np.uint64, learn=bool):
+            for begin, token, hashes, learn, key in cells(batch, begin=np.int64, token=np.int32, hash=np.uint64, learn=bool, key=np.uint64):
+                start, size, first, text = runs(begin, np.flatnonzero(learn), RUN)
+                with np.errstate(over="ignore"):
+                    h = mix64(key[text] + (start - begin[:-1][text]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                some = np.flatnonzero(h <= limit)
                 obs = classes(hashes, end)[token]
-                start, size, first, _ = runs(begin, np.flatnonzero(learn), RUN)
-                order = np.argsort((start * 2654435761) % 4294967291, kind="stable")
-                order = order[: int(np.searchsorted(np.cumsum(size[order]), sample_tokens, side="right"))]
-                flat = np.concatenate([obs[s : s + n] for s, n in zip(start[order], size[order], strict=True)] or [obs[:0]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_raw(flat.astype(np.int32))], pa.binary()), pa.array([_raw(size[order])], pa.binary()),
-                     pa.array([_raw(first[order])], pa.binary())], names=["obs", "size", "first"])
-
-    some = table.select("block").orderBy(F.xxhash64("block"), "block").limit(sample_blocks)
-    picked = table.join(F.broadcast(some), "block", "left_semi").select("begin", "token", "hash", "learn")
-    got = picked.mapInArrow(sample, "obs binary, size binary, first binary").collect()  # at most blocks * tokens numbers
-    obs = np.concatenate([np.frombuffer(r["obs"], np.int32) for r in got] or [np.zeros(0, np.int32)])
-    size = np.concatenate([np.frombuffer(r["size"], np.int64) for r in got] or [np.zeros(0, np.int64)])
-    first = np.concatenate([np.frombuffer(r["first"], bool) for r in got] or [np.zeros(0, bool)])
-    rnd = np.random.default_rng(20_240_601)
-    share = (np.bincount(obs, minlength=CLASSES) + 0.5) / (len(obs) + 0.5 * CLASSES)
-    emit = share[:, None] * rnd.gamma(2.0, size=(CLASSES, STATES))
-    move = np.full((STATES, STATES), 0.1 / STATES) + 0.9 * np.eye(STATES)
-    even = np.full(STATES, 1 / STATES)
-    p = Parameters(even, move, emit / emit.sum(axis=0), even)
-    begin = np.cumsum(size) - size
-    for _ in range(passes if len(obs) else 0):
-        e = Expected()
-        e.add(p, obs, begin, size, first)
-        p = e.parameters()
-    return p
+                    [pa.array(h[some].view(np.int64)), pa.array(first[some]),
+                     pa.array([_raw(obs[a : a + n]) for a, n in zip(start[some].tolist(), size[some].tolist(), strict=True)], pa.binary())], names=["h", "first", "obs"])
+
+    def fit(batches):
+        rows = [(h % 2**64, first, obs) for b in batches for h, first, obs in zip(*(b.column(c).to_pylist() for c in ("h", "first", "obs")), strict=True)]
+        rows.sort()
+        size = np.fromiter((len(r[2]) // 4 for r in rows), np.int64, len(rows))
+        n = int(np.searchsorted(np.cumsum(size), sample_tokens, side="right"))
+        obs = np.frombuffer(b"".join(r[2] for r in rows[:n]), np.int32)
+        size, first = size[:n], np.fromiter((r[1] for r in rows[:n]), bool, n)
+        rnd = np.random.default_rng(20_240_601)
+        share = (np.bincount(obs, minlength=CLASSES) + 0.5) / (len(obs) + 0.5 * CLASSES)
+        emit = share[:, None] * rnd.gamma(2.0, size=(CLASSES, STATES))
+        move = np.full((STATES, STATES), 0.1 / STATES) + 0.9 * np.eye(STATES)
+        even = np.full(STATES, 1 / STATES)
+        p = Parameters(even, move, emit / emit.sum(axis=0), even)
+        begin = np.cumsum(size) - size
+        for _ in range(passes if len(obs) else 0):
+            e = Expected()
+            e.add(p, obs, begin, size, first)
+            p = e.parameters()
+        yield pa.RecordBatch.from_arrays([pa.array([_raw(x.astype(np.float64))], pa.binary()) for x in p.arrays()], names=names)
+
+    names = ["start", "move", "emit", "anywhere"]
+    # some runs over sample_tokens, of four bytes a token, in the one task
+    picked = table.select("begin", "token", "hash", "learn", "key").mapInArrow(sample, "h long, first boolean, obs binary").repartition(1)
+    row = picked.mapInArrow(fit, ", ".join(f"{n} binary" for n in names)).first()
+    shapes = ((STATES,), (STATES, STATES), (CLASSES, STATES), (STATES,))
+    return Parameters(*(np.frombuffer(row[n], np.float64).reshape(x) for n, x in zip(names, shapes, strict=True)))
 
 
 def baum_welch(table: DataFrame, p: Parameters) -> tuple[Parameters, np.ndarray, float]:
@@ -359,14 +375,14 @@ class Model:
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", passes: int = 3,
-          sample_blocks: int = 64, sample_tokens: int = 8_000, sample_passes: int = 25) -> DataFrame:
+          sample_tokens: int = 500_000, sample_passes: int = 25) -> DataFrame:
     """One row per row of docs: id, n_tokens, n_known (tokens with a training count), train_tokens, base_score and score
     (log10 probabilities of the whole text, by the words' shares and by the model)."""
     table = written(blocks(docs, id_col, text_col, learn), "hmm_blocks")
     n_blocks = table.count()
     counts = written(word_counts(table, max(1, n_blocks)), "hmm_counts")
     of_all = counts.where("block IS NULL").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "once", "tokens"))).first()
-    p, class_tokens = first_parameters(table, sample_blocks, sample_tokens, sample_passes), np.zeros(CLASSES)
+    p, class_tokens = first_parameters(table, of_all["tokens"], sample_tokens, sample_passes), np.zeros(CLASSES)
     for _ in range(passes if of_all["tokens"] else 0):
         p, class_tokens, _ = baum_welch(table, p)
     model = table.sparkSession.sparkContext.broadcast((p.arrays(), class_tokens, of_all["words"], of_all["once"], of_all["tokens"]))
