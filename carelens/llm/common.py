@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +27,42 @@ def fold_of(doc_id: str, n: int) -> Column:
     return F.expr(f"crc32(cast(coalesce(cast({doc_id} as string), '') as binary)) % {n}")
 
 
+#: The folder of the run that is open, if any (see `scratch_run`).
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder below the one that spark.checkpoint.dir names."""
-    return "/".join([checkpoint_root(spark), "llm", *parts, uuid.uuid4().hex])
+    """A fresh folder below the one that spark.checkpoint.dir names, or below the open run's."""
+    return "/".join([_RUN.get() or f"{checkpoint_root(spark)}/llm", *parts, uuid.uuid4().hex])
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table written to the shared folder: cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """df as a table written to the shared folder (or to `path`): cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables through the file system that it is in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """The intermediate tables that operators write inside are in one folder, which goes at the end; results must have been
+    written or collected by then. Operators return frames that read these tables, so they can't drop them themselves."""
+    folder = f"{checkpoint_root(spark)}/llm/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        drop_folder(spark, folder)
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The offsets and UTF-8 bytes of a string or binary column without nulls."""
     if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type):
