@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelens.llm import bpe, decontaminate, langid, neardup, suffixes
-from carelens.llm.common import table, written
+from carelens.llm.common import drop_folder, scratch_run, shared_path, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -51,7 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage. What a stage writes for itself goes when its result is there, and so does the result of
+    the stage before it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        path = shared_path(spark, f"pipeline_{name}")
+        with scratch_run(spark):
+            docs = written(stage(spark, docs, sf_dir), name, path)
+        if before:
+            drop_folder(spark, before)
+        before = path
     return docs
