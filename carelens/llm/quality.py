@@ -9,7 +9,8 @@ shuffle.
 
 Null and empty texts have the statistics of no characters and get the score those have. Without labels of both classes
 every score is the share of label 1 among the labels (0.5 without any). Repeated rows get equal scores; an empty table
-gives no rows; further columns are ignored whatever their names.
+gives no rows; further columns are ignored whatever their names. Texts of any length are scored whole; one that doesn't fit
+into what is left of `sample_chars` is not fitted on.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import blank_null, fold_of, pieces, text_bytes
-from carelens.llm.labelled import bounded_rows, labelled_sample, sigmoid
+from carelens.llm.common import blank_null, pieces, text_bytes
+from carelens.llm.labelled import bounded_rows, class_counts, labelled_sample, sigmoid
 
 #: Byte classes: lower case, upper case, digit, blank, line end, sentence end, comma and the like, other ASCII, not ASCII.
 CLASSES = 9
@@ -147,8 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
 
     row = sample.mapInPandas(run, "state string").first()
     model = Discriminant.load(row["state"]) if row else Discriminant(of_texts([]), np.zeros(0))
-    seen = labels.where(F.col(label).isin(0, 1) & (fold_of("doc_id", folds) != held_out))
-    n1, n0 = seen.agg(F.sum(F.col(label)).alias("a"), F.sum(1 - F.col(label)).alias("b")).first()
+    n0, n1 = class_counts(labels, label, folds, held_out)
     if model.constant is None and n1 and n0:
         model.prior = math.log(n1 / n0)
     return model

@@ -9,7 +9,8 @@ in all whatever the input, so scoring is one pass over the documents without a s
 
 Null and empty texts have the score of the intercept and the blank's features. Without labels of both classes every
 score is the share of label 1 among the labels (0.5 without any). Repeated rows get equal scores; an empty table gives
-no rows; further columns are ignored whatever their names.
+no rows; further columns are ignored whatever their names. Texts of any length are scored whole; one that doesn't fit into
+what is left of `sample_chars` is not fitted on.
 """
 
 from __future__ import annotations

@@ -10,8 +10,8 @@ All of it is DataFrame work in the JVM. To fit, the URLs with a rule are counted
 URL costs a row per task); judging is one pass over the URLs without a shuffle.
 
 A null URL or one without `://` has empty host and path and is judged by the trees. Without training URLs of both
-labels the verdict is the label that there is, and allow without any. Repeated rows get equal verdicts; an empty table
-gives no rows; further columns are ignored whatever their names.
+labels the verdict is the label that there is, and allow without any. Very long URLs are judged whole. Repeated rows get
+equal verdicts; an empty table gives no rows; further columns are ignored whatever their names.
 """
 
 from __future__ import annotations
