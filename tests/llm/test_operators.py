@@ -66,6 +66,51 @@ def test_hmm_base_and_model(docs, none):
     assert {(r.score, r.base_score, r.n_known, r.train_tokens) for r in nothing} == {(0.0, 0.0, 0, 0)}
 
 
+def plain_scores(rows, learn, p, class_tokens):
+    """log10 likelihoods of whole texts by a model's parameters, token by token."""
+    import xxhash
+
+    tokens = [[*brute.blank_words(t), ""] for _, t in rows]
+    counts = collections.Counter(x for (i, _), w in zip(rows, tokens, strict=True) if learn(i) for x in w)
+    n, once = sum(counts.values()), sum(c == 1 for c in counts.values())
+    unknown = max(once, 0.5) / (n + 1)
+    out = []
+    for w in tokens:
+        alpha, log = p.start, 0.0
+        for t, x in enumerate(w):
+            cls = hmm.END if x == "" else xxhash.xxh3_64_intdigest(x.encode()) % (hmm.CLASSES - 1) + 1
+            alpha = alpha @ p.move if t else alpha
+            if counts[x]:
+                alpha = alpha * p.emit[cls]
+                log += math.log10(counts[x] / class_tokens[cls] * (1 - unknown))
+            else:
+                log += math.log10(unknown)
+            log += math.log10(alpha.sum())
+            alpha = alpha / alpha.sum()
+        out.append(log)
+    return out
+
+
+def test_hmm_scores_equal_a_plain_recursion(spark):
+    rows = [(i, prose(i, 5 + i)) for i in range(40)] + [(90, None), (91, "unheard of"), (92, prose(3, 3000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    learn = F.col("doc_id") % 5 != 1
+    table = hmm.written(hmm.blocks(df, "doc_id", "text", learn), "test_blocks")
+    p = hmm.first_parameters(table, 10**4, 500_000, 25)
+    for _ in range(3):
+        p, class_tokens, _ = hmm.baum_welch(table, p)
+    got = [s for _, s in by_row(hmm.score(df, learn), "score")]
+    assert np.allclose(got, plain_scores(rows, lambda i: i % 5 != 1, p, class_tokens), rtol=1e-5)
+
+
+def test_hmm_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    rows = [(i, prose(i, 20 + i % 60)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = by_row(hmm.score(df.repartition(1), F.col("doc_id") % 5 != 1, sample_tokens=3000), "score")
+    seven = by_row(hmm.score(df.repartition(7, "text"), F.col("doc_id") % 5 != 1, sample_tokens=3000), "score")
+    assert np.allclose([s for _, s in one], [s for _, s in seven], rtol=1e-6)
+
+
 def test_hmm_probabilities_sum_to_one(spark):
     """Over all texts of up to two words of a small vocabulary, the unknown word as one more, no more than one."""
     rows = [(1, "a b a b"), (2, "b a a"), (3, "c"), (4, "a c b")]
@@ -241,6 +286,47 @@ def test_classifiers_edges(spark, docs, none):
         assert {r.score for r in op.score(docs, op.train(docs, empty, label), keep=["doc_id"]).collect()} == {0.5}
 
 
+def test_discriminant_equals_the_densities(spark):
+    """Scores against Gaussian log densities by solving, not by factors; repeated label rows change nothing."""
+    rnd = np.random.default_rng(4)
+    rows = [(i, prose(i, 60) if i % 3 else " ".join("buy now !! 99 $$$".split() * int(rnd.integers(4, 30)))) for i in range(120)] + [(200, None), (201, prose(5, 20_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = [(i, int(i % 3 > 0)) for i in range(120)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    x = quality.of_texts([t or "" for _, t in rows])
+    fold = [brute.fold(i, 5) != 0 and i < 120 for i, _ in rows]
+    seen = x[[j for j, ok in enumerate(fold) if ok]]
+    y = np.array([int(i % 3 > 0) for (i, _), ok in zip(rows, fold, strict=True) if ok])
+    z = (x - seen.mean(axis=0)) / (seen.std(axis=0) + 1e-6) * model.trust(x)
+    own = z[fold]
+    parts = [own[y == c] for c in (0, 1)]
+    together = sum((p - p.mean(axis=0)).T @ (p - p.mean(axis=0)) for p in parts) / len(own)
+    logs = []
+    for p in parts:
+        cov = 0.5 * np.cov(p.T, bias=True) + 0.5 * together
+        cov = 0.9 * cov + 0.1 * np.diag(np.diag(cov)) + 1e-3 * np.eye(len(cov))
+        d = z - p.mean(axis=0)
+        logs.append(-0.5 * (np.einsum("ij,ij->i", d, np.linalg.solve(cov, d.T).T) + np.linalg.slogdet(cov)[1]))
+    want = 1 / (1 + np.exp(-np.clip(logs[1] - logs[0] + math.log(y.sum() / (1 - y).sum()), -60, 60)))
+    got = {r.doc_id: r.score for r in quality.score(docs, model, keep=["doc_id"]).collect()}
+    assert np.allclose([got[i] for i, _ in rows], want, atol=1e-6)
+    again = quality.train(docs, spark.createDataFrame(marks + [m for m in marks if m[1]] * 3, "doc_id long, quality int"))
+    assert again.prior == model.prior
+
+
+def test_toxicity_scores_equal_sums_over_distinct_grams(spark):
+    rows = [(i, prose(i, 30) + (" you vile fool" if i % 4 == 0 else "")) for i in range(60)] + [(90, None), (91, "É "), (92, prose(1, 9000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    weight, bias = toxicity.train(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score(docs, (weight, bias), keep=["doc_id"]).collect()}
+    for i, t in rows:
+        raw = b" " + (t or "").translate(brute.LOWER).encode() + b" "
+        grams = {raw[j : j + n] for n in toxicity.ORDERS for j in range(len(raw) - n + 1)}
+        at = {(int.from_bytes(g, "big") + (len(g) << 56)) * 0x9E3779B97F4A7C15 % 2**64 >> (64 - toxicity.BITS) for g in grams}
+        assert math.isclose(got[i], 1 / (1 + math.exp(-sum(float(weight[p]) for p in at) - bias)), rel_tol=1e-6)
+
+
 def test_toxicity_learns_markers():
     texts = [prose(i, 150) + (" you utter blockhead " if i % 4 == 0 else " ") + prose(i + 1000, 50) for i in range(300)]
     labels = [int(i % 4 == 0) for i in range(300)]

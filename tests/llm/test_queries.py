@@ -6,6 +6,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -33,7 +34,7 @@ def test_registry():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     columns = [c[0] for c in want.description]
@@ -101,6 +102,47 @@ def test_pipeline_against_brute_force(spark):
     assert all(r.decoded_sha256 == brute.sha(t) for (i, t), r in ((x, got[x[0]]) for x in rows))
 
 
+def test_intermediate_tables_go_with_their_run(spark):
+    from pathlib import Path
+
+    from carelens.llm import simhash
+    from carelens.llm.common import scratch_run
+
+    folders = lambda: {x.name for x in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "llm").iterdir()}
+    simhash.classes(table(spark, SMALL, "documents")).count()
+    before = folders()
+    with scratch_run(spark) as folder:
+        assert simhash.classes(table(spark, SMALL, "documents")).count() == 200 and Path(folder.removeprefix("file:")).exists()
+    assert folders() == before and not Path(folder.removeprefix("file:")).exists()
+
+
+ODD = [(1, None, None, None, None), (2, "", "en", "web", 0), (None, "  ", "en", "web", 2), (3, "word", "en", None, 4)]
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls, empty and very long texts, repeated rows and further columns with clashing names, in every stage."""
+    docs = table(spark, SMALL, "documents")
+    text = docs.where("lang = 'en'").orderBy("doc_id").first().text
+    rows = [*ODD, (4, " ".join([text] * 400), "en", "web", 9), (5, text, "en", "web", 1), (5, text, "en", "web", 1), (6, text, "xx", "web", 1), (None, text, "en", "web", 1)]
+    odd = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, k string, t string, runs string")
+    stages = dict(corpus_pipeline.STAGES)
+    columns = corpus_pipeline.COLUMNS
+    both = docs.withColumns({"k": F.lit("x"), "t": F.lit("y"), "runs": F.lit("z")}).unionByName(odd)
+    kept = stages["language_id"](spark, both, SMALL)
+    assert kept.columns == columns
+    mine = sorted(r.doc_id for r in kept.collect() if r.text and text in r.text and r.doc_id is not None and r.doc_id < 7)
+    assert {4, 5, 6} <= set(mine) and kept.where("text IS NULL OR trim(text) = ''").count() == 0
+    near = stages["near_dedup"](spark, odd, SMALL)
+    assert near.columns == columns
+    assert sorted((r.doc_id for r in near.collect()), key=lambda x: (x is not None, x)) == [None, 1, 2, 3, 4]  # 400 times the text has its shingles
+    left = {r.doc_id: r for r in stages["suffix_dedup"](spark, odd.where("doc_id < 5"), SMALL).collect()}
+    assert left[1].text == "" and left[2].text == "" and left[3].text == "word" and len(left[4].text) < 100 and left[4].n_chars == len(left[4].text)
+    clean = stages["decontamination"](spark, odd, SMALL)
+    assert clean.columns == columns and {1, 2, 3, 5} <= {r.doc_id for r in clean.collect()}
+    ids = {r.doc_id: r for r in stages["tokenise"](spark, odd, SMALL).collect()}
+    assert len(ids[1].ids) == 0 and ids[1].decoded_sha256 == brute.sha("") and ids[4].decoded_sha256 == brute.sha(" ".join([text] * 400))
+
+
 def test_pipeline_stages_on_an_empty_table(spark):
     docs = table(spark, SMALL, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
