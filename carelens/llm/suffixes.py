@@ -8,7 +8,8 @@ texts. Suffix arrays of a whole corpus don't fit into tasks, so the corpus is fi
    falls into contexts: an anchor and the bytes of all strings anchored there (at most 2 * length - GRAM).
 2. Contexts that occur more than once are repeated as a whole. If all contexts of an anchor are equal, or it has one
    context only, that is all there is to know. Counting is pre-aggregated, so a hot context costs a row per task.
-3. The distinct contexts of the remaining anchors are shared out to shards of some MB by anchor. A shard's suffix array
+3. The distinct contexts of the remaining anchors are shared out to shards of some MB by anchor. Those that agree with none
+   of their anchor's others around the anchor, however a string may lie about it, are done. Of the others, a shard's suffix array
    is built by Larsson and Sadakane's refinement (groups of suffixes that agree in h bytes are sorted by the rank h
    bytes further on; sorted groups are left alone), its common prefixes by Kasai's method, run side by side for all
    contexts. Strings with a common prefix of `length` with a neighbour are repeated.
@@ -16,7 +17,7 @@ texts. Suffix arrays of a whole corpus don't fit into tasks, so the corpus is fi
    digest range to be merged, where a binary search counts each shard's strings among those of all.
 
 A unit says what a string is made of: bytes (`Bytes`, strings of 400), or words (`Words`, runs of 51 words split at white
-space, each compared byte by byte). Both can be asked for at once: texts are then read, cut and shuffled once for both, and
+space, each by a 64-bit hash of its bytes). Both can be asked for at once: texts are then read, cut and shuffled once for both, and
 an anchor's lowest bit says which unit it belongs to. A run of 51 words has often fewer than 400 bytes.
 
 Nothing is capped or sampled and no pair of texts is ever listed; a group's cost grows with its contexts. Null and empty
@@ -41,7 +42,7 @@ LENGTH, GRAM = 400, 64
 WORDS, WORD_GRAM = 51, 8
 PLACE = 24  # bits of a place inside a stretch; the others order grams by hash
 CHUNK = 4000
-SHARD_BYTES, TASK_SHARDS = 512 << 10, 4
+SHARD_BYTES = 2 << 20
 #: Bytes of text that a task works on at once; a longer text is gone through in overlapping stretches of that size.
 PIECE = 256 << 10
 
@@ -99,116 +100,116 @@ def stretch_contexts(data: np.ndarray, raw: bytes, begin: np.ndarray, length: in
     return [text[head], lo - begin[text[head]], count, grams[a], np.array(ctx, np.uint64)]
 
 
-def joined(parts: list):
-    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+class Unit:
+    """What strings are made of: `length` symbols, with anchors of `gram` symbols; a symbol takes `size` bytes."""
 
+    def __init__(self, length: int):
+        self.length = length
 
-class Bytes:
-    """Strings of bytes."""
-
-    mark = 0
-
-    def __init__(self, length: int = LENGTH):
-        self.length, self.weight = length, 1
+    def encoded(self, raw: bytes, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of texts raw[begin[i] : begin[i + 1]], and where each text's begin."""
+        raise NotImplementedError
 
     def contexts(self, raw: bytes, begin: np.ndarray) -> list[np.ndarray]:
-        step = max(PIECE, self.length)
-        data = np.frombuffer(raw, np.uint8)
+        """See `stretch_contexts`; symbols are gone through in overlapping stretches."""
+        data, begin = self.encoded(raw, begin)
+        own = data.tobytes() if self.size > 1 else raw
+        step = max(PIECE // self.size, self.length)
         parts = []
-        for at in range(0, max(1, len(raw) - self.length + 1), step):
-            end = min(len(raw), at + step + self.length - 1)
+        for at in range(0, max(1, len(data) - self.length + 1), step):
+            end = min(len(data), at + step + self.length - 1)
             first = max(0, int(np.searchsorted(begin, at, side="right")) - 1)
             last = int(np.searchsorted(begin, end, side="left"))
             inner = np.clip(begin[first : last + 1], at, end) - at
-            text, lo, n, fp, ctx = stretch_contexts(data[at:end], raw[at:end], inner, self.length, GRAM)
+            text, lo, n, fp, ctx = stretch_contexts(data[at:end], own[at * self.size : end * self.size], inner, self.length, self.gram)
             parts.append([text + first, lo + np.maximum(0, at - begin[text + first]), n, fp, ctx])
-        return joined(parts)
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
     def cut(self, text: bytes, cuts: list) -> list[bytes]:
-        return [text[a : a + n + self.length - 1] for a, n in cuts]
+        """The symbols of the contexts (first string, number of strings) of a text."""
+        data = self.encoded(text, np.array([0, len(text)]))[0].tobytes()
+        return [data[self.size * a : self.size * (a + n + self.length - 1)] for a, n in cuts]
 
     def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
-        """All texts' symbols, each text's followed by a zero; their sizes; and a number above all symbols."""
-        return np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int32), np.fromiter(map(len, texts), np.int64, len(texts)), 256
-
-    def strings(self, texts: list[bytes], which: list[int], places: list[int]) -> list[bytes]:
-        return [texts[i][p : p + self.length] for i, p in zip(which, places, strict=True)]
+        """All texts' symbols as small numbers, each text's followed by one more place; their sizes; a number above all."""
+        raise NotImplementedError
 
 
-class Words:
-    """Runs of words."""
+class Bytes(Unit):
+    """Strings of bytes."""
 
-    mark = 1
+    mark, gram, size, kind = 0, GRAM, 1, np.uint8
 
-    def __init__(self, length: int = WORDS):
-        self.length, self.weight = length, 8
+    def __init__(self, length: int = LENGTH):
+        super().__init__(length)
 
-    def contexts(self, raw: bytes, begin: np.ndarray) -> list[np.ndarray]:
-        import xxhash
+    def encoded(self, raw: bytes, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(raw, np.uint8), begin
 
-        digest, known, parts = xxhash.xxh3_64_intdigest, {}, []
-
-        def hashed(words: list[bytes]) -> np.ndarray:
-            for w in words:
-                if w not in known:
-                    known[w] = digest(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-        flat, edge, texts = [], [0], []
-
-        def flush():
-            if flat:
-                data = hashed(flat)
-                text, lo, n, fp, ctx = stretch_contexts(data, data.tobytes(), np.array(edge), self.length, WORD_GRAM)
-                number, first = np.array([t for t, _ in texts])[text], np.array([f for _, f in texts])[text]
-                parts.append([number, lo + first, n, fp, ctx])
-                flat.clear(), texts.clear()
-                del edge[1:]
-
-        for i, (a, b) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
-            for first, words in word_stretches(raw, a, b, self.length - 1):
-                flat.extend(words)
-                edge.append(len(flat))
-                texts.append((i, first))
-                if len(flat) >= PIECE // 8:
-                    flush()
-        flush()
-        none = np.zeros(0, np.int64)
-        return joined(parts) if parts else [none, none, none, none.astype(np.uint64), none.astype(np.uint64)]
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        return np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int32), np.fromiter(map(len, texts), np.int64, len(texts)), 256
 
-    def cut(self, text: bytes, cuts: list) -> list[bytes]:
-        words = text.split()
-        return [b" ".join(words[a : a + n + self.length - 1]) for a, n in cuts]
 
-    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
-        own = [t.split() for t in texts]
-        numbers: dict[bytes, int] = {}
-        flat = [numbers.setdefault(w, len(numbers)) for words in own for w in (*words, b"")]
-        return np.array(flat, np.int32), np.fromiter(map(len, own), np.int64, len(own)), len(numbers)
+class Words(Unit):
+    """Runs of words, each word as a 64-bit hash of its bytes."""
 
-    def strings(self, texts: list[bytes], which: list[int], places: list[int]) -> list[bytes]:
-        own = {i: texts[i].split() for i in set(which)}
-        return [b" ".join(own[i][p : p + self.length]) for i, p in zip(which, places, strict=True)]
+    mark, gram, size, kind = 1, WORD_GRAM, 8, np.uint64
 
+    def __init__(self, length: int = WORDS):
+        super().__init__(length)
+
+    def encoded(self, raw: bytes, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found, starts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while at < len(raw):  # pieces that end between words
+            end = min(len(raw), at + PIECE)
+            if end < len(raw):
+                blank = BLANK.search(raw, end)
+                end = min(blank.start() if blank else len(raw), int(begin[np.searchsorted(begin, end)]))
+            h, start = word_hashes(np.frombuffer(raw, np.uint8, end - at, at), begin[(begin >= at) & (begin < end)] - at)
+            found.append(h)
+            starts.append(start + at)
+            at = end
+        return np.concatenate(found), np.searchsorted(np.concatenate(starts), begin)
 
-BLANK = re.compile(rb"[\x20\x09-\x0D]")
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        size = np.fromiter(map(len, texts), np.int64, len(texts)) // 8
+        words, number = np.unique(np.frombuffer(b"".join(texts), np.uint64), return_inverse=True)
+        sym = np.zeros(len(number) + len(texts), np.int32)
+        own = np.ones(len(sym), bool)
+        own[np.cumsum(size + 1) - 1] = False
+        sym[own] = number
+        return sym, size, len(words)
 
 
-def word_stretches(raw: bytes, a: int, b: int, overlap: int):
-    """The words of raw[a:b], in stretches of about PIECE bytes, each with the number of its first word; each begins with the
-    last `overlap` words of the one before."""
-    kept: list[bytes] = []
-    first = 0
-    while a < b:
-        end = b
-        if b - a > PIECE:
-            found = BLANK.search(raw, a + PIECE, b)
-            end = found.start() if found else b
-        words = kept + raw[a:end].split()
-        yield first, words
-        kept = words[max(0, len(words) - overlap) :]
-        first += len(words) - len(kept)
-        a = end
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+IS_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64))
+ODD = 0x9E3779B97F4A7C15
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """ODD ** i and its inverse modulo 2 ** 64, for i below n."""
+    if not _POWERS or len(_POWERS[0][0]) < n:
+        with np.errstate(over="ignore"):
+            rows = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(x))])) for x in (ODD, pow(ODD, -1, 1 << 64))]
+        _POWERS[:] = [tuple(rows)]
+    return _POWERS[0]
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of data, and where it starts; words also end where a text begins."""
+    solid = ~IS_BLANK[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[begin] = True
+    start, stop = solid.copy(), solid.copy()
+    start[1:] &= ~solid[:-1] | edge[1:-1]
+    stop[:-1] &= ~solid[1:] | edge[1:-1]
+    a, b = np.flatnonzero(start), np.flatnonzero(stop) + 1
+    up, down = powers(len(data))
+    with np.errstate(over="ignore"):
+        total = np.concatenate([[np.uint64(0)], np.add.accumulate(BYTE_VALUES[data] * up[: len(data)])])
+        return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * BYTE_VALUES[0]), a
 
 
 def suffix_array(sym: np.ndarray, ends: np.ndarray, top: int = 256) -> tuple[np.ndarray, dict[int, np.ndarray]]:
@@ -236,6 +237,7 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray, top: int = 256) -> tuple[np.
     rank = np.empty(n + 1, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
     rank[n] = -1
+    place_bits = int(n + 2).bit_length()
     h, kept = width, {width: rank[:n].copy()}
     while True:
         alone = fresh.copy()
@@ -245,8 +247,13 @@ def suffix_array(sym: np.ndarray, ends: np.ndarray, top: int = 256) -> tuple[np.
             break
         who = order[todo]
         both = rank[who] * (n + 2) + rank[np.minimum(who + h, n)] + 1
-        sub = np.argsort(both)
-        who, both = who[sub], both[sub]
+        if 3 * place_bits <= 63:  # the keys with their places fit into one number, which sorts faster
+            packed = np.sort((both << place_bits) | np.arange(len(both)))
+            sub, both = packed & ((1 << place_bits) - 1), packed >> place_bits
+        else:
+            sub = np.argsort(both)
+            both = both[sub]
+        who = who[sub]
         order[todo] = who
         split = np.ones(len(who), bool)
         split[1:] = both[1:] != both[:-1]
@@ -276,8 +283,13 @@ def common_prefixes(sym: np.ndarray, begin: np.ndarray, order: np.ndarray, ranks
         p = starts[:live] + t
         j = before[p]
         h = np.where(j >= 0, np.maximum(have[:live] - 1, 0), 0)
+        todo = np.flatnonzero(j >= 0)
+        a, b = p[todo] + h[todo], j[todo] + h[todo]
+        ok = (a < n) & (b < n)
+        ok[ok] = sym[a[ok]] == sym[b[ok]]
+        todo = todo[ok]  # mostly the prefix has just lost its first symbol, and nothing is added
         for width, same in levels:
-            more = np.flatnonzero(j >= 0)
+            more = todo
             while len(more):
                 a, b = p[more] + h[more], j[more] + h[more]
                 ok = (a < n) & (b < n)
@@ -289,7 +301,7 @@ def common_prefixes(sym: np.ndarray, begin: np.ndarray, order: np.ndarray, ranks
     return out
 
 
-def repeated(texts: list[bytes], unit: Bytes | Words | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def repeated(texts: list[bytes], unit: Unit | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Of each text: whether the unit's string from each place starts anywhere else in the texts, and the number of a string
     equal to it (equal strings share the number)."""
     unit = unit or Bytes()
@@ -312,6 +324,32 @@ def repeated(texts: list[bytes], unit: Bytes | Words | None = None) -> tuple[lis
             [same[b : b + s] for b, s in zip(begin, strings, strict=True)])
 
 
+def may_repeat(texts: list[bytes], fp: np.ndarray, unit: Unit) -> np.ndarray:
+    """Which contexts may hold a string that another one with the same anchor has. Such a string has some symbols before the
+    anchor's gram and the others behind it; so two contexts agree around it as far as one of a few splits says."""
+    import xxhash
+
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) // unit.size
+    begin = np.cumsum(size) - size
+    grams = gram_hashes(np.frombuffer(b"".join(texts), unit.kind), unit.gram) if size.sum() >= unit.gram else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(texts)), size)[: len(grams)]
+    hit = np.flatnonzero((grams & ~np.uint64(1)) == (fp.view(np.uint64)[owner] & ~np.uint64(1)))
+    first = np.unique(owner[hit], return_index=True)  # the anchor is the first place of its hash in its context
+    place = np.full(len(texts), -1, np.int64)
+    place[first[0]] = hit[first[1]] - begin[first[0]]
+    others = unit.length - unit.gram
+    step = max(1, others // 6)
+    digest, out = xxhash.xxh3_64_intdigest, place < 0
+    for before in range(0, others + 1, step):
+        behind = max(0, others - before - step + 1)
+        some = np.flatnonzero((place >= before) & (place + unit.gram + behind <= size))
+        seen = np.array([digest(texts[i][(p - before) * unit.size : (p + unit.gram + behind) * unit.size])
+                         for i, p in zip(some.tolist(), place[some].tolist(), strict=True)], np.uint64)
+        _, which, times = np.unique(np.column_stack([seen, fp[some].view(np.uint64)]), axis=0, return_inverse=True, return_counts=True)
+        out[some[times[which.ravel()] > 1]] = True
+    return out
+
+
 def flag_runs(flag: np.ndarray) -> list[dict]:
     """The runs of true entries."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flag.astype(np.int8), [0]])))
@@ -354,17 +392,23 @@ def _with_bytes(keyed: DataFrame, members: DataFrame, units: list) -> DataFrame:
     def run(batches):
         for batch in pieces(batches, "t", PIECE):
             off, data = text_bytes(batch.column("t"))
-            rows = []
-            for a, b, cuts in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("cuts").to_pylist(), strict=True):
-                raw = data[a:b].tobytes()
-                for unit in units:
-                    own = [c for c in cuts if c["fp"] & 1 == unit.mark]
-                    if own:
-                        rows += [(c["shard"], c["fp"], c["ctx"], c["hot"], x) for c, x in zip(own, unit.cut(raw, [(c["lo"], c["n"]) for c in own]), strict=True)]
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                             names=["shard", "fp", "ctx", "hot", "raw"])
+            raw, cuts = data.tobytes(), batch.column("cuts")
+            edge = np.asarray(cuts.offsets).astype(np.int64)
+            flat = pa.RecordBatch.from_struct_array(cuts.flatten())
+            text = np.repeat(np.arange(batch.num_rows), np.diff(edge))
+            fp, lo, n = (np.asarray(flat.column(c)).astype(np.int64) for c in ("fp", "lo", "n"))
+            for unit in units:
+                own = np.flatnonzero(fp & 1 == unit.mark)
+                if not len(own):
+                    continue
+                first = np.flatnonzero(np.diff(text[own], prepend=-1))
+                out = []
+                for x, y in zip(first.tolist(), [*first[1:].tolist(), len(own)], strict=True):
+                    some, i = own[x:y], int(text[own[x]])
+                    out += unit.cut(raw[off[i] : off[i + 1]], list(zip(lo[some].tolist(), n[some].tolist(), strict=True)))
+                rest = flat.take(pa.array(own))
+                yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in ("shard", "fp", "ctx", "hot")), pa.array(out, pa.binary())],
+                                                 names=["shard", "fp", "ctx", "hot", "raw"])
 
     return texts.mapInArrow(run, "shard long, fp long, ctx long, hot boolean, raw binary")
 
@@ -385,7 +429,7 @@ def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
                .withColumn("hot", F.col("kinds") > CHUNK)
                .withColumn("chunk", F.expr(f"pmod(ctx, cast(ceil(kinds / {CHUNK}) AS BIGINT))")))
     members = written(members, "suffix_members")
-    size = F.expr("CASE " + " ".join(f"WHEN fp & 1 = {u.mark} THEN (n + {u.length}) * {u.weight}" for u in units) + " END")
+    size = F.expr("CASE " + " ".join(f"WHEN fp & 1 = {u.mark} THEN (n + {u.length}) * {u.size}" for u in units) + " END")
     total = members.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b"),
                         F.max("hot").alias("hot"), F.sum(F.when(F.col("hot"), F.col("n"))).alias("hot_strings")).first()
     shards = max(1, math.ceil(total["b"] / SHARD_BYTES))
@@ -398,7 +442,9 @@ def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
 
         raw = group.column("raw").to_pylist()
         fp, ctx, hot = (group.column(c).to_pylist() for c in ("fp", "ctx", "hot"))
-        flags, same = repeated(raw, unit)
+        chosen = np.flatnonzero(may_repeat(raw, np.array(fp, np.int64), unit) | np.array(hot, bool)).tolist()  # a hot anchor's others may be elsewhere
+        raw, fp, ctx, hot = ([x[i] for i in chosen] for x in (raw, fp, ctx, hot))
+        flags, same = repeated(raw, unit) if raw else ([], [])
         runs = [flag_runs(f) for f in flags]
         keep = [i for i, r in enumerate(runs) if r]
         out = {"fp": [fp[i] for i in keep], "ctx": [ctx[i] for i in keep], "runs": [runs[i] for i in keep]}
@@ -409,8 +455,9 @@ def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
             whose = np.concatenate([np.full(len(same[i]), i, np.int64) for i in mine])
             place = np.concatenate([np.arange(len(same[i]), dtype=np.int32) for i in mine])
             _, first, which = np.unique(np.concatenate([same[i] for i in mine]), return_index=True, return_inverse=True)
-            strings = unit.strings(raw, whose[first].tolist(), place[first].tolist())
-            value = np.array([xxhash.xxh3_64_intdigest(x, unit.mark) for x in strings], np.uint64)
+            span, step = unit.length * unit.size, unit.size
+            value = np.array([xxhash.xxh3_64_intdigest(raw[i][p * step : p * step + span], unit.mark)
+                              for i, p in zip(whose[first].tolist(), place[first].tolist(), strict=True)], np.uint64)
             part = (value % np.uint64(ranges)).astype(np.int64)
             order = np.lexsort((value, part))
             label = np.empty(len(order), np.int64)
@@ -463,8 +510,8 @@ def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
         runs = [[{"at": int(a), "n": int(n)}] for a, n in zip(at[first], np.diff(np.append(first, len(at))), strict=True)]
         return pa.table({"fp": pa.array(fp[first]), "ctx": pa.array(ctx[first]), "runs": pa.array(runs, RUNS)})
 
-    # a task has some shards; they cost time rather than bytes, so their number isn't left to Spark
-    dealt = _with_bytes(keyed, members, units).repartition(math.ceil(shards / TASK_SHARDS), "shard")
+    # shards cost time rather than bytes, so how many go to a task isn't left to Spark
+    dealt = _with_bytes(keyed, members, units).repartition(shards, "shard")
     found = dealt.groupBy("shard").applyInArrow(sort_shard, schema)
     if total["hot"]:
         found = written(found, "suffix_found")
@@ -477,16 +524,22 @@ def repeated_strings(keyed: DataFrame, units: list) -> DataFrame:
     return whole.unionByName(partly).groupBy("k").agg(F.collect_list(F.struct("u", "at", "n")).alias("runs"))
 
 
-def covered(runs: list[dict] | None, unit: Bytes | Words) -> list[tuple[int, int]]:
-    """The maximal spans of bytes or words that the unit's strings from the runs' places cover."""
-    out: list[list[int]] = []
-    for r in sorted((r for r in runs or [] if r["u"] == unit.mark), key=lambda r: r["at"]):
-        a, b = r["at"], r["at"] + r["n"] - 1 + unit.length
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def covered(runs: pa.ListArray, unit: Unit) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The maximal spans of bytes or words that the unit's strings from the runs' places cover: where each row's begin, and
+    all rows' starts and stops."""
+    edge = np.asarray(runs.offsets).astype(np.int64)
+    flat = runs.flatten()
+    u, at, n = (np.asarray(flat.field(i)).astype(np.int64) for i in range(3))
+    row = np.repeat(np.arange(len(runs)), np.diff(edge))
+    own = np.flatnonzero(u == unit.mark)
+    own = own[np.lexsort((at[own], row[own]))]
+    row, start = row[own], at[own]
+    far = np.maximum.accumulate((row << 32) + start + n[own] - 1 + unit.length) - (row << 32)  # a text has less than 2 GB
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (start[1:] > far[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    return np.searchsorted(row[first], np.arange(len(runs) + 1)), start[first], far[last]
 
 
 def without(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -528,23 +581,24 @@ def dedup(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: st
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
     schema = ", ".join([*kinds, "n_bytes long, spans array<struct<start:long,stop:long>>, kept_sha256 string", *["n_passage_words long"] * bool(words),
                         *["kept binary"] * texts])
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
     def run(batches):
         for batch in pieces(batches, "t", PIECE):
             off, data = text_bytes(batch.column("t"))
-            n, spans, sha, left, in_passages = [], [], [], [], []
-            for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("runs").to_pylist(), strict=True):
-                raw = data[a:b].tobytes()
-                gone = covered(r, unit)
-                rest = without(raw, gone) if gone else raw
-                n.append(len(raw))
-                spans.append([{"start": x, "stop": y} for x, y in gone])
-                sha.append(hashlib.sha256(rest).hexdigest())
-                left.append(rest)
-                in_passages.append(sum(y - x for x, y in covered(r, words)) if words else 0)
-            cols = [pa.array(n, pa.int64()), pa.array(spans, span), pa.array(sha, pa.string()), *[pa.array(in_passages, pa.int64())] * bool(words),
-                    *[pa.array(left, pa.binary())] * texts]
+            at, start, stop = covered(batch.column("runs"), unit)
+            raw = data.tobytes()
+            left = []
+            for a, b, x, y in zip(off[:-1].tolist(), off[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                text = raw[a:b]
+                left.append(without(text, list(zip(start[x:y].tolist(), stop[x:y].tolist(), strict=True))) if y > x else text)
+            spans = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.StructArray.from_arrays([pa.array(start), pa.array(stop)], fields=list(span)))
+            cols = [pa.array(np.diff(off)), spans, pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())]
+            if words:
+                at, start, stop = covered(batch.column("runs"), words)
+                total = np.concatenate([[0], np.cumsum(stop - start)])
+                cols.append(pa.array(total[at[1:]] - total[at[:-1]]))
+            cols += [pa.array(left, pa.binary())] * texts
             yield pa.RecordBatch.from_arrays([*(batch.column(f"k{i}") for i in range(len(keep))), *cols],
                                              names=[*keep, "n_bytes", "spans", "kept_sha256", *["n_passage_words"] * bool(words), *["kept"] * texts])
 
@@ -563,11 +617,13 @@ def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         for batch in pieces(batches, "t", PIECE):
             off, data = text_bytes(batch.column("t"))
+            at, start, stop = covered(batch.column("runs"), unit)
+            raw = data.tobytes()
             left = []
-            for a, b, r in zip(off[:-1].tolist(), off[1:].tolist(), batch.column("runs").to_pylist(), strict=True):
-                raw = data[a:b].tobytes()
-                gone = word_bytes(raw, covered(r, unit)) if r else []
-                left.append((without(raw, gone) if gone else raw).decode("utf-8", "replace"))
+            for a, b, x, y in zip(off[:-1].tolist(), off[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+                text = raw[a:b]
+                gone = word_bytes(text, list(zip(start[x:y].tolist(), stop[x:y].tolist(), strict=True)))
+                left.append((without(text, gone) if gone else text).decode("utf-8", "replace"))
             made = {text_col: pa.array(left, pa.string()), n_chars: pa.array([len(t) for t in left], pa.int64())}
             made |= {c: batch.column(f"k{i}") for i, c in enumerate(rest)}
             yield pa.RecordBatch.from_arrays([made[c] for c in columns], names=columns)
