@@ -83,22 +83,34 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) -> DataFr
             off, data = text_bytes(piece.column("t"))
             raw = data.tobytes().lower()
             flat: list[bytes] = []
-            begin = [0]
+            numbers: dict[bytes, int] = {}
+            begin, key, tokens = [0], [], []
+
+            def flush():
+                """The words gathered so far as numbers, in the order in which words came up: lists of them are large."""
+                for w in dict.fromkeys(flat):
+                    if w not in numbers:
+                        numbers[w] = len(numbers)
+                tokens.append(np.fromiter(map(numbers.__getitem__, flat), np.int32, len(flat)))
+                flat.clear()
+
             ids = piece.column("i").to_pylist()
-            key = []
             for i, a, b in zip(ids, off[:-1].tolist(), off[1:].tolist(), strict=True):
                 text = raw[a:b]
                 key.append(digest(text, seed=zlib.crc32(str(i).encode())))
+                before = len(flat)
                 flat += text.split()
                 flat.append(b"")
-                begin.append(len(flat))
-            words = list(dict.fromkeys(flat))
+                begin.append(begin[-1] + len(flat) - before)
+                if len(flat) > 50_000:
+                    flush()
+            flush()
+            words = list(numbers)
             hashes = np.fromiter(map(digest, words), np.uint64, len(words))
             order = np.argsort(hashes)
             rank = np.empty(len(words), np.int32)
             rank[order] = np.arange(len(words), dtype=np.int32)
-            numbered = dict(zip(words, rank.tolist(), strict=True))
-            token = np.fromiter(map(numbered.__getitem__, flat), np.int32, len(flat))
+            token = rank[np.concatenate(tokens)]
             learn_ = np.array(piece.column("l").to_pylist(), bool)
             size = np.diff(begin)
             seen = np.bincount(token[np.repeat(learn_, size)], minlength=len(words)).astype(np.int32)
