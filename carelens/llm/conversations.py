@@ -187,7 +187,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 def _cells(keyed: DataFrame) -> DataFrame:
     """(c, t, d, m, code, blank, first): m equal rows of a turn; `first`: none of them was seen earlier."""
-    last = F.expr("right(rtrim(' \\t\\n\\u000B\\f\\r', text), 1)")  # rtrim takes the characters to trim first
+    last = F.expr("right(rtrim(' \\t\\n\\u000B\\u000C\\r', text), 1)")  # rtrim takes the characters to trim first
     initial = F.expr("CASE left(role, 1) WHEN 's' THEN 0 WHEN 'u' THEN 1 WHEN 'a' THEN 2 ELSE 3 END")
     marked = (keyed.where("copies > 0").withColumn("z", last)
               .select("c", "t", "d", "copies", initial.alias("initial"), (F.col("z") == "").alias("blank"), (~F.col("z").isin(".", "!", "?")).alias("cut")))
@@ -199,11 +199,9 @@ def _cells(keyed: DataFrame) -> DataFrame:
     return cells.join(firsts, same, "left").select("c", "t", "d", "m", "initial", "blank", "cut", F.coalesce("first", F.lit(False)).alias("first"))
 
 
-PIECES = "lead long, rows binary, blank long, duplicate long, truncated long, low long, high long, turns long"
-
-
 def _pieces(cells: DataFrame, kind: str) -> DataFrame:
-    """(c, at, PIECES): stretches of conversations in order, from cells sorted over all tasks by range."""
+    """(c, at, rows, counts of faults, low, high, turns): stretches of conversations in order, from cells sorted over all tasks
+    by range."""
 
     def run(batches):
         from pyspark import TaskContext

@@ -145,7 +145,7 @@ def test_simhash_hot_template(spark):
 
 # ---- conversations
 
-TEXTS = ["Hi there.", "Why?", "No end", "", " \t", "Well!", "a.b", "ends. ", None]
+TEXTS = ["Hi there.", "Why?", "No end", "", " \t", "Well!", "a.b", "ends. ", None, "off", "f", "so. f", "b.\u000b", "\u000c", "c!\r\n"]
 
 
 def chats(n, seed=4, most=9):
