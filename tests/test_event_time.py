@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from carelens.operators.intervals import overlap_join, range_join
+from carelens.operators.intervals import overlap_join, range_join, range_parts
 from carelens.operators.sessions import Agg, sessions
 from carelens.operators.temporal import asof_join
 from carelens.streaming.windows import Windows, current_windows, final_windows, late_rows, run_windows
@@ -269,6 +269,45 @@ def test_range_join_equals_plain_python(spark, on):
         assert range_join(x, y, "t", "s", "e", on).count() == 0
 
 
+FOUND = (Agg("n", "count"), Agg("least", "min", "id"), Agg("most", "max", "id"), Agg("total", "sum", "v"))
+
+
+@pytest.mark.parametrize("on", [(), ("k",)])
+def test_range_parts_equal_the_aggregated_pairs(spark, on):
+    """Repeated rows, nulls in every column, negative numbers, empty sides; bins of one to three levels."""
+    rnd = random.Random(5)
+    points = [(rnd.choice([None, i]), rnd.choice(["a", "b", None]), rnd.choice([None, rnd.randrange(-600, 600), rnd.randrange(20), rnd.randrange(-90_000, 90_000)]),
+               rnd.choice([None, i % 7])) for i in range(300)]
+    p = spark.createDataFrame([*points, *points[:40]], "id long, k string, t long, v long").withColumn("_m", F.lit(1))
+    i = spark.createDataFrame(intervals(6), "id long, k string, s long, e long").withColumn("_a", F.lit(1))
+    by = F.col("i.id").alias("i")
+    for x in (p, p.where("t BETWEEN 0 AND 3"), p.limit(0)):
+        got = range_parts(x, i, "t", "s", "e", FOUND, on).groupBy(by).agg(*[a.merged() for a in FOUND])
+        pairs = range_join(x, i, "t", "s", "e", on).select(by, "p.id", "p.v").groupBy("i").agg(*[a.first() for a in FOUND])
+        assert rows(got) == rows(pairs)
+    assert range_parts(p, i.limit(0), "t", "s", "e", FOUND, on).count() == 0
+
+
+def test_aggregates_of_a_range_join_make_no_pairs(spark, tmp_path):
+    """All sign-ups lie in all outages, 1,500 times 1,500: the joins of the query made that many rows."""
+    from carelens.event_queries import q_range_join_all
+
+    kind = "CASE WHEN id < 1500 THEN 'error' ELSE 'signup' END"
+    ts = "timestamp_micros(CASE WHEN id < 1500 THEN id ELSE 7000000 + id * 1000003 END)"
+    spark.range(3000).selectExpr("id AS event_id", f"{ts} AS ts", "id AS user_id", f"{kind} AS event_type", "50D AS value", "'' AS props").write.parquet(f"{tmp_path}/events.parquet")
+    found = q_range_join_all(spark, str(tmp_path))
+    assert {(r["n"], r["first_id"], r["last_id"]) for r in found.collect()} == {(1500, 1500, 2999)}
+    todo, joined = [found._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        todo += [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if name.endswith("QueryStage") else []
+        children = node.children()
+        todo += [children.apply(n) for n in range(children.size())]
+        joined += [node.metrics().apply("numOutputRows").value()] if name.endswith("Join") else []
+    assert joined and max(joined) < 1500 * 1500 / 5
+
+
 @pytest.mark.parametrize("on", [(), ("k",)])
 def test_overlap_join_equals_plain_python(spark, on):
     a, b = intervals(3), intervals(4, 90)
