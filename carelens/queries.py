@@ -129,12 +129,17 @@ def q_file_discovery(spark, d):
     return read_discovered(spark, folder, name_contains=".csv", fmt="csv")
 
 
+#: Rows of a file of the newest snapshot, about.
+FILE_ROWS = 1_000_000
+
+
 def q_latest_snapshot(spark, d):
-    """The run committed last is read, whole: the other one has other rows and a name that sorts later."""
+    """The run committed last is read, whole: it has three files or more, the other one other rows and a name that sorts later."""
     staffing = _roles(spark, d)["staffing"]
     root = scratch_path(spark, "latest_snapshot")
     write_snapshot(staffing.withColumn("PROVNAME", F.lit("older")), root, fmt="csv", run_id="run9")
-    write_snapshot(staffing.repartition(3), root, fmt="csv", run_id="run10")
+    files = max(3, -(-staffing.count() // FILE_ROWS))  # a task's share is bounded, however large the table is
+    write_snapshot(staffing.repartition(files), root, fmt="csv", run_id="run10")
     return read_latest(spark, root, fmt="csv")
 
 

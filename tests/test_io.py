@@ -204,6 +204,18 @@ def test_newest_run_by_commit_time(spark, scratch):
         latest_snapshot_path(spark, root, name_contains="nothing-has-this", committed_only=True)
 
 
+@pytest.mark.parametrize("rows, files", [(5, 3), (2000, 20)])
+def test_files_of_the_newest_snapshot_grow_with_the_table(spark, tmp_path, monkeypatch, rows, files):
+    from carelens import queries
+    monkeypatch.setattr(queries, "FILE_ROWS", 100, raising=False)
+    (spark.range(rows).selectExpr("id AS l_orderkey", "id AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber", "1D AS l_quantity", "0.5D AS l_tax",
+                                  "0.1D AS l_discount", "'N' AS l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    got = queries.q_latest_snapshot(spark, str(tmp_path))
+    assert got.count() == rows and got.where("PROVNAME = 'older'").isEmpty()
+    per_file = got.groupBy(F.input_file_name()).count().agg(F.count("*"), F.max("count")).first()
+    assert per_file[0] == files and per_file[1] <= 110
+
+
 def test_back_filled_files_are_ingested_and_counted(spark, scratch, monkeypatch):
     base = scratch("old_dates")
     landing, sink, ckpt = f"{base}/landing", f"{base}/sink", f"{base}/_ckpt"
